@@ -32,3 +32,9 @@ def fields_text(fields: str | Column = "fields") -> Column:
     m = F.col(fields) if isinstance(fields, str) else fields
     lines = F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return F.array_join(F.array_sort(lines), "\n")
+
+
+def sql_text(value: str) -> str:
+    """A string literal for a SQL expression."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

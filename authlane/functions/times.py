@@ -70,3 +70,14 @@ def minute_boundaries(earlier: Column, later: Column) -> Column:
         return ((seconds - F.pmod(seconds, F.lit(60))) / F.lit(60)).cast("bigint")
 
     return minute(later) - minute(earlier)
+
+
+# The same helpers as SQL text, for wide projections written as SQL expressions.
+
+
+def sql_bucket_start(expr: str, minutes: int) -> str:
+    return f"timestamp_seconds(unix_seconds({expr}) - pmod(unix_seconds({expr}), {minutes * 60}))"
+
+
+def sql_ms_text(expr: str) -> str:
+    return f"date_format({expr}, 'yyyy-MM-dd HH:mm:ss.SSS')"

@@ -18,7 +18,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from authlane import settings as S
-from authlane.functions.times import AsOf, as_of_col, bucket_start, ms_text, to_micros, within
+from authlane.functions.times import (
+    AsOf,
+    as_of_col,
+    sql_bucket_start,
+    sql_ms_text,
+    to_micros,
+    within,
+)
 from authlane.operators.rules import RuleConfig, meets_threshold, suppress
 from authlane.schema import RULE_RESULT
 
@@ -31,37 +38,40 @@ SAMPLE_SLICES = 256
 
 
 def _login_rows(auth: DataFrame) -> DataFrame:
-    return auth.filter(F.col("status").isin(S.STATUS_SUCCESS, S.STATUS_FAILURE)).select(
+    return auth.filter(F.col("status").isin(S.STATUS_SUCCESS, S.STATUS_FAILURE)).selectExpr(
         "ts",
         "user",
         "src_ip",
         "host",
         "source_kind",
-        (F.col("ingest_source") == S.LANE_WINDOWS).alias("windows_lane"),
-        (F.col("status") == S.STATUS_FAILURE).alias("failed"),
+        f"ingest_source = '{S.LANE_WINDOWS}' AS windows_lane",
+        f"status = '{S.STATUS_FAILURE}' AS failed",
         "logon_type",
     )
 
 
-def _measure() -> list[Column]:
-    failed, ts = F.col("failed"), F.col("ts")
-    return [
-        F.count_if(failed).alias("failures"),
-        F.min(F.when(failed, ts)).alias("first_failure"),
-        F.max(F.when(failed, ts)).alias("last_failure"),
-        F.min(F.when(~failed, ts)).alias("first_success"),
-        F.min(F.when(failed & (F.col("logon_type") != ""), F.col("logon_type"))).alias("logon_type"),
-    ]
+# ``named`` is constant within a group. As an aggregate it is tested after grouping; as a
+# predicate on the keys it would be pushed into the scan and run the message patterns twice.
+_MEASURES = {
+    "failures": "count_if(failed)",
+    "first_failure": "min(ts) FILTER (WHERE failed)",
+    "last_failure": "max(ts) FILTER (WHERE failed)",
+    "first_success": "min(ts) FILTER (WHERE NOT failed)",
+    "logon_type": "min(logon_type) FILTER (WHERE failed AND logon_type <> '')",
+    "named": "bool_and(user <> '' AND src_ip <> '')",
+}
+_MERGES = {
+    "failures": "sum(failures)",
+    "first_failure": "min(first_failure)",
+    "last_failure": "max(last_failure)",
+    "first_success": "min(first_success)",
+    "logon_type": "min(logon_type)",
+    "named": "bool_and(named)",
+}
 
 
-def _merge() -> list[Column]:
-    return [
-        F.sum("failures").alias("failures"),
-        F.min("first_failure").alias("first_failure"),
-        F.max("last_failure").alias("last_failure"),
-        F.min("first_success").alias("first_success"),
-        F.min("logon_type").alias("logon_type"),
-    ]
+def _aggregates(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{sql} AS {name}") for name, sql in expressions.items()]
 
 
 def login_facts(auth: DataFrame, as_of: AsOf, windows: Iterable[int]) -> DataFrame:
@@ -77,9 +87,9 @@ def login_facts(auth: DataFrame, as_of: AsOf, windows: Iterable[int]) -> DataFra
         rows = rows.withColumn("window_minutes", F.explode(F.array_compact(covering)))
     return (
         rows.groupBy("window_minutes", *ENTITY)
-        .agg(*_measure())
+        .agg(*_aggregates(_MEASURES))
         .withColumn("evaluated_at", as_of_col(as_of))
-        .select(*FACT_KEYS, "failures", "first_failure", "last_failure", "first_success", "logon_type")
+        .select(*FACT_KEYS, *_MEASURES)
     )
 
 
@@ -104,7 +114,7 @@ def replay_facts(
         _login_rows(auth.filter((F.col("ts") > low) & (F.col("ts") <= high)))
         .withColumn("pane", ((micros + F.pmod(-micros, F.lit(unit))) / F.lit(unit)).cast("bigint"))
         .groupBy("pane", *ENTITY)
-        .agg(*_measure())
+        .agg(*_aggregates(_MEASURES))
     )
 
     def ticks(length: int) -> Column:
@@ -122,44 +132,34 @@ def replay_facts(
         .withColumn("window_minutes", F.col("at.window_minutes"))
         .withColumn("evaluated_at", F.timestamp_micros(F.col("at.tick") * F.lit(unit)))
         .groupBy(*FACT_KEYS)
-        .agg(*_merge())
+        .agg(*_aggregates(_MERGES))
     )
 
 
 def _failed_outside_windows(facts: DataFrame) -> DataFrame:
-    return facts.filter(
-        ~F.col("windows_lane") & (F.col("user") != "") & (F.col("src_ip") != "")
-    )
+    return facts.filter("failures > 0 AND NOT windows_lane AND named")
 
 
-def _result(df: DataFrame, config: RuleConfig, **columns: Column | str) -> DataFrame:
+def _result(df: DataFrame, config: RuleConfig, **columns: str) -> DataFrame:
     """The 13 result columns, plus when the rule was evaluated."""
-    out = {k: (F.col(v) if isinstance(v, str) else v) for k, v in columns.items()}
-    out["window_bucket"] = bucket_start(out["window_end"], config.window_minutes)
-    return df.select(
-        *[out[f.name].cast(f.dataType).alias(f.name) for f in RULE_RESULT],
-        F.col("evaluated_at"),
+    columns["window_bucket"] = sql_bucket_start(columns["window_end"], config.window_minutes)
+    return df.selectExpr(
+        *[f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in RULE_RESULT],
+        "evaluated_at",
     )
 
 
-def _words(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
-def _json(**values: Column) -> Column:
-    return F.to_json(F.struct(*[v.alias(k) for k, v in values.items()]))
+def _json(**values: str) -> str:
+    pairs = ", ".join(f"'{key}', {sql}" for key, sql in values.items())
+    return f"to_json(named_struct({pairs}))"
 
 
 def failed_login_burst(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """Failures of one account from one source on one Linux host."""
-    c = F.col
-    rows = _failed_outside_windows(facts).filter(
-        (c("failures") > 0) & (c("source_kind") == S.KIND_LINUX)
-    )
-    rows = suppress(rows, config, "host", "user")
-    minutes = F.lit(config.window_minutes)
+    rows = _failed_outside_windows(facts).filter(F.col("source_kind") == S.KIND_LINUX)
+    minutes = config.window_minutes
     return _result(
-        rows,
+        suppress(rows, config, "host", "user"),
         config,
         hits="failures",
         principal="user",
@@ -167,19 +167,17 @@ def failed_login_burst(facts: DataFrame, config: RuleConfig) -> DataFrame:
         endpoint_id="host",
         window_start="first_failure",
         window_end="last_failure",
-        distinct_user_count=F.lit(1),
-        distinct_ip_count=F.lit(1),
+        distinct_user_count="1",
+        distinct_ip_count="1",
         source_kind="source_kind",
-        reason=_words(
-            "Repeated failed logins for account ", c("user"), " from ", c("src_ip"), " on ", c("host")
-        ),
-        evidence_summary=_words(c("failures"), " failed attempts within ", minutes, " minutes"),
+        reason="concat('Repeated failed logins for account ', user, ' from ', src_ip, ' on ', host)",
+        evidence_summary=f"concat(failures, ' failed attempts within {minutes} minutes')",
         details=_json(
-            principal=c("user"),
-            source_ip=c("src_ip"),
-            endpoint_id=c("host"),
-            failed_attempts=c("failures"),
-            window_minutes=minutes,
+            principal="user",
+            source_ip="src_ip",
+            endpoint_id="host",
+            failed_attempts="failures",
+            window_minutes=str(minutes),
         ),
     )
 
@@ -187,18 +185,13 @@ def failed_login_burst(facts: DataFrame, config: RuleConfig) -> DataFrame:
 def failed_then_success(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """Enough failures, and no success before the last of them: a success ahead of any
     failure in the window, or a failure after the first success, rules the group out."""
-    c = F.col
-    epoch = F.timestamp_seconds(F.lit(0))
-    rows = _failed_outside_windows(facts).filter(
-        (c("failures") >= config.threshold_failures)
-        & c("first_success").isNotNull()
-        & (c("first_success") >= F.coalesce(c("last_failure"), epoch))
-    )
-    rows = suppress(rows, config, "host", "user").withColumn(
-        "first_failure", F.coalesce("first_failure", epoch)
-    )
+    # A threshold of zero admits groups without failures, whose times read as the epoch.
+    rows = facts.filter(
+        f"NOT windows_lane AND named AND failures >= {config.threshold_failures} "
+        "AND first_success >= ifnull(last_failure, timestamp_seconds(0))"
+    ).withColumn("first_failure", F.expr("ifnull(first_failure, timestamp_seconds(0))"))
     return _result(
-        rows,
+        suppress(rows, config, "host", "user"),
         config,
         hits="failures",
         principal="user",
@@ -206,24 +199,20 @@ def failed_then_success(facts: DataFrame, config: RuleConfig) -> DataFrame:
         endpoint_id="host",
         window_start="first_failure",
         window_end="first_success",
-        distinct_user_count=F.lit(1),
-        distinct_ip_count=F.lit(1),
+        distinct_user_count="1",
+        distinct_ip_count="1",
         source_kind="source_kind",
-        reason=_words(
-            "Successful login followed repeated failures for ", c("user"), " from ", c("src_ip"),
-            " on ", c("host"),
-        ),
-        evidence_summary=_words(
-            c("failures"), " failed attempts before success within ",
-            F.lit(config.window_minutes), " minutes",
-        ),
+        reason="concat('Successful login followed repeated failures for ', user, ' from ', src_ip,"
+        " ' on ', host)",
+        evidence_summary="concat(failures, ' failed attempts before success within "
+        f"{config.window_minutes} minutes')",
         details=_json(
-            principal=c("user"),
-            source_ip=c("src_ip"),
-            endpoint_id=c("host"),
-            failed_attempts=c("failures"),
-            first_failure=ms_text(c("first_failure")),
-            first_success=ms_text(c("first_success")),
+            principal="user",
+            source_ip="src_ip",
+            endpoint_id="host",
+            failed_attempts="failures",
+            first_failure=sql_ms_text("first_failure"),
+            first_success=sql_ms_text("first_success"),
         ),
     )
 
@@ -237,98 +226,82 @@ def _members(facts: DataFrame, group: Sequence[str], member: str) -> DataFrame:
     however many members it has, and one of its slices is the most a task sorts.
     """
     keys = [*SCOPE, *group]
-    sliced = facts.withColumn(
-        "slice", F.pmod(F.xxhash64(F.col(member)), F.lit(SAMPLE_SLICES))
-    )
+    sliced = facts.withColumn("slice", F.expr(f"pmod(xxhash64({member}), {SAMPLE_SLICES})"))
     rank = F.row_number().over(Window.partitionBy(*keys, "slice").orderBy(member))
     return (
-        sliced.select(
-            *keys, "failures", "first_failure", "last_failure",
-            F.when(rank <= SAMPLE_SIZE, F.col(member)).alias("candidate"),
-        )
+        sliced.withColumn("rank", rank)
         .groupBy(*keys)
         .agg(
-            F.count("*").alias("members"),
-            F.sum("failures").alias("failures"),
-            F.min("first_failure").alias("first_failure"),
-            F.max("last_failure").alias("last_failure"),
-            F.array_join(
-                F.slice(F.array_sort(F.collect_set("candidate")), 1, SAMPLE_SIZE), ", "
-            ).alias("sample"),
+            F.expr("count(*) AS members"),
+            F.expr("sum(failures) AS failures"),
+            F.expr("min(first_failure) AS first_failure"),
+            F.expr("max(last_failure) AS last_failure"),
+            F.expr(f"collect_set({member}) FILTER (WHERE rank <= {SAMPLE_SIZE}) AS candidates"),
+        )
+        .withColumn(
+            "sample", F.expr(f"array_join(slice(array_sort(candidates), 1, {SAMPLE_SIZE}), ', ')")
         )
     )
 
 
 def password_spray(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """One source failing against several accounts of a host."""
-    c = F.col
-    rows = _failed_outside_windows(facts).filter(c("failures") > 0)
-    rows = suppress(rows, config, "host", "user")
+    rows = suppress(_failed_outside_windows(facts), config, "host", "user")
     groups = _members(rows, ["src_ip", "host", "source_kind"], "user").filter(
-        (c("members") >= config.threshold_distinct_users)
-        & (c("failures") >= config.threshold_attempts)
+        f"members >= {config.threshold_distinct_users} AND failures >= {config.threshold_attempts}"
     )
     return _result(
         groups,
         config,
         hits="failures",
-        principal=F.lit(""),
+        principal="''",
         source_ip="src_ip",
         endpoint_id="host",
         window_start="first_failure",
         window_end="last_failure",
         distinct_user_count="members",
-        distinct_ip_count=F.lit(1),
+        distinct_ip_count="1",
         source_kind="source_kind",
-        reason=_words("Source ", c("src_ip"), " targeted multiple usernames on ", c("host")),
-        evidence_summary=_words(
-            c("members"), " usernames targeted across ", c("failures"),
-            " failed attempts. Examples: ", c("sample"),
-        ),
+        reason="concat('Source ', src_ip, ' targeted multiple usernames on ', host)",
+        evidence_summary="concat(members, ' usernames targeted across ', failures,"
+        " ' failed attempts. Examples: ', sample)",
         details=_json(
-            source_ip=c("src_ip"),
-            endpoint_id=c("host"),
-            targeted_users=c("members"),
-            failed_attempts=c("failures"),
-            sampled_users=c("sample"),
+            source_ip="src_ip",
+            endpoint_id="host",
+            targeted_users="members",
+            failed_attempts="failures",
+            sampled_users="sample",
         ),
     )
 
 
 def distributed_attack(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """One account failing from several sources on a host."""
-    c = F.col
-    rows = _failed_outside_windows(facts).filter(c("failures") > 0)
-    rows = suppress(rows, config, "host", "user")
+    rows = suppress(_failed_outside_windows(facts), config, "host", "user")
     groups = _members(rows, ["user", "host", "source_kind"], "src_ip").filter(
-        (c("members") >= config.threshold_distinct_ips)
-        & (c("failures") >= config.threshold_attempts)
+        f"members >= {config.threshold_distinct_ips} AND failures >= {config.threshold_attempts}"
     )
     return _result(
         groups,
         config,
         hits="failures",
         principal="user",
-        source_ip=F.lit(""),
+        source_ip="''",
         endpoint_id="host",
         window_start="first_failure",
         window_end="last_failure",
-        distinct_user_count=F.lit(1),
+        distinct_user_count="1",
         distinct_ip_count="members",
         source_kind="source_kind",
-        reason=_words(
-            "Account ", c("user"), " saw failed logins from multiple source IPs on ", c("host")
-        ),
-        evidence_summary=_words(
-            c("members"), " source IPs across ", c("failures"),
-            " failed attempts. Examples: ", c("sample"),
-        ),
+        reason="concat('Account ', user, ' saw failed logins from multiple source IPs on ', host)",
+        evidence_summary="concat(members, ' source IPs across ', failures,"
+        " ' failed attempts. Examples: ', sample)",
         details=_json(
-            principal=c("user"),
-            endpoint_id=c("host"),
-            source_count=c("members"),
-            failed_attempts=c("failures"),
-            sampled_sources=c("sample"),
+            principal="user",
+            endpoint_id="host",
+            source_count="members",
+            failed_attempts="failures",
+            sampled_sources="sample",
         ),
     )
 
@@ -336,24 +309,25 @@ def distributed_attack(facts: DataFrame, config: RuleConfig) -> DataFrame:
 def windows_failed_logon_burst(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """Failed logons of one Windows endpoint. Samples are the smallest non-blank value,
     so that a rerun gives the same alert."""
-    c = F.col
-    rows = facts.filter(c("windows_lane") & (c("failures") > 0)).withColumn(
-        "endpoint", F.when(c("host") == "", "unknown").otherwise(c("host"))
+    rows = facts.filter("windows_lane AND failures > 0").withColumn(
+        "endpoint", F.expr("ifnull(nullif(host, ''), 'unknown')")
     )
-    rows = suppress(rows, config, "endpoint", "user")
-    user = F.nullif(c("user"), F.lit(""))
-    source = F.nullif(c("src_ip"), F.lit(""))
-    groups = rows.groupBy(*SCOPE, "endpoint").agg(
-        F.sum("failures").alias("failures"),
-        F.coalesce(F.min(user), F.lit("")).alias("sample_user"),
-        F.coalesce(F.min(source), F.lit("")).alias("sample_source_ip"),
-        F.coalesce(F.min("logon_type"), F.lit("")).alias("sample_logon_type"),
-        F.count_distinct(user).alias("users"),
-        F.count_distinct(source).alias("sources"),
-        F.min("first_failure").alias("first_failure"),
-        F.max("last_failure").alias("last_failure"),
+    groups = (
+        suppress(rows, config, "endpoint", "user")
+        .withColumns({"user": F.expr("nullif(user, '')"), "src_ip": F.expr("nullif(src_ip, '')")})
+        .groupBy(*SCOPE, "endpoint")
+        .agg(
+            F.expr("sum(failures) AS failures"),
+            F.expr("ifnull(min(user), '') AS sample_user"),
+            F.expr("ifnull(min(src_ip), '') AS sample_source_ip"),
+            F.expr("ifnull(min(logon_type), '') AS sample_logon_type"),
+            F.expr("count(DISTINCT user) AS users"),
+            F.expr("count(DISTINCT src_ip) AS sources"),
+            F.expr("min(first_failure) AS first_failure"),
+            F.expr("max(last_failure) AS last_failure"),
+        )
     )
-    minutes = F.lit(config.window_minutes)
+    minutes = config.window_minutes
     return _result(
         groups,
         config,
@@ -365,16 +339,16 @@ def windows_failed_logon_burst(facts: DataFrame, config: RuleConfig) -> DataFram
         window_end="last_failure",
         distinct_user_count="users",
         distinct_ip_count="sources",
-        source_kind=F.lit(S.KIND_WINDOWS),
-        reason=_words("Repeated Windows failed logons detected on ", c("endpoint")),
-        evidence_summary=_words(c("failures"), " failed logons within ", minutes, " minutes"),
+        source_kind=f"'{S.KIND_WINDOWS}'",
+        reason="concat('Repeated Windows failed logons detected on ', endpoint)",
+        evidence_summary=f"concat(failures, ' failed logons within {minutes} minutes')",
         details=_json(
-            endpoint_id=c("endpoint"),
-            sample_user=c("sample_user"),
-            sample_source_ip=c("sample_source_ip"),
-            sample_logon_type=c("sample_logon_type"),
-            failed_attempts=c("failures"),
-            window_minutes=minutes,
+            endpoint_id="endpoint",
+            sample_user="sample_user",
+            sample_source_ip="sample_source_ip",
+            sample_logon_type="sample_logon_type",
+            failed_attempts="failures",
+            window_minutes=str(minutes),
         ),
     )
 

@@ -9,8 +9,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from authlane.functions.text import first_nonblank
-from authlane.functions.times import AsOf, as_of_col, before, sec_text
+from authlane.functions.text import sql_text
+from authlane.functions.times import AsOf, as_of_col, before
 from authlane.operators.detections import evaluate, login_facts, replay_facts, top_groups
 from authlane.operators.rules import RuleConfig, meets_threshold, suppress
 from authlane.schema import ALERTS, RULE_RESULT
@@ -23,84 +23,76 @@ NO_EVIDENCE_TEXT = "No additional evidence summary provided"
 @dataclass(frozen=True)
 class SqlRule:
     """A user-written rule: Spark SQL over ``{auth_events}`` that returns the 13 result
-    columns by name. Parameters are bound as ``:window_minutes``, ``:as_of``,
-    ``:threshold_attempts``, ``:threshold_distinct_users``, ``:threshold_distinct_ips``
+    columns by name. ``{as_of}`` is the evaluation instant; parameters are bound as
+    ``:window_minutes``, ``:threshold_attempts``, ``:threshold_distinct_users``, ``:threshold_distinct_ips``
     and ``:threshold_failures``."""
 
     config: RuleConfig
     sql: str
 
 
-def fingerprint(
-    alert_type: Column, principal: Column, source_ip: Column, endpoint_id: Column,
-    source_kind: Column, window_bucket: Column,
-) -> Column:
-    """Sameness of an alert: type, entities, kind and window bucket."""
-    parts = [alert_type, principal, source_ip, endpoint_id, source_kind, sec_text(window_bucket)]
-    return F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
+def fingerprint_sql(alert_type: str) -> str:
+    """Sameness of an alert: type, entities, kind and window bucket. ``alert_type`` is SQL."""
+    parts = ["principal", "source_ip", "endpoint_id", "source_kind"]
+    texts = [alert_type, *[f"ifnull({p}, '')" for p in parts]]
+    return f"concat_ws('|', {', '.join(texts)}, date_format(window_bucket, 'yyyy-MM-dd HH:mm:ss'))"
 
 
 def result_defaults(result: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
     """Fill what a rule left blank: times, counts and stock texts."""
-    c, now = F.col, F.col("evaluated_at")
-    filled = {
-        "hits": c("hits"),
-        "window_start": F.coalesce(c("window_start"), now),
-        "window_end": F.coalesce(c("window_end"), now),
-        "window_bucket": F.coalesce(c("window_bucket"), c("window_end"), now),
-        "distinct_user_count": F.coalesce(c("distinct_user_count"), F.lit(0)),
-        "distinct_ip_count": F.coalesce(c("distinct_ip_count"), F.lit(0)),
-        "reason": first_nonblank(c("reason"), default=settings.trigger_text),
-        "evidence_summary": first_nonblank(c("evidence_summary"), default=NO_EVIDENCE_TEXT),
-        "details": first_nonblank(c("details"), default=settings.trigger_text),
+    stock = sql_text(settings.trigger_text)
+    filled = {name: f"ifnull({name}, '')" for name in RULE_RESULT.names} | {
+        "hits": "hits",
+        "window_start": "ifnull(window_start, evaluated_at)",
+        "window_end": "ifnull(window_end, evaluated_at)",
+        "window_bucket": "coalesce(window_bucket, window_end, evaluated_at)",
+        "distinct_user_count": "ifnull(distinct_user_count, 0L)",
+        "distinct_ip_count": "ifnull(distinct_ip_count, 0L)",
+        "reason": f"ifnull(nullif(reason, ''), {stock})",
+        "evidence_summary": f"ifnull(nullif(evidence_summary, ''), {sql_text(NO_EVIDENCE_TEXT)})",
+        "details": f"ifnull(nullif(details, ''), {stock})",
     }
-    return result.select(
-        *[
-            filled.get(f.name, F.coalesce(c(f.name), F.lit(""))).cast(f.dataType).alias(f.name)
-            for f in RULE_RESULT
-        ],
-        "evaluated_at",
-    )
+    return result.selectExpr(*[f"{sql} AS {name}" for name, sql in filled.items()], "evaluated_at")
 
 
 def alert_rows(
     result: DataFrame, config: RuleConfig, query: str, settings: Settings = DEFAULT_SETTINGS
 ) -> DataFrame:
     """Rule results as alert rows; entity and seen columns repeat their twins."""
-    c = F.col
     out = {
-        "ts": c("evaluated_at"),
-        "rule_id": F.lit(config.id),
-        "rule_name": F.lit(config.name),
-        "alert_type": F.lit(config.alert_type),
-        "alert_fingerprint": fingerprint(
-            F.lit(config.alert_type), c("principal"), c("source_ip"), c("endpoint_id"),
-            c("source_kind"), c("window_bucket"),
-        ),
-        "severity": F.lit(config.severity),
-        "attempt_count": c("hits"),
-        "entity_user": c("principal"),
-        "entity_src_ip": c("source_ip"),
-        "entity_host": c("endpoint_id"),
-        "first_seen_ts": c("window_start"),
-        "last_seen_ts": c("window_end"),
-        "workflow_state": F.lit("new"),
-        "threshold_op": F.lit(config.threshold_op),
-        "threshold_value": F.lit(config.threshold_value),
-        "query": F.lit(query),
+        "ts": "evaluated_at",
+        "rule_id": sql_text(config.id),
+        "rule_name": sql_text(config.name),
+        "alert_type": sql_text(config.alert_type),
+        "alert_fingerprint": fingerprint_sql(sql_text(config.alert_type)),
+        "severity": sql_text(config.severity),
+        "attempt_count": "hits",
+        "entity_user": "principal",
+        "entity_src_ip": "source_ip",
+        "entity_host": "endpoint_id",
+        "first_seen_ts": "window_start",
+        "last_seen_ts": "window_end",
+        "workflow_state": "'new'",
+        "threshold_op": sql_text(config.threshold_op),
+        "threshold_value": f"{config.threshold_value}L",
+        "query": sql_text(query),
     }
-    return result_defaults(result, settings).select(
-        *[out.get(f.name, c(f.name)).cast(f.dataType).alias(f.name) for f in ALERTS]
+    return result_defaults(result, settings).selectExpr(
+        *[f"{out.get(name, name)} AS {name}" for name in ALERTS.names]
     )
 
 
 def run_sql_rule(auth: DataFrame, rule: SqlRule, as_of: AsOf, top_n: int | None) -> DataFrame:
     """Evaluate a user rule. Suppression applies to its input, whatever the SQL says."""
     config = rule.config
+    now = (
+        as_of.strftime("TIMESTAMP '%Y-%m-%d %H:%M:%S.%f UTC'")
+        if isinstance(as_of, datetime)
+        else "date_trunc('SECOND', current_timestamp())"
+    )
     result = auth.sparkSession.sql(
-        rule.sql.strip().rstrip(";"),
+        rule.sql.strip().rstrip(";").replace("{as_of}", now),
         args={
-            "as_of": as_of_col(as_of),
             "window_minutes": config.window_minutes,
             "threshold_attempts": config.threshold_attempts,
             "threshold_distinct_users": config.threshold_distinct_users,

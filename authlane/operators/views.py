@@ -6,63 +6,65 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from authlane import settings as S
-from authlane.functions.text import field, first_nonblank, mentions
+from authlane.functions.text import field, first_nonblank
 from authlane.functions.times import AsOf, as_of_col, minute_boundaries
 from authlane.schema import AUTH_EVENTS
 
 # Patterns that read the login facts out of a message.
-USER_PATTERNS = (r"for invalid user ([^ ]+)", r"for ([^ ]+) from")
-SOURCE_PATTERN = r"from ([0-9A-Fa-f:\.]+)"
+USER_PATTERNS = ("for invalid user ([^ ]+)", "for ([^ ]+) from")
+SOURCE_PATTERN = "from ([0-9A-Fa-f:.]+)"
 
 # Minutes without events up to which an endpoint is active, then idle.
 ACTIVE_MINUTES = 15
 IDLE_MINUTES = 60
 
 
+def _key(name: str) -> str:
+    """SQL for a map key, NULL when it is missing or blank."""
+    return f"nullif(fields['{name}'], '')"
+
+
+def _found(pattern: str) -> str:
+    return f"nullif(regexp_extract(message, r'{pattern}', 1), '')"
+
+
+_FAILED = "contains(lower(message), 'failed password')"
+_BY_PASSWORD = "contains(lower(message), 'accepted password')"
+_BY_KEY = "contains(lower(message), 'accepted publickey')"
+
+# One SQL expression per derived column: the map key first, then the message.
+AUTH_COLUMNS = {
+    "event_type": f"""coalesce({_key('event_type')},
+        CASE WHEN {_FAILED} OR {_BY_PASSWORD} OR {_BY_KEY} THEN 'login' ELSE '' END)""",
+    "user": f"coalesce({_key('user')}, {', '.join(_found(p) for p in USER_PATTERNS)}, '')",
+    "src_ip": f"coalesce({_key('src_ip')}, {_found(SOURCE_PATTERN)}, '')",
+    "host": f"coalesce({_key('host')}, {_key('computer')}, {_key('hostname')}, '')",
+    "status": f"""CASE
+        WHEN lower(fields['status']) IN ('failed', 'failure') THEN '{S.STATUS_FAILURE}'
+        WHEN lower(fields['status']) IN ('successful', 'success') THEN '{S.STATUS_SUCCESS}'
+        WHEN fields['status'] <> '' THEN fields['status']
+        WHEN {_BY_PASSWORD} OR {_BY_KEY} THEN '{S.STATUS_SUCCESS}'
+        WHEN {_FAILED} THEN '{S.STATUS_FAILURE}'
+        ELSE '' END""",
+    "source_kind": f"""coalesce({_key('source_kind')}, CASE
+        WHEN ingest_source = '{S.LANE_WINDOWS}' THEN '{S.KIND_WINDOWS}'
+        WHEN ingest_source = '{S.LANE_LINUX_SSH}' OR contains(lower(message), 'sshd')
+        THEN '{S.KIND_LINUX}' ELSE '' END)""",
+    "raw_event_id": f"coalesce({_key('raw_event_id')}, {_key('event_id')}, '')",
+    "logon_type": "ifnull(fields['logon_type'], '')",
+    "domain": "ifnull(fields['domain'], '')",
+    "auth_method": f"""coalesce({_key('auth_method')}, CASE
+        WHEN {_BY_KEY} THEN 'publickey'
+        WHEN {_BY_PASSWORD} OR {_FAILED} THEN 'password' ELSE '' END)""",
+    "collector_name": "ifnull(fields['collector_name'], '')",
+}
+
+
 def auth_events(events: DataFrame) -> DataFrame:
     """Flatten login events. Each column prefers the map key and falls back to the message."""
-    message = F.col("message")
-    failed = mentions(message, "Failed password")
-    by_password = mentions(message, "Accepted password")
-    by_key = mentions(message, "Accepted publickey")
-    lane = F.col("ingest_source")
-    raw_status = field("status")
-    status_word = F.lower(raw_status)
-
-    def found(pattern: str) -> Column:
-        return F.regexp_extract(message, pattern, 1)
-
-    derived = {
-        "event_type": first_nonblank(
-            field("event_type"), default=F.when(failed | by_password | by_key, "login").otherwise("")
-        ),
-        "user": first_nonblank(field("user"), *[found(p) for p in USER_PATTERNS]),
-        "src_ip": first_nonblank(field("src_ip"), found(SOURCE_PATTERN)),
-        "host": first_nonblank(field("host"), field("computer"), field("hostname")),
-        "status": F.when(status_word.isin("failed", "failure"), S.STATUS_FAILURE)
-        .when(status_word.isin("successful", "success"), S.STATUS_SUCCESS)
-        .when(raw_status != "", raw_status)
-        .when(by_password | by_key, S.STATUS_SUCCESS)
-        .when(failed, S.STATUS_FAILURE)
-        .otherwise(""),
-        "source_kind": first_nonblank(
-            field("source_kind"),
-            default=F.when(lane == S.LANE_WINDOWS, S.KIND_WINDOWS)
-            .when((lane == S.LANE_LINUX_SSH) | mentions(message, "sshd"), S.KIND_LINUX)
-            .otherwise(""),
-        ),
-        "raw_event_id": first_nonblank(field("raw_event_id"), field("event_id")),
-        "logon_type": field("logon_type"),
-        "domain": field("domain"),
-        "auth_method": first_nonblank(
-            field("auth_method"),
-            default=F.when(by_key, "publickey").when(by_password | failed, "password").otherwise(""),
-        ),
-        "collector_name": field("collector_name"),
-    }
-    return events.select(
+    return events.selectExpr(
         *[
-            derived[name].alias(name) if name in derived else F.col(name)
+            f"{AUTH_COLUMNS[name]} AS `{name}`" if name in AUTH_COLUMNS else name
             for name in AUTH_EVENTS.names
         ]
     ).filter(F.col("event_type").isin(*S.LOGIN_EVENT_TYPES))
