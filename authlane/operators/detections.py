@@ -50,15 +50,12 @@ def _login_rows(auth: DataFrame) -> DataFrame:
     )
 
 
-# ``named`` is constant within a group. As an aggregate it is tested after grouping; as a
-# predicate on the keys it would be pushed into the scan and run the message patterns twice.
 _MEASURES = {
     "failures": "count_if(failed)",
     "first_failure": "min(ts) FILTER (WHERE failed)",
     "last_failure": "max(ts) FILTER (WHERE failed)",
     "first_success": "min(ts) FILTER (WHERE NOT failed)",
     "logon_type": "min(logon_type) FILTER (WHERE failed AND logon_type <> '')",
-    "named": "bool_and(user <> '' AND src_ip <> '')",
 }
 _MERGES = {
     "failures": "sum(failures)",
@@ -66,7 +63,6 @@ _MERGES = {
     "last_failure": "max(last_failure)",
     "first_success": "min(first_success)",
     "logon_type": "min(logon_type)",
-    "named": "bool_and(named)",
 }
 
 
@@ -74,10 +70,25 @@ def _aggregates(expressions: dict[str, str]) -> list[Column]:
     return [F.expr(f"{sql} AS {name}") for name, sql in expressions.items()]
 
 
-def login_facts(auth: DataFrame, as_of: AsOf, windows: Iterable[int]) -> DataFrame:
-    """Facts at one instant for each window length. Only the widest window is scanned."""
+def _shared(facts: DataFrame) -> DataFrame:
+    """Facts as one fixed plan for every rule that reads them.
+
+    Each rule needs other columns and rows. Left alone, the optimizer would push those
+    needs through the aggregation, so that no two rules scan and shuffle alike. ``inline``
+    of a one-element array stops it: the rules of a pack then reuse a single exchange,
+    and predicates on user and source do not run the message patterns a second time.
+    """
+    row = ", ".join(f"'{c}', {c}" for c in facts.columns)
+    return facts.selectExpr(f"inline(array(named_struct({row})))")
+
+
+def login_facts(
+    auth: DataFrame, as_of: AsOf, windows: Iterable[int], where: str = "true"
+) -> DataFrame:
+    """Facts at one instant for each window length. Only the widest window is scanned, and
+    of it only the rows ``where`` keeps."""
     lengths = sorted(set(windows))
-    rows = _login_rows(auth.filter(within(F.col("ts"), as_of, lengths[-1])))
+    rows = _login_rows(auth.filter(within(F.col("ts"), as_of, lengths[-1])).filter(where))
     if len(lengths) == 1:
         rows = rows.withColumn("window_minutes", F.lit(lengths[0]))
     else:
@@ -85,11 +96,9 @@ def login_facts(auth: DataFrame, as_of: AsOf, windows: Iterable[int]) -> DataFra
             *[F.when(within(F.col("ts"), as_of, w), F.lit(w)) for w in lengths]
         )
         rows = rows.withColumn("window_minutes", F.explode(F.array_compact(covering)))
-    return (
-        rows.groupBy("window_minutes", *ENTITY)
-        .agg(*_aggregates(_MEASURES))
-        .withColumn("evaluated_at", as_of_col(as_of))
-        .select(*FACT_KEYS, *_MEASURES)
+    facts = rows.groupBy("window_minutes", *ENTITY).agg(*_aggregates(_MEASURES))
+    return _shared(
+        facts.withColumn("evaluated_at", as_of_col(as_of)).select(*FACT_KEYS, *_MEASURES)
     )
 
 
@@ -127,7 +136,7 @@ def replay_facts(
             lambda t: F.struct(F.lit(length).alias("window_minutes"), t.alias("tick")),
         )
 
-    return (
+    return _shared(
         panes.withColumn("at", F.explode(F.concat(*[ticks(w) for w in lengths])))
         .withColumn("window_minutes", F.col("at.window_minutes"))
         .withColumn("evaluated_at", F.timestamp_micros(F.col("at.tick") * F.lit(unit)))
@@ -137,7 +146,7 @@ def replay_facts(
 
 
 def _failed_outside_windows(facts: DataFrame) -> DataFrame:
-    return facts.filter("failures > 0 AND NOT windows_lane AND named")
+    return facts.filter("failures > 0 AND NOT windows_lane AND user <> '' AND src_ip <> ''")
 
 
 def _result(df: DataFrame, config: RuleConfig, **columns: str) -> DataFrame:
@@ -187,7 +196,7 @@ def failed_then_success(facts: DataFrame, config: RuleConfig) -> DataFrame:
     failure in the window, or a failure after the first success, rules the group out."""
     # A threshold of zero admits groups without failures, whose times read as the epoch.
     rows = facts.filter(
-        f"NOT windows_lane AND named AND failures >= {config.threshold_failures} "
+        f"NOT windows_lane AND user <> '' AND src_ip <> '' AND failures >= {config.threshold_failures} "
         "AND first_success >= ifnull(last_failure, timestamp_seconds(0))"
     ).withColumn("first_failure", F.expr("ifnull(first_failure, timestamp_seconds(0))"))
     return _result(
@@ -400,9 +409,24 @@ def evaluate(
     )
 
 
+_FAILURES = f"status = '{S.STATUS_FAILURE}'"
+_NOT_WINDOWS = f"ingest_source <> '{S.LANE_WINDOWS}'"
+
+# The login events a rule can use, for running it alone: tested before anything is grouped.
+RULE_INPUT = {
+    "security_failed_login_burst": (
+        f"{_FAILURES} AND {_NOT_WINDOWS} AND source_kind = '{S.KIND_LINUX}'"
+    ),
+    "security_failed_then_success": _NOT_WINDOWS,
+    "security_source_multi_user_burst": f"{_FAILURES} AND {_NOT_WINDOWS}",
+    "security_user_multi_source_burst": f"{_FAILURES} AND {_NOT_WINDOWS}",
+    "windows_failed_logon_burst": f"{_FAILURES} AND ingest_source = '{S.LANE_WINDOWS}'",
+}
+
+
 def detect(
     auth: DataFrame, config: RuleConfig, as_of: AsOf = None, top_n: int | None = None
 ) -> DataFrame:
     """One rule over login events at one instant: the 13 result columns."""
-    facts = login_facts(auth, as_of, [config.window_minutes])
+    facts = login_facts(auth, as_of, [config.window_minutes], RULE_INPUT[config.id])
     return evaluate(facts, config, top_n).select(*RULE_RESULT.names)

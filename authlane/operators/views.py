@@ -28,14 +28,16 @@ def _found(pattern: str) -> str:
     return f"nullif(regexp_extract(message, r'{pattern}', 1), '')"
 
 
-_FAILED = "contains(lower(message), 'failed password')"
-_BY_PASSWORD = "contains(lower(message), 'accepted password')"
-_BY_KEY = "contains(lower(message), 'accepted publickey')"
+# What the message says about a login, computed once for the columns that fall back to it.
+_VERB = """CASE
+    WHEN contains(lower(message), 'accepted publickey') THEN 'publickey'
+    WHEN contains(lower(message), 'accepted password') THEN 'password'
+    WHEN contains(lower(message), 'failed password') THEN 'failed'
+    ELSE '' END"""
 
 # One SQL expression per derived column: the map key first, then the message.
 AUTH_COLUMNS = {
-    "event_type": f"""coalesce({_key('event_type')},
-        CASE WHEN {_FAILED} OR {_BY_PASSWORD} OR {_BY_KEY} THEN 'login' ELSE '' END)""",
+    "event_type": f"coalesce({_key('event_type')}, if(verb = '', '', 'login'))",
     "user": f"coalesce({_key('user')}, {', '.join(_found(p) for p in USER_PATTERNS)}, '')",
     "src_ip": f"coalesce({_key('src_ip')}, {_found(SOURCE_PATTERN)}, '')",
     "host": f"coalesce({_key('host')}, {_key('computer')}, {_key('hostname')}, '')",
@@ -43,8 +45,8 @@ AUTH_COLUMNS = {
         WHEN lower(fields['status']) IN ('failed', 'failure') THEN '{S.STATUS_FAILURE}'
         WHEN lower(fields['status']) IN ('successful', 'success') THEN '{S.STATUS_SUCCESS}'
         WHEN fields['status'] <> '' THEN fields['status']
-        WHEN {_BY_PASSWORD} OR {_BY_KEY} THEN '{S.STATUS_SUCCESS}'
-        WHEN {_FAILED} THEN '{S.STATUS_FAILURE}'
+        WHEN verb IN ('publickey', 'password') THEN '{S.STATUS_SUCCESS}'
+        WHEN verb = 'failed' THEN '{S.STATUS_FAILURE}'
         ELSE '' END""",
     "source_kind": f"""coalesce({_key('source_kind')}, CASE
         WHEN ingest_source = '{S.LANE_WINDOWS}' THEN '{S.KIND_WINDOWS}'
@@ -53,21 +55,23 @@ AUTH_COLUMNS = {
     "raw_event_id": f"coalesce({_key('raw_event_id')}, {_key('event_id')}, '')",
     "logon_type": "ifnull(fields['logon_type'], '')",
     "domain": "ifnull(fields['domain'], '')",
-    "auth_method": f"""coalesce({_key('auth_method')}, CASE
-        WHEN {_BY_KEY} THEN 'publickey'
-        WHEN {_BY_PASSWORD} OR {_FAILED} THEN 'password' ELSE '' END)""",
+    "auth_method": f"coalesce({_key('auth_method')}, if(verb = 'failed', 'password', verb))",
     "collector_name": "ifnull(fields['collector_name'], '')",
 }
 
 
 def auth_events(events: DataFrame) -> DataFrame:
     """Flatten login events. Each column prefers the map key and falls back to the message."""
-    return events.selectExpr(
-        *[
-            f"{AUTH_COLUMNS[name]} AS `{name}`" if name in AUTH_COLUMNS else name
-            for name in AUTH_EVENTS.names
-        ]
-    ).filter(F.col("event_type").isin(*S.LOGIN_EVENT_TYPES))
+    return (
+        events.withColumn("verb", F.expr(_VERB))
+        .selectExpr(
+            *[
+                f"{AUTH_COLUMNS[name]} AS `{name}`" if name in AUTH_COLUMNS else name
+                for name in AUTH_EVENTS.names
+            ]
+        )
+        .filter(F.col("event_type").isin(*S.LOGIN_EVENT_TYPES))
+    )
 
 
 def endpoint_id() -> Column:

@@ -10,6 +10,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes. A stage that fuses a wide
+    # projection into one such method would be interpreted row by row; this lets it fall
+    # back to per-operator generated code, which is split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
