@@ -4,8 +4,8 @@ All rules read the same *login facts*: one row per (window, tick, user, source,
 kind, lane) with failure counts and first/last times. Facts are mergeable, come from one
 scan and one shuffle, and a hot entity is combined on the map side before that shuffle.
 A rule then filters facts (burst, failed-then-success) or aggregates them once more
-(spray, distributed, Windows). Because facts are already distinct per user and source,
-counting rows gives exact distinct counts without a distinct shuffle.
+(spray, distributed, Windows). Outside the Windows lane facts are distinct per user and
+source of a group, so counting rows gives exact distinct counts without another shuffle.
 """
 
 from __future__ import annotations
@@ -29,7 +29,9 @@ from authlane.functions.times import (
 from authlane.operators.rules import RuleConfig, meets_threshold, suppress
 from authlane.schema import RULE_RESULT
 
-ENTITY = ["user", "src_ip", "host", "source_kind", "windows_lane"]
+# The logon type is part of the key, and set only in the Windows lane, where it is a small
+# vocabulary: as a measure, a text minimum would turn the hash aggregation into a sort.
+ENTITY = ["user", "src_ip", "host", "source_kind", "windows_lane", "logon_type"]
 FACT_KEYS = ["window_minutes", "evaluated_at", *ENTITY]
 SCOPE = ["window_minutes", "evaluated_at"]
 SAMPLE_SIZE = 5
@@ -46,7 +48,7 @@ def _login_rows(auth: DataFrame) -> DataFrame:
         "source_kind",
         f"ingest_source = '{S.LANE_WINDOWS}' AS windows_lane",
         f"status = '{S.STATUS_FAILURE}' AS failed",
-        "logon_type",
+        f"if(ingest_source = '{S.LANE_WINDOWS}', logon_type, '') AS logon_type",
     )
 
 
@@ -55,14 +57,12 @@ _MEASURES = {
     "first_failure": "min(ts) FILTER (WHERE failed)",
     "last_failure": "max(ts) FILTER (WHERE failed)",
     "first_success": "min(ts) FILTER (WHERE NOT failed)",
-    "logon_type": "min(logon_type) FILTER (WHERE failed AND logon_type <> '')",
 }
 _MERGES = {
     "failures": "sum(failures)",
     "first_failure": "min(first_failure)",
     "last_failure": "max(last_failure)",
     "first_success": "min(first_success)",
-    "logon_type": "min(logon_type)",
 }
 
 
@@ -329,7 +329,7 @@ def windows_failed_logon_burst(facts: DataFrame, config: RuleConfig) -> DataFram
             F.expr("sum(failures) AS failures"),
             F.expr("ifnull(min(user), '') AS sample_user"),
             F.expr("ifnull(min(src_ip), '') AS sample_source_ip"),
-            F.expr("ifnull(min(logon_type), '') AS sample_logon_type"),
+            F.expr("ifnull(min(nullif(logon_type, '')), '') AS sample_logon_type"),
             F.expr("count(DISTINCT user) AS users"),
             F.expr("count(DISTINCT src_ip) AS sources"),
             F.expr("min(first_failure) AS first_failure"),
