@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from authlane.functions.jsonmap import is_object, stringify_map
 from authlane.functions.parse import parse_event_time
+from authlane.functions.plan import computed_once
 from authlane.functions.times import millis, ms_text
 from authlane.schema import ENVELOPE_COLUMNS
 
@@ -25,27 +26,30 @@ def decode_envelopes(lines: DataFrame, column: str = "value") -> DataFrame:
     columns stay, so that a rejected row can be quarantined with its raw text. Unknown
     keys are ignored and absent texts read as ''.
     """
-    top = lines.withColumn("_v", F.try_parse_json(F.col(column))).withColumn(
-        "_top", F.when(is_object(F.col("_v")), F.col("_v").cast("map<string,variant>"))
+    parsed = computed_once(lines, _v=F.try_parse_json(F.col(column)))
+    top = computed_once(
+        parsed, _top=F.when(is_object(F.col("_v")), F.col("_v").cast("map<string,variant>"))
     )
     kinds = {k: F.schema_of_variant(F.col("_top")[k]) for k in (*_TEXT_KEYS, "fields")}
     texts = {k: F.coalesce(F.col("_top")[k].cast("string"), F.lit("")) for k in _TEXT_KEYS}
     wrong_type = ~_absent(kinds["fields"]) & ~F.startswith(kinds["fields"], F.lit("OBJECT"))
     for k in _TEXT_KEYS:
         wrong_type = wrong_type | (~_absent(kinds[k]) & (kinds[k] != "STRING"))
-    ts = parse_event_time(texts["ts"])
+    row = computed_once(top, ts=parse_event_time(texts["ts"]))
+    ts = F.col("ts")
     reason = (
         F.when(F.col("_top").isNull(), "invalid json")
         .when(wrong_type, "wrong type")
         .when(F.trim(texts["ts"]) == "", "empty timestamp")
         .when(ts.isNull(), "unsupported timestamp format")
     )
-    return top.select(
+    judged = computed_once(row, reject_reason=reason)
+    return judged.select(
         *lines.columns,
         millis(ts).alias("ts"),
         *[texts[k].alias(k) for k in _TEXT_KEYS[1:]],
         stringify_map(F.col("_top")["fields"]).alias("fields"),
-        reason.alias("reject_reason"),
+        "reject_reason",
     )
 
 
@@ -60,11 +64,16 @@ def quarantined(decoded: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def position_id(*position: Column) -> Column:
+    """Event id of a source position (topic, partition, offset; or host and record id):
+    a redelivered message gets the same id. Content is never hashed: identical rows are
+    separate evidence."""
+    return F.sha2(F.concat_ws("|", *position), 256)
+
+
 def with_event_id(envelopes: DataFrame, *position: Column) -> DataFrame:
-    """Add ``event_id``. With the source position (topic, partition, offset; or host and
-    record id) a redelivered message gets the same id; without one every row gets a fresh
-    id. Content is never hashed: identical rows are separate evidence."""
-    event_id = F.sha2(F.concat_ws("|", *position), 256) if position else F.uuid()
+    """Add ``event_id`` from the source position, or a fresh id per row without one."""
+    event_id = position_id(*position) if position else F.uuid()
     return envelopes.select("ts", event_id.alias("event_id"), *ENVELOPE_COLUMNS[1:])
 
 

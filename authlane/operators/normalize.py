@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from authlane import settings as S
 from authlane.functions.parse import parse_event_time, parse_rfc3339, parse_syslog_time
+from authlane.functions.plan import computed_once
 from authlane.functions.text import first_nonblank, null_if_blank
 from authlane.functions.times import AsOf, as_of_col, millis
 from authlane.schema import ENVELOPE_COLUMNS
@@ -51,7 +52,7 @@ WINDOWS_NO_ADDRESS = ("-", "::1", "::ffff:127.0.0.1")
 
 def decode_records(lines: DataFrame, column: str = "value") -> DataFrame:
     """JSON object lines to a ``record`` map with case-sensitive keys; other lines give NULL."""
-    return lines.withColumn("record", F.from_json(F.col(column), RECORD_TYPE))
+    return computed_once(lines, record=F.from_json(F.col(column), RECORD_TYPE))
 
 
 def _has(key: str) -> Column:
@@ -167,21 +168,18 @@ def normalize_ssh_auth(
     value = F.col("value")
     now = as_of_col(as_of)
     year = F.lit(reference_year) if reference_year is not None else F.year(now)
-    parsed = (
-        lines.filter(F.rlike(value, F.lit(SSH_LINE)))
-        .select(
-            value,
-            F.regexp_extract(value, SSH_LINE, 1).alias("stamp"),
-            F.regexp_extract(value, SSH_LINE, 2).alias("host"),
-            F.regexp_extract(value, SSH_LINE, 4).alias("body"),
-        )
-        .select(
-            "*",
-            F.rlike("body", F.lit(SSH_FAILED)).alias("failed"),
-            F.rlike("body", F.lit(SSH_ACCEPTED)).alias("accepted"),
-        )
-        .filter("failed OR accepted")
+    daemon_lines = computed_once(
+        lines.filter(F.contains(value, F.lit("sshd"))).select(value),
+        stamp=F.regexp_extract(value, SSH_LINE, 1),
+        host=F.regexp_extract(value, SSH_LINE, 2),
+        body=F.regexp_extract(value, SSH_LINE, 4),
     )
+    # A line of another shape has an empty body, which is neither.
+    parsed = computed_once(
+        daemon_lines,
+        failed=F.rlike("body", F.lit(SSH_FAILED)),
+        accepted=F.rlike("body", F.lit(SSH_ACCEPTED)),
+    ).filter("failed OR accepted")
 
     def part(group: int) -> Column:
         return F.when(F.col("failed"), F.regexp_extract("body", SSH_FAILED, group)).otherwise(

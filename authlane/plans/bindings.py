@@ -181,8 +181,9 @@ def _heart() -> Column:
     return F.concat(F.lit("heartbeat "), F.col("et"), F.lit(" "), F.col("id"))
 
 
-def raw_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scenario lines, with some that are broken or carry a bad timestamp."""
+def raw_scenarios(spark: SparkSession, sf_dir: str, stamped: bool = True) -> DataFrame:
+    """Scenario lines, with some that are broken or carry a bad timestamp. Unstamped lines
+    have neither a timestamp nor a run id."""
     c, k, et = F.col, F.col("k"), F.col("et")
     utc = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
     entries = {
@@ -203,6 +204,8 @@ def raw_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(utc, F.lit("Z"))),
         "run_id": F.lit("run-1"),
     }
+    if not stamped:
+        entries = {key: v for key, v in entries.items() if key not in ("timestamp", "run_id")}
     line = F.when(k == 99, "{broken").otherwise(_json_line(entries))
     return source_rows(spark, sf_dir).select(line.alias("value"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from authlane import settings as S
+from authlane.functions.plan import computed_once
 from authlane.functions.times import AsOf, before
 
 XML_SCHEMA = (
@@ -26,16 +27,16 @@ def eventdata_map(xml: Column) -> Column:
     """Named EventData nodes as MAP<STRING,STRING>; nodes without a name are left out, and
     of a repeated name the last node counts."""
     nodes = F.from_xml(xml, XML_SCHEMA)["EventData"]["Data"]
-    named = F.filter(nodes, lambda n: F.trim(F.coalesce(n["_Name"], F.lit(""))) != "")
-    names = F.transform(named, lambda n: n["_Name"])
-    last = F.filter(
-        named,
-        lambda n, i: ~F.array_contains(F.slice(names, i + F.lit(2), F.size(names)), n["_Name"]),
-    )
-    pairs = F.transform(
-        last, lambda n: F.struct(n["_Name"].alias("k"), F.coalesce(n["_VALUE"], F.lit("")).alias("v"))
-    )
-    return F.coalesce(F.map_from_entries(pairs), F.create_map().cast("map<string,string>"))
+
+    def put(seen: Column, node: Column) -> Column:
+        name = node["_Name"]
+        others = F.map_filter(seen, lambda k, _: k != name)
+        value = F.coalesce(node["_VALUE"], F.lit(""))
+        blank = F.trim(F.coalesce(name, F.lit(""))) == ""
+        return F.when(blank, seen).otherwise(F.map_concat(others, F.create_map(name, value)))
+
+    empty = F.create_map().cast("map<string,string>")
+    return F.coalesce(F.aggregate(nodes, empty, put), empty)
 
 
 def logon_events(
@@ -76,7 +77,7 @@ def _nonblank(*values: Column) -> Column:
 def export_records(rows: DataFrame, cursor: int = 0) -> DataFrame:
     """Export record of every event with its ``outcome``: emitted, or why it was dropped."""
     data = F.col("data")
-    staged = rows.withColumn("data", eventdata_map(F.col("xml"))).select(
+    staged = computed_once(rows, data=eventdata_map(F.col("xml"))).select(
         F.concat(
             F.date_format("time_created", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("0Z")
         ).alias("timestamp"),
@@ -100,7 +101,7 @@ def export_records(rows: DataFrame, cursor: int = 0) -> DataFrame:
         .when(F.trim("user").isin("", "-"), BAD_USER)
         .otherwise(EMITTED)
     )
-    return staged.withColumn("outcome", outcome)
+    return computed_once(staged, outcome=outcome)
 
 
 def emitted(classified: DataFrame) -> DataFrame:
