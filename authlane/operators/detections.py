@@ -39,7 +39,7 @@ SAMPLE_SIZE = 5
 SAMPLE_SLICES = 256
 
 
-def _login_rows(auth: DataFrame) -> DataFrame:
+def login_rows(auth: DataFrame) -> DataFrame:
     return auth.filter(F.col("status").isin(S.STATUS_SUCCESS, S.STATUS_FAILURE)).selectExpr(
         "ts",
         "user",
@@ -52,13 +52,13 @@ def _login_rows(auth: DataFrame) -> DataFrame:
     )
 
 
-_MEASURES = {
+MEASURES = {
     "failures": "count_if(failed)",
     "first_failure": "min(ts) FILTER (WHERE failed)",
     "last_failure": "max(ts) FILTER (WHERE failed)",
     "first_success": "min(ts) FILTER (WHERE NOT failed)",
 }
-_MERGES = {
+MERGES = {
     "failures": "sum(failures)",
     "first_failure": "min(first_failure)",
     "last_failure": "max(last_failure)",
@@ -70,6 +70,10 @@ def _aggregates(expressions: dict[str, str]) -> list[Column]:
     return [F.expr(f"{sql} AS {name}") for name, sql in expressions.items()]
 
 
+def fact_measures() -> list[Column]:
+    return _aggregates(MEASURES)
+
+
 def _shared(facts: DataFrame) -> DataFrame:
     """Facts as one fixed plan for every rule that reads them.
 
@@ -88,7 +92,7 @@ def login_facts(
     """Facts at one instant for each window length. Only the widest window is scanned, and
     of it only the rows ``where`` keeps."""
     lengths = sorted(set(windows))
-    rows = _login_rows(auth.filter(within(F.col("ts"), as_of, lengths[-1])).filter(where))
+    rows = login_rows(auth.filter(within(F.col("ts"), as_of, lengths[-1])).filter(where))
     if len(lengths) == 1:
         rows = rows.withColumn("window_minutes", F.lit(lengths[0]))
     else:
@@ -96,9 +100,9 @@ def login_facts(
             *[F.when(within(F.col("ts"), as_of, w), F.lit(w)) for w in lengths]
         )
         rows = rows.withColumn("window_minutes", F.explode(F.array_compact(covering)))
-    facts = rows.groupBy("window_minutes", *ENTITY).agg(*_aggregates(_MEASURES))
+    facts = rows.groupBy("window_minutes", *ENTITY).agg(*fact_measures())
     return _shared(
-        facts.withColumn("evaluated_at", as_of_col(as_of)).select(*FACT_KEYS, *_MEASURES)
+        facts.withColumn("evaluated_at", as_of_col(as_of)).select(*FACT_KEYS, *MEASURES)
     )
 
 
@@ -120,10 +124,10 @@ def replay_facts(
     low = F.timestamp_micros(F.lit(first_tick * unit - lengths[-1] * 60_000_000).cast("bigint"))
     high = F.timestamp_micros(F.lit(last_tick * unit).cast("bigint"))
     panes = (
-        _login_rows(auth.filter((F.col("ts") > low) & (F.col("ts") <= high)))
+        login_rows(auth.filter((F.col("ts") > low) & (F.col("ts") <= high)))
         .withColumn("pane", ((micros + F.pmod(-micros, F.lit(unit))) / F.lit(unit)).cast("bigint"))
         .groupBy("pane", *ENTITY)
-        .agg(*_aggregates(_MEASURES))
+        .agg(*fact_measures())
     )
 
     def ticks(length: int) -> Column:
@@ -141,7 +145,7 @@ def replay_facts(
         .withColumn("window_minutes", F.col("at.window_minutes"))
         .withColumn("evaluated_at", F.timestamp_micros(F.col("at.tick") * F.lit(unit)))
         .groupBy(*FACT_KEYS)
-        .agg(*_aggregates(_MERGES))
+        .agg(*_aggregates(MERGES))
     )
 
 

@@ -19,6 +19,7 @@ from authlane.operators.rules import RULE_PACK, RuleConfig
 from authlane.operators.views import auth_events
 from authlane.session import configure
 from authlane.settings import DEFAULT_SETTINGS
+from authlane.sources.readers import spread
 
 AS_OF = datetime(2024, 1, 31)
 START = datetime(2024, 1, 1)
@@ -26,14 +27,17 @@ DAY = 24 * 60
 MONTH = 30 * DAY
 
 
-def source_rows(spark: SparkSession, sf_dir: str, since_minutes: int | None = None) -> DataFrame:
+def source_rows(
+    spark: SparkSession, sf_dir: str, since_minutes: int | None = None, parsed: bool = True
+) -> DataFrame:
     """The rows of ``events`` with the derived login facts. ``since_minutes`` restricts
-    the scan to the minutes before AS_OF, on the stored column, where Parquet can skip."""
+    the scan to the minutes before AS_OF, on the stored column, where Parquet can skip.
+    ``parsed`` says that texts are to be parsed, which is worth spreading a small scan."""
     configure(spark)
     df = spark.read.parquet(f"{sf_dir}/events.parquet")
     if since_minutes is not None:
         df = df.filter(F.col("ts") >= before(AS_OF, minutes=since_minutes).cast("timestamp_ntz"))
-    return df.selectExpr(
+    return (spread(df) if parsed else df).selectExpr(
         "event_id AS id",
         "date_trunc('MILLISECOND', CAST(ts AS TIMESTAMP)) AS ts",
         "user_id AS uid",
@@ -87,7 +91,7 @@ def bound_anchors(
     spark: SparkSession, sf_dir: str, since_minutes: int | None = None
 ) -> DataFrame:
     """Stored events without message and fields, for queries that read only anchors."""
-    return source_rows(spark, sf_dir, since_minutes).selectExpr(
+    return source_rows(spark, sf_dir, since_minutes, parsed=False).selectExpr(
         *[f"{expr} AS {name}" for name, expr in ANCHORS.items()]
     )
 

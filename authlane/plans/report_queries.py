@@ -383,8 +383,11 @@ def q_conditions(spark: SparkSession, sf: str) -> DataFrame:
 {_CONDITIONS},
 marks AS (SELECT unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-02-01', INTERVAL 1 MINUTE)) AS tick),
 hot AS (
-  SELECT DISTINCT a.rule_id, m.tick FROM alerts a JOIN cond c ON a.rule_id = c.rule_id
-    JOIN marks m ON a.ts <= m.tick AND a.ts > m.tick - to_minutes(c.lookback_minutes)),
+  SELECT DISTINCT rule_id, tick FROM (
+    SELECT a.rule_id, a.ts, c.lookback_minutes, unnest(generate_series(
+        date_trunc('minute', a.ts), a.ts + to_minutes(c.lookback_minutes), INTERVAL 1 MINUTE)) AS tick
+    FROM alerts a JOIN cond c ON a.rule_id = c.rule_id)
+  WHERE ts <= tick AND ts > tick - to_minutes(lookback_minutes)),
 states AS (
   SELECT rule_id, tick, firing, lag(firing, 1, false) OVER (PARTITION BY rule_id ORDER BY tick) AS before
   FROM (SELECT c.rule_id, m.tick, h.tick IS NOT NULL AS firing
@@ -406,8 +409,11 @@ alerts AS (
 {_CONDITIONS},
 marks AS (SELECT unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-02-01', INTERVAL 1 MINUTE)) AS tick),
 hot AS (
-  SELECT DISTINCT a.rule_id, m.tick FROM alerts a JOIN cond c ON a.rule_id = c.rule_id
-    JOIN marks m ON a.ts <= m.tick AND a.ts > m.tick - to_minutes(c.lookback_minutes)),
+  SELECT DISTINCT rule_id, tick FROM (
+    SELECT a.rule_id, a.ts, c.lookback_minutes, unnest(generate_series(
+        date_trunc('minute', a.ts), a.ts + to_minutes(c.lookback_minutes), INTERVAL 1 MINUTE)) AS tick
+    FROM alerts a JOIN cond c ON a.rule_id = c.rule_id)
+  WHERE ts <= tick AND ts > tick - to_minutes(lookback_minutes)),
 states AS (
   SELECT rule_id, tick, firing, lag(firing, 1, false) OVER (PARTITION BY rule_id ORDER BY tick) AS before
   FROM (SELECT c.rule_id, m.tick, h.tick IS NOT NULL AS firing

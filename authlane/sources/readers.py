@@ -30,6 +30,16 @@ WINDOWS_EXPORT = T.StructType(
 )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a batch read over the cores when its files give fewer tasks than that.
+
+    Parsing costs far more than moving raw rows, and one small or unsplittable compressed
+    file is one task however many cores wait. A scan of many splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def text_lines(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
     reader = spark.readStream if stream else spark.read
     return reader.options(**options).text(path)
