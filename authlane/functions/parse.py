@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from authlane.functions.text import strip
+
 # Accepted timestamp shapes. The guard keeps out partial dates such as
 # '2024', which a plain cast would take.
 SPACE_FORM = r"^\d{4}-\d{2}-\d{2} \d{1,2}:\d{2}:\d{2}([.,]\d+)?$"
@@ -22,7 +24,7 @@ def parse_rfc3339(c: Column) -> Column:
 
 def parse_event_time(c: Column) -> Column:
     """Instant of ``yyyy-MM-dd HH:mm:ss[.f]`` (UTC) or RFC 3339, NULL for anything else."""
-    text = F.trim(c)
+    text = strip(c)
     return F.when(
         F.rlike(text, F.lit(SPACE_FORM)), _cast(F.concat(text, F.lit("Z")))
     ).otherwise(parse_rfc3339(text))

@@ -6,6 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: the characters that count as white space around a text.
+WHITESPACE = " \t\n\r\x0b\x0c\x85\xa0"
+
+
+def strip(c: Column) -> Column:
+    """Trim all white space; the plain trim takes spaces only."""
+    return F.trim(c, F.lit(WHITESPACE))
+
+
 def null_if_blank(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from authlane.functions.jsonmap import is_object, stringify_map
 from authlane.functions.parse import parse_event_time
 from authlane.functions.plan import computed_once
+from authlane.functions.text import strip
 from authlane.functions.times import millis, ms_text
 from authlane.schema import ENVELOPE_COLUMNS
 
@@ -40,7 +41,7 @@ def decode_envelopes(lines: DataFrame, column: str = "value") -> DataFrame:
     reason = (
         F.when(F.col("_top").isNull(), "invalid json")
         .when(wrong_type, "wrong type")
-        .when(F.trim(texts["ts"]) == "", "empty timestamp")
+        .when(strip(texts["ts"]) == "", "empty timestamp")
         .when(ts.isNull(), "unsupported timestamp format")
     )
     judged = computed_once(row, reject_reason=reason)

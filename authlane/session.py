@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     # projection into one such method would be interpreted row by row; this lets it fall
     # back to per-operator generated code, which is split into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A JSON object that repeats a key keeps the last value instead of failing to parse.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -24,6 +26,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stream_checkpoint(spark: SparkSession, name: str, given: str | None = None) -> str:
+    """Checkpoint folder of a stream: the given one, or one under the shared folder."""
+    return given or f"{checkpoint_root(spark).rstrip('/')}/streams/{name}"
+
+
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

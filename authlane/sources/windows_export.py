@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from authlane import settings as S
 from authlane.functions.plan import computed_once
+from authlane.functions.text import strip
 from authlane.functions.times import AsOf, before
 
 XML_SCHEMA = (
@@ -32,7 +33,7 @@ def eventdata_map(xml: Column) -> Column:
         name = node["_Name"]
         others = F.map_filter(seen, lambda k, _: k != name)
         value = F.coalesce(node["_VALUE"], F.lit(""))
-        blank = F.trim(F.coalesce(name, F.lit(""))) == ""
+        blank = strip(F.coalesce(name, F.lit(""))) == ""
         return F.when(blank, seen).otherwise(F.map_concat(others, F.create_map(name, value)))
 
     empty = F.create_map().cast("map<string,string>")
@@ -71,7 +72,7 @@ def next_cursor(classified: DataFrame, cursor: int) -> DataFrame:
 
 
 def _nonblank(*values: Column) -> Column:
-    return F.coalesce(*[F.when(F.trim(v) != "", v) for v in values], F.lit(""))
+    return F.coalesce(*[F.when(strip(v) != "", v) for v in values], F.lit(""))
 
 
 def export_records(rows: DataFrame, cursor: int = 0) -> DataFrame:
@@ -89,16 +90,16 @@ def export_records(rows: DataFrame, cursor: int = 0) -> DataFrame:
         F.coalesce(data["LogonType"], F.lit("")).alias("logon_type"),
         _nonblank(data["AuthenticationPackageName"], data["LogonProcessName"]).alias("auth_method"),
         "provider_name",
-        F.trim(F.regexp_replace("message", r"\r?\n", " ")).alias("raw_message"),
+        strip(F.regexp_replace("message", r"\r?\n", " ")).alias("raw_message"),
         "record_id",
     )
     outcome = (
         F.when(F.col("record_id") <= cursor, SEEN)
         .when(
-            (F.trim("logon_type") != "") & ~F.col("logon_type").isin(*S.WINDOWS_LOGON_TYPES),
+            (strip(F.col("logon_type")) != "") & ~F.col("logon_type").isin(*S.WINDOWS_LOGON_TYPES),
             BAD_LOGON_TYPE,
         )
-        .when(F.trim("user").isin("", "-"), BAD_USER)
+        .when((strip(F.col("user")) == "") | (F.col("user") == "-"), BAD_USER)
         .otherwise(EMITTED)
     )
     return computed_once(staged, outcome=outcome)

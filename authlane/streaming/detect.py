@@ -24,7 +24,7 @@ from authlane.operators.tables import ALERT_SORT
 from authlane.operators.views import auth_events
 from authlane.schema import ALERTS
 from authlane.sources.readers import scan_events
-from authlane.streaming.ingest import write_batch
+from authlane.streaming.ingest import start, write_batch
 
 
 def recorded_alerts(spark: SparkSession, path: str, except_batch: int | None = None) -> DataFrame:
@@ -75,7 +75,7 @@ def detect_on_arrival(
     events_path: str,
     alerts_path: str,
     configs: Iterable[RuleConfig],
-    checkpoint: str,
+    checkpoint: str | None = None,
     as_of: datetime | None = None,
     top_n: int | None = 1,
     trigger: dict | None = None,
@@ -93,12 +93,7 @@ def detect_on_arrival(
             batch.sparkSession, events_path, alerts_path, configs, now, batch_id, top_n
         )
 
-    return (
-        events.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "30 seconds"}))
-        .start()
-    )
+    return start(events, run, "detect", checkpoint, trigger or {"processingTime": "30 seconds"})
 
 
 def sliding_bursts(
@@ -132,7 +127,7 @@ MERGEABLE = ("security_failed_login_burst", "security_failed_then_success")
 
 
 def alert_stream(
-    alerts: DataFrame, alerts_path: str, checkpoint: str, trigger: dict | None = None
+    alerts: DataFrame, alerts_path: str, checkpoint: str | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
     """Write streamed alert rows, leaving out fingerprints recorded before."""
 
@@ -143,13 +138,7 @@ def alert_stream(
         )
         write_batch(fresh.select(*ALERTS.names), alerts_path, batch_id, ALERT_SORT)
 
-    return (
-        alerts.writeStream.outputMode("update")
-        .foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    return start(alerts, store, "alerts", checkpoint, trigger, mode="update")
 
 
 def within_cooldown_once(alerts: DataFrame, cooldown_seconds: int) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from authlane.operators.envelope import decode_envelopes, position_id
 from authlane.operators.tables import EVENT_SORT
 from authlane.schema import EVENTS
+from authlane.session import stream_checkpoint
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, sort: tuple[str, ...]) -> None:
@@ -23,7 +24,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, sort: tuple[str, ...])
     (
         df.withColumns({"day": F.to_date("ts"), "batch_id": F.lit(batch_id)})
         .hint("rebalance", "day")
-        .sortWithinPartitions("day", *sort)
+        .sortWithinPartitions("day", "batch_id", *sort)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day", "batch_id")
@@ -35,7 +36,7 @@ def ingest_envelopes(
     lines: DataFrame,
     events_path: str,
     quarantine_path: str,
-    checkpoint: str,
+    checkpoint: str | None = None,
     position: tuple[str, ...] = (),
     trigger: dict | None = None,
 ) -> StreamingQuery:
@@ -63,15 +64,16 @@ def ingest_envelopes(
         finally:
             decoded.unpersist()
 
-    return _start(lines, store, checkpoint, trigger)
+    return start(lines, store, "ingest", checkpoint, trigger)
 
 
 def ingest_lane(
     raw: DataFrame,
     normalize: Callable[[DataFrame], DataFrame],
     events_path: str,
-    checkpoint: str,
+    checkpoint: str | None = None,
     trigger: dict | None = None,
+    name: str = "lane",
 ) -> StreamingQuery:
     """Normalize one raw lane and append its events, without a bus between."""
     envelopes = normalize(raw)
@@ -80,7 +82,7 @@ def ingest_lane(
     def store(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, events_path, batch_id, EVENT_SORT)
 
-    return _start(rows, store, checkpoint, trigger)
+    return start(rows, store, name, checkpoint, trigger)
 
 
 def without_redelivered(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -89,23 +91,29 @@ def without_redelivered(events: DataFrame, delay: str = "10 minutes") -> DataFra
 
 
 def publish_json(
-    envelopes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    envelopes: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
     """Write normalized envelopes as JSON lines: the debug sink, or a file-based bus."""
+    folder = stream_checkpoint(envelopes.sparkSession, "publish", checkpoint)
     writer = envelopes.writeStream.format("json").option("path", path)
-    return writer.option("checkpointLocation", checkpoint).trigger(
+    return writer.option("checkpointLocation", folder).trigger(
         **(trigger or {"availableNow": True})
     ).start()
 
 
-def _start(
-    df: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None
+def start(
+    df: DataFrame,
+    store: Callable[[DataFrame, int], None],
+    name: str,
+    checkpoint: str | None,
+    trigger: dict | None,
+    mode: str = "append",
 ) -> StreamingQuery:
+    """Run ``store`` per micro-batch, by default until the input that is there now is read."""
     return (
-        df.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
+        df.writeStream.outputMode(mode)
+        .foreachBatch(store)
+        .option("checkpointLocation", stream_checkpoint(df.sparkSession, name, checkpoint))
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-
-

@@ -23,5 +23,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield session
+    from authlane.session import configure
+
+    yield configure(session)
     session.stop()

@@ -284,6 +284,11 @@ def test_reject_reason(spark, line, reason):
     assert one(E.decode_envelopes(lines(spark, line))).reject_reason == reason
 
 
+def test_repeated_key_keeps_the_last(spark):
+    line = '{"ts":"2024-01-02 03:04:05","message":"a","message":"b"}'
+    assert one(E.accepted(E.decode_envelopes(lines(spark, line)))).message == "b"
+
+
 def test_identical_rows_are_kept(spark):
     line = '{"ts":"2024-01-02 03:04:05","message":"m"}'
     rows = E.with_event_id(E.accepted(E.decode_envelopes(lines(spark, line, line))))

@@ -11,7 +11,7 @@ from authlane.operators import presentation as C
 from authlane.operators import reports as R
 from authlane.operators import tables as T
 from authlane.schema import ALERTS, EVENTS
-from authlane.session import checkpoint_root
+from authlane.session import checkpoint_root, stream_checkpoint
 from authlane.sources import readers as SR
 
 NOW = datetime(2026, 4, 9, 8, 0)
@@ -159,4 +159,11 @@ def test_readers(spark, tmp_path):
 
 
 def test_checkpoint_root(spark):
-    assert checkpoint_root(spark, "/x") in ("/x", spark.conf.get("spark.checkpoint.dir", "/x"))
+    assert stream_checkpoint(spark, "n", "/given") == "/given"
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        assert checkpoint_root(spark, "/x") == "/x"
+        with pytest.raises(ValueError):
+            checkpoint_root(spark)
+        spark.conf.set("spark.checkpoint.dir", "/shared/")
+        assert stream_checkpoint(spark, "n") == "/shared/streams/n"
+        spark.conf.unset("spark.checkpoint.dir")

@@ -75,6 +75,20 @@ def test_rewritten_batch_replaces_itself(spark, bus, tmp_path):
     assert spark.read.parquet(path).count() == 2 * rows.count()
 
 
+def test_batch_files_are_sorted(spark, tmp_path):
+    path = tmp_path / "t"
+    rows = spark.range(1000).select(
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.col("id") * 7919, F.lit(1000))).alias("ts"),
+        F.lit("p").alias("platform"),
+    )
+    SI.write_batch(rows.repartition(4), str(path), 3, ("ts", "platform"))
+    files = list(path.rglob("*.parquet"))
+    assert files and all("batch_id=3" in str(f) for f in files)
+    for f in files:
+        stamps = [r.ts for r in spark.read.parquet(str(f)).collect()]
+        assert stamps == sorted(stamps)
+
+
 def test_detection_pass_fires_once(spark, bus, tmp_path):
     run_ingest(spark, bus, tmp_path)
     events, alerts = str(tmp_path / "events"), str(tmp_path / "alerts")
