@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from authlane.functions.text import sql_text
 from authlane.functions.times import AsOf, as_of_col, before
-from authlane.operators.detections import evaluate, login_facts, replay_facts, top_groups
+from authlane.operators.detections import (
+    BUILTIN_RULES,
+    evaluate,
+    login_facts,
+    replay_facts,
+    top_groups,
+)
 from authlane.operators.rules import RuleConfig, meets_threshold, suppress
 from authlane.schema import ALERTS, RULE_RESULT
 from authlane.settings import DEFAULT_SETTINGS, Settings
@@ -113,6 +119,11 @@ def run_sql_rule(auth: DataFrame, rule: SqlRule, as_of: AsOf, top_n: int | None)
     )
 
 
+def runnable(configs: Iterable[RuleConfig]) -> list[RuleConfig]:
+    """Configs that belong to a built-in rule."""
+    return [c for c in configs if c.id in BUILTIN_RULES]
+
+
 def candidates(
     facts: DataFrame,
     configs: Iterable[RuleConfig],
@@ -188,8 +199,9 @@ def run_pack(
 
     ``dedup`` is 'ever' (never repeat a recorded fingerprint) or 'cooldown' (not within
     the rule's cooldown). A job passes persisted ``facts`` so that the rules share them.
+    A config that no built-in rule goes by is left out; with no rule there is no alert.
     """
-    configs, sql_rules = list(configs), list(sql_rules)
+    configs, sql_rules = runnable(configs), list(sql_rules)
     parts: list[DataFrame] = []
     if configs:
         if facts is None:
@@ -198,6 +210,8 @@ def run_pack(
     for rule in sql_rules:
         found = run_sql_rule(auth, rule, as_of, top_n)
         parts.append(alert_rows(found, rule.config, " ".join(rule.sql.split()), settings))
+    if not parts:
+        return empty_alerts(auth.sparkSession)
     alerts = parts[0]
     for more in parts[1:]:
         alerts = alerts.unionByName(more)

@@ -68,6 +68,8 @@ class RuleConfig:
             value = getattr(self, key)
             if not isinstance(value, int) or isinstance(value, bool) or value < 0:
                 raise RuleConfigError(f"{key} must be a non-negative integer")
+        if self.window_minutes == 0:
+            raise RuleConfigError("window_minutes must not be zero")
 
     @classmethod
     def from_mapping(cls, raw: Mapping[str, object]) -> RuleConfig:

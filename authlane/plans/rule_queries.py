@@ -110,6 +110,7 @@ def q_registry(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame([(c,) for c in CONFIGS], "id string")
     metadata = spark.createDataFrame(list(_METADATA.items()), "id string, enabled string")
     enabled = R.enabled_rules(rules, metadata).select(F.col("id").alias("rule_id"))
+    # One row per configured rule, made on the driver above: small whatever the tables hold.
     return (
         alerts.join(F.broadcast(enabled), "rule_id", "left_semi")
         .groupBy("rule_id")

@@ -18,7 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from authlane.operators import detections as D
-from authlane.operators.pack import SqlRule, empty_alerts, first_per_fingerprint, run_pack
+from authlane.operators.pack import (
+    SqlRule,
+    empty_alerts,
+    first_per_fingerprint,
+    run_pack,
+    runnable,
+)
 from authlane.operators.rules import RuleConfig
 from authlane.operators.tables import ALERT_SORT
 from authlane.operators.views import auth_events
@@ -51,7 +57,9 @@ def detection_pass(
     sql_rules: Iterable[SqlRule] = (),
 ) -> None:
     """One poll at ``as_of``: reads the days the widest window touches, and no more."""
-    configs, sql_rules = list(configs), list(sql_rules)
+    configs, sql_rules = runnable(configs), list(sql_rules)
+    if not configs and not sql_rules:
+        return
     widest = max(c.window_minutes for c in [*configs, *[r.config for r in sql_rules]])
     since = as_of - timedelta(minutes=widest)
     auth = auth_events(scan_events(spark, events_path, since))
@@ -142,7 +150,7 @@ def alert_stream(
 
 
 def within_cooldown_once(alerts: DataFrame, cooldown_seconds: int) -> DataFrame:
-    """Streamed alerts with repeats of a fingerprint dropped for the cooldown."""
+    """Streamed alerts with repeats of a fingerprint dropped for at least the cooldown."""
     if cooldown_seconds <= 0:
         return alerts
     return alerts.withWatermark("ts", f"{cooldown_seconds} seconds").dropDuplicatesWithinWatermark(

@@ -70,6 +70,8 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
+        # The test tables are megabytes: let adaptive execution keep small tasks.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)

@@ -206,6 +206,17 @@ def test_config_defaults_and_skips():
     assert [s[0] for s in skipped] == ["b", "", "d"]
 
 
+def test_rules_that_cannot_run(spark):
+    with pytest.raises(RuleConfigError):
+        RuleConfig(id="r", name="R", window_minutes=0)
+    auth = auth_rows(spark, [fail(i) for i in range(5)])
+    at = NOW + timedelta(minutes=1)
+    stray = RuleConfig(id="no_such_rule", name="Stray")
+    nothing = P.run_pack(auth, [stray], at)
+    assert nothing.count() == 0 and nothing.columns == ALERTS.names
+    assert [a.rule_id for a in P.run_pack(auth, [stray, BY_ID[BURST]], at).collect()] == [BURST]
+
+
 def test_registry(spark):
     rules = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     metadata = spark.createDataFrame([("a", " FALSE "), ("b", "yes"), ("z", "0")], "id string, enabled string")

@@ -164,6 +164,17 @@ def test_lane_stream_equals_batch(spark, tmp_path):
     assert len(row) == 1 and row[0].fields["user"] == "admin"
 
 
+def test_redelivered_messages_are_dropped(spark, bus, tmp_path):
+    decoded = E.accepted(E.decode_envelopes(SR.text_lines(spark, bus, stream=True)))
+    # Messages 0 to 5 without 4; the position id repeats every second message.
+    position = F.regexp_extract("message", r"(\d+)$", 1).cast("int") % 2
+    events = E.with_event_id(decoded, F.lit("topic"), position.cast("string"))
+    once = SI.without_redelivered(events)
+    query = once.writeStream.format("memory").queryName("delivered").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert spark.table("delivered").count() == 2
+
+
 def test_publish_json_and_cooldown_stream(spark, bus, tmp_path):
     stream = E.accepted(E.decode_envelopes(SR.text_lines(spark, bus, stream=True)))
     SI.publish_json(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(120)
