@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from authlane.llm.common import table
+from authlane.llm.jaccard_join import near_duplicates
 from authlane.llm.line_dedup import dedup_lines
 from authlane.llm.mixing import mix
 from authlane.llm.packing import pack
@@ -50,6 +51,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_packing": op7_packing,
     "op10_mixing": op10_mixing,
 }
