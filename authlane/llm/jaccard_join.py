@@ -41,7 +41,7 @@ class Similarity:
     # Part of the token space in which tokens are counted over all classes.
     counted: float = 0.2
     # Rounds of joining by stars before the full comparison of what is left.
-    rounds: int = 5
+    rounds: int = 3
 
     @property
     def low(self) -> int:
@@ -52,6 +52,10 @@ class Similarity:
         """How many first tokens of a set of ``n`` must be looked up."""
         return n - F.ceil(n * self.percent / 100) + 1
 
+    def least_overlap(self, n: Column, m: Column) -> Column:
+        """The least intersection of linked sets of sizes ``n`` and ``m``."""
+        return F.ceil((n + m) * self.percent / (100 + self.percent))
+
     def linked(self, both: Column, n: Column, m: Column) -> Column:
         return both * 100 >= (n + m - both) * self.percent
 
@@ -99,8 +103,9 @@ def _shared(sets: DataFrame) -> DataFrame:
 
 
 def first_tokens(sets: DataFrame, docs: DataFrame, classes: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
-    """(cells, full): the matrix cells (token, cls, n) to look up, and full token sets.
+    """(cells, full): the matrix cells (token, cls, n, pos) to look up, and full token sets.
 
+    ``pos`` counts the tokens of the class that come before in the global order.
     ``full`` holds (cls, n, tokens) of every class that has a cell or needed all its tokens.
     """
     one = sets.join(classes.select("cls", F.col("first").alias("doc_id")), ["cls", "doc_id"])
@@ -136,13 +141,20 @@ def first_tokens(sets: DataFrame, docs: DataFrame, classes: DataFrame, sim: Simi
         F.array_sort(F.concat(often("low_shared"), often("high_shared"))).alias("common"),
     )
     # In order: own and rare tokens of the counted part, then of the rest, then common ones.
-    left = F.col("look") - F.col("own_low")
-    head = lambda name, n: F.slice(name, 1, F.greatest(F.lit(0), F.least(n, F.size(name))).cast("int"))
-    after_low = left - F.size("low_rare") - F.col("own_high")
+    before_rest = F.col("own_low") + F.size("low_rare") + F.col("own_high")
+
+    def placed(name: str, before: Column) -> Column:
+        wanted = F.greatest(F.lit(0), F.least(F.col("look") - before, F.size(name))).cast("int")
+        return F.transform(
+            F.slice(name, 1, wanted), lambda s, i: F.struct(s["token"].alias("token"), (before + i).cast("int").alias("pos"))
+        )
+
     first = F.concat(
-        head("low_rare", left), head("high_rare", after_low), head("common", after_low - F.size("high_rare"))
+        placed("low_rare", F.col("own_low")),
+        placed("high_rare", before_rest),
+        placed("common", before_rest + F.size("high_rare")),
     )
-    cells = ranked.select("cls", "n", F.explode(first).alias("s")).select("cls", "n", F.col("s.token").alias("token"))
+    cells = ranked.select("cls", "n", F.inline(first))
     return written(cells, "cells"), full
 
 
@@ -160,6 +172,17 @@ def _near_size(n: str, m: str, sim: Similarity) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * sim.percent
 
 
+def _can_reach(n: str, i: Column, m: str, j: Column, sim: Similarity) -> Column:
+    """Sets of sizes n and m whose first common token is at i and j can be linked.
+
+    What follows the first common token must make up the least overlap in both sets. Any
+    linked pair meets this at its first common token, so testing every common token alone
+    loses no pair.
+    """
+    least = sim.least_overlap(F.col(n), F.col(m))
+    return (F.col(n) - i >= least) & (F.col(m) - j >= least)
+
+
 def _merged(groups: DataFrame, edges: DataFrame) -> DataFrame:
     """(cls, grp) after groups that an edge (a, b) of classes joins have become one."""
     g = groups.select("cls", "grp")
@@ -185,10 +208,11 @@ def _star_round(cells: DataFrame, groups: DataFrame, full: DataFrame, sim: Simil
     """
     band = F.floor(F.log("n") / -np.log(sim.percent / 100) + 0.5 * (nth % 2)).cast("int")
     ready = written(_open_cells(cells, groups).withColumn("band", band), "open")
-    lead = F.min(F.struct(F.xxhash64("cls", F.lit(nth)).alias("h"), "cls", "grp", "n"))
+    lead = F.min(F.struct(F.xxhash64("cls", F.lit(nth)).alias("h"), "cls", "grp", "n", "pos"))
     leaders = ready.groupBy("token", "band").agg(lead.alias("l"))
     named = ready.join(leaders, ["token", "band"]).where("l.grp <> grp")
-    named = named.where(_near_size("n", "l.n", sim)).groupBy("cls", F.col("l.cls").alias("b")).agg(F.count("*").alias("hits"))
+    reach = _can_reach("n", F.col("pos"), "l.n", F.col("l.pos"), sim)
+    named = named.where(_near_size("n", "l.n", sim) & reach).groupBy("cls", F.col("l.cls").alias("b")).agg(F.count("*").alias("hits"))
     best = named.groupBy("cls").agg(F.max(F.struct("hits", "b"))["b"].alias("b"))
     return _verified(best.select(F.col("cls").alias("a"), "b"), full, sim)
 
@@ -202,22 +226,34 @@ def _last_pairs(cells: DataFrame, groups: DataFrame, full: DataFrame, sim: Simil
     """
     ready = written(_open_cells(cells, groups), "open")
     sizes = groups.groupBy("grp").agg(F.count("*").alias("size"))
-    sized = ready.join(sizes, "grp")
-    matrix = sized.select("token", F.col("grp").alias("g"), F.col("size").alias("g_size")).distinct()
+    band = F.floor(F.log("n") / -np.log(sim.percent / 100)).cast("int")
+    sized = ready.join(sizes, "grp").withColumn("band", band)
+    range_of = F.min("n").alias("m0"), F.max("n").alias("m1"), F.min("pos").alias("j")
+    matrix = sized.groupBy("token", F.col("grp").alias("g"), F.col("size").alias("g_size"), "band").agg(*range_of)
     smaller = (F.col("size") < F.col("g_size")) | ((F.col("size") == F.col("g_size")) & (F.col("grp") < F.col("g")))
-    wanted = sized.join(matrix, "token").where(smaller).select("cls", "n", "g").distinct()
-    wanted = written(wanted, "wanted")
+    # The least overlap falls with m0; what a member has after a token is most for m1.
+    reach = (F.col("n") - F.col("pos") >= sim.least_overlap(F.col("n"), F.col("m0"))) & (
+        F.col("m1") - F.col("j") >= sim.least_overlap(F.col("n"), F.col("m1"))
+    )
+    fits = (F.col("m1") * 100 >= F.col("n") * sim.percent) & (F.col("n") * 100 >= F.col("m0") * sim.percent)
+    wanted = sized.drop("band").join(matrix, "token").where(smaller & reach & fits)
+    wanted = written(wanted.select("cls", "n", "g", "g_size").distinct(), "wanted")
 
-    asked = wanted.select("g").distinct()
-    members = groups.withColumnRenamed("grp", "g").join(asked, "g", "left_semi")
+    # A group of one is its own union: its bound would be the comparison itself.
+    large = wanted.where("g_size > 1")
+    members = groups.withColumnRenamed("grp", "g").join(large.select("g").distinct(), "g", "left_semi")
     union = full.join(members, "cls").select("g", F.explode("tokens").alias("token")).distinct()
-    query = wanted.join(full.select("cls", "tokens"), "cls").select("cls", "n", "g", F.explode("tokens").alias("token"))
+    query = large.join(full.select("cls", "tokens"), "cls").select("cls", "n", "g", F.explode("tokens").alias("token"))
     bound = query.join(union, ["g", "token"]).groupBy("cls", "n", "g").agg(F.count("*").alias("overlap"))
-    opened = written(bound.where(F.col("overlap") * 100 >= F.col("n") * sim.percent).select("cls", "n", "g"), "opened")
+    opened = bound.where(F.col("overlap") * 100 >= F.col("n") * sim.percent).select("cls", "n", "g")
+    opened = written(opened.unionByName(wanted.where("g_size = 1").select("cls", "n", "g")), "opened")
 
-    mine = opened.join(ready.select("cls", "token"), "cls").select(F.col("cls").alias("a"), "n", "g", "token")
-    theirs = ready.select(F.col("grp").alias("g"), "token", F.col("cls").alias("b"), F.col("n").alias("m"))
-    pairs = mine.join(theirs, ["g", "token"]).where(_near_size("n", "m", sim)).select("a", "b").distinct()
+    mine = opened.join(ready.select("cls", "token", "pos"), "cls").select(F.col("cls").alias("a"), "n", "g", "token", "pos")
+    theirs = ready.select(
+        F.col("grp").alias("g"), "token", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("pos").alias("j")
+    )
+    near = _near_size("n", "m", sim) & _can_reach("n", F.col("pos"), "m", F.col("j"), sim)
+    pairs = written(mine.join(theirs, ["g", "token"]).where(near).select("a", "b").distinct(), "pairs")
     return _verified(pairs, full, sim)
 
 
