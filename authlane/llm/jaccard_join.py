@@ -10,7 +10,7 @@ a class whose first ``n - ceil(t n) + 1`` tokens nobody else has needs no look a
 frequency of tokens is counted over all classes, for a fixed fifth of the token space; a
 class with too few rare tokens in that fifth brings in the rest of its tokens, whose
 frequency is counted among such classes. Groups form in rounds, in each of which a class is
-compared with at most one other: a large set of near copies is joined by stars and never as
+compared with a few others at most: a large set of near copies is joined by stars and never as
 pairs. When rounds stop merging, what may still be linked across groups is compared in full.
 """
 
@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from authlane.llm.common import ship, written
 from authlane.llm.components import components
@@ -40,8 +41,11 @@ class Similarity:
     common: int = 32
     # Part of the token space in which tokens are counted over all classes.
     counted: float = 0.2
-    # Rounds of joining by stars before the full comparison of what is left.
-    rounds: int = 3
+    # Rounds of joining by stars before the full comparison of what is left; they end
+    # earlier when a round links fewer than one in ``worth`` of the classes.
+    rounds: int = 8
+    tests: int = 4
+    worth: int = 200
 
     @property
     def low(self) -> int:
@@ -103,8 +107,9 @@ def _shared(sets: DataFrame) -> DataFrame:
 
 
 def first_tokens(sets: DataFrame, docs: DataFrame, classes: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
-    """(cells, full): the matrix cells (token, cls, n, pos) to look up, and full token sets.
+    """(cells, full): the matrix cells (token, cls, n, own, pos), and full token sets.
 
+    ``own`` is the share of a class's counted tokens that no other has, in twentieths, and
     ``pos`` counts the tokens of the class that come before in the global order.
     ``full`` holds (cls, n, tokens) of every class that has a cell or needed all its tokens.
     """
@@ -135,6 +140,8 @@ def first_tokens(sets: DataFrame, docs: DataFrame, classes: DataFrame, sim: Simi
         "n",
         sim.look(F.col("n")).alias("look"),
         (F.col("n_low") - F.size("low_shared")).alias("own_low"),
+        # In steps of a twentieth: classes with the same share are of one kind.
+        F.coalesce(F.floor(20 * (1 - F.size("low_shared") / F.nullif("n_low", F.lit(0)))), F.lit(20)).cast("int").alias("own"),
         (F.col("n") - F.col("n_low") - F.size("high_shared")).alias("own_high"),
         rare("low_shared").alias("low_rare"),
         rare("high_shared").alias("high_rare"),
@@ -154,7 +161,7 @@ def first_tokens(sets: DataFrame, docs: DataFrame, classes: DataFrame, sim: Simi
         placed("high_rare", before_rest),
         placed("common", before_rest + F.size("high_rare")),
     )
-    cells = ranked.select("cls", "n", F.inline(first))
+    cells = ranked.select("cls", "n", "own", F.inline(first))
     return written(cells, "cells"), full
 
 
@@ -201,20 +208,29 @@ def _open_cells(cells: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _star_round(cells: DataFrame, groups: DataFrame, full: DataFrame, sim: Similarity, nth: int) -> DataFrame:
-    """Linked pairs, at most one per class: with the leader that most of its tokens name.
+    """Linked pairs, at most ``tests`` looked at per class: with leaders its tokens name.
 
-    A token's leader among classes of similar size is the one with the least hash of this
-    round; sizes are cut into bands, moved by half a band every other round.
+    A token's leaders among classes of similar size are the least ones by several hashes of
+    this round; the first of them has the least share of own tokens, as such classes are
+    nearest to what all have in common. Sizes are cut into bands, moved by half a band in
+    turn. A class tries the leaders that most of its tokens name and that it can reach.
     """
     band = F.floor(F.log("n") / -np.log(sim.percent / 100) + 0.5 * (nth % 2)).cast("int")
     ready = written(_open_cells(cells, groups).withColumn("band", band), "open")
-    lead = F.min(F.struct(F.xxhash64("cls", F.lit(nth)).alias("h"), "cls", "grp", "n", "pos"))
-    leaders = ready.groupBy("token", "band").agg(lead.alias("l"))
-    named = ready.join(leaders, ["token", "band"]).where("l.grp <> grp")
-    reach = _can_reach("n", F.col("pos"), "l.n", F.col("l.pos"), sim)
-    named = named.where(_near_size("n", "l.n", sim) & reach).groupBy("cls", F.col("l.cls").alias("b")).agg(F.count("*").alias("hits"))
-    best = named.groupBy("cls").agg(F.max(F.struct("hits", "b"))["b"].alias("b"))
-    return _verified(best.select(F.col("cls").alias("a"), "b"), full, sim)
+    known = F.col("cls").alias("b"), F.col("grp").alias("g"), F.col("n").alias("m"), F.col("pos").alias("j")
+    leads = [
+        F.min(F.struct((F.col("own") if i == 0 else F.lit(0)).alias("rank"), F.xxhash64("cls", F.lit(nth), F.lit(i)).alias("h"), *known))
+        for i in range(sim.tests)
+    ]
+    leaders = ready.groupBy("token", "band").agg(*[x.alias(f"l{i}") for i, x in enumerate(leads)])
+    named = ready.join(leaders, ["token", "band"])
+    chosen = F.array_distinct(F.array(*[F.struct(*[F.col(f"l{i}.{c}") for c in "bgmj"]) for i in range(sim.tests)]))
+    named = named.select("cls", "grp", "n", "pos", F.inline(chosen)).where("g <> grp")
+    seen = named.groupBy("cls", "n", "b", "m").agg(F.count("*").alias("hits"), F.min("pos").alias("i"), F.min("j").alias("j"))
+    seen = seen.where(_near_size("n", "m", sim) & _can_reach("n", F.col("i"), "m", F.col("j"), sim))
+    order = Window.partitionBy("cls").orderBy(F.desc("hits"), F.xxhash64("b", F.lit(nth)))
+    best = seen.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sim.tests)
+    return _verified(written(best.select(F.col("cls").alias("a"), "b"), "tests"), full, sim)
 
 
 def _last_pairs(cells: DataFrame, groups: DataFrame, full: DataFrame, sim: Similarity) -> DataFrame:
@@ -271,11 +287,14 @@ def near_duplicates(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     classes = sets.groupBy("cls").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
     cells, full = first_tokens(sets, docs, classes, sim)
     groups = written(cells.select("cls", F.col("cls").alias("grp")).distinct(), "groups")
+    n_classes = groups.count()
     for nth in range(sim.rounds):
         edges = written(_star_round(cells, groups, full, sim, nth), "edges")
-        if edges.isEmpty():
+        n_edges = edges.count()
+        if n_edges:
+            groups = _merged(groups, edges)
+        if n_edges * sim.worth < n_classes:
             break
-        groups = _merged(groups, edges)
     edges = written(_last_pairs(cells, groups, full, sim), "edges")
     if not edges.isEmpty():
         groups = _merged(groups, edges)
