@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from authlane.llm.common import table
+from authlane.llm.fingerprints import fingerprints
 from authlane.llm.jaccard_join import near_duplicates
 from authlane.llm.line_dedup import dedup_lines
 from authlane.llm.mixing import mix
 from authlane.llm.packing import pack
 from authlane.llm.sharding import ShardTree, shard_documents
+from authlane.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +53,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -60,6 +67,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints(table(spark, sf_dir, "documents"))
+    sha = F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256")
+    return found.select("doc_id", "n_chars", sha, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -68,8 +81,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
+    "op4_toxicity": op4_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_packing": op7_packing,
+    "op9_fingerprints": op9_fingerprints,
     "op10_mixing": op10_mixing,
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL}
