@@ -41,9 +41,9 @@ class Similarity:
     common: int = 32
     # Part of the token space in which tokens are counted over all classes.
     counted: float = 0.2
-    # Rounds of joining by stars before the full comparison of what is left; they end
-    # earlier when a round links fewer than one in ``worth`` of the classes.
-    rounds: int = 8
+    # Rounds of joining by stars before the full comparison of what is left, and how many
+    # leaders a class may try in each.
+    rounds: int = 2
     tests: int = 4
     worth: int = 200
 
@@ -169,9 +169,9 @@ def _verified(pairs: DataFrame, full: DataFrame, sim: Similarity) -> DataFrame:
     """The pairs (a, b) that are linked, by exact intersection of their sets."""
     left = full.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
     right = full.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
-    right = right.join(pairs.select("b").distinct(), "b", "left_semi")
     both = F.size(F.array_intersect("t_a", "t_b"))
-    return pairs.join(left, "a").join(right, "b").where(sim.linked(both, F.col("n_a"), F.col("n_b"))).select("a", "b")
+    # Sets are large and pairs many: one plan at every size, without broadcasts.
+    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(sim.linked(both, F.col("n_a"), F.col("n_b"))).select("a", "b")
 
 
 def _near_size(n: str, m: str, sim: Similarity) -> Column:
@@ -287,14 +287,11 @@ def near_duplicates(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     classes = sets.groupBy("cls").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
     cells, full = first_tokens(sets, docs, classes, sim)
     groups = written(cells.select("cls", F.col("cls").alias("grp")).distinct(), "groups")
-    n_classes = groups.count()
     for nth in range(sim.rounds):
         edges = written(_star_round(cells, groups, full, sim, nth), "edges")
-        n_edges = edges.count()
-        if n_edges:
-            groups = _merged(groups, edges)
-        if n_edges * sim.worth < n_classes:
+        if edges.isEmpty():
             break
+        groups = _merged(groups, edges)
     edges = written(_last_pairs(cells, groups, full, sim), "edges")
     if not edges.isEmpty():
         groups = _merged(groups, edges)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from authlane.llm.class_lm import score_documents
 from authlane.llm.common import table
 from authlane.llm.fingerprints import fingerprints
 from authlane.llm.jaccard_join import near_duplicates
@@ -63,6 +64,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op3_sharding": op3_sharding,
     "op4_toxicity": op4_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_class_lm": op6_class_lm,
     "op7_packing": op7_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_mixing": op10_mixing,

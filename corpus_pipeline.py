@@ -8,19 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from authlane.llm.common import table, written
+from authlane.llm.jaccard_join import near_duplicates
 from authlane.llm.line_dedup import dedup_lines
 from authlane.llm.mixing import mixed_documents
 from authlane.llm.packing import pack
+from authlane.llm.toxicity import toxicity
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not take for toxic."""
+    return toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 0").select(*COLUMNS)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose the lines that an earlier document holds; a text left blank goes."""
+    """Texts lose the lines that an earlier document holds; a text that this leaves blank goes."""
     kept = dedup_lines(docs).where("n_dropped = 0 OR text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id.
+
+    Documents without words are no near duplicates of anything, and all stay.
+    """
+    found = near_duplicates(docs)
+    later = found.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(later, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of sources takes it."""
     return mixed_documents(docs).select(*COLUMNS)
@@ -34,7 +51,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxic_filter),
     ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_dedup),
     ("mixing sources to target weights", mixing),
     ("packing", packing),
 ]
