@@ -11,6 +11,7 @@ from authlane.llm.class_lm import score_documents
 from authlane.llm.common import table
 from authlane.llm.fingerprints import fingerprints
 from authlane.llm.jaccard_join import near_duplicates
+from authlane.llm.language_id import identify
 from authlane.llm.line_dedup import dedup_lines
 from authlane.llm.mixing import mix
 from authlane.llm.packing import pack
@@ -20,6 +21,10 @@ from authlane.llm.toxicity import toxicity
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
@@ -84,6 +89,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
     "op4_toxicity": op4_toxicity,
