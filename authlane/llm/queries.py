@@ -17,6 +17,7 @@ from authlane.llm.mixing import mix
 from authlane.llm.packing import pack
 from authlane.llm.sharding import ShardTree, shard_documents
 from authlane.llm.toxicity import toxicity
+from authlane.llm.wand_search import search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +78,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op8_wand_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the whole texts of every twentieth id, searched in all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return search(docs, docs.where("doc_id % 20 = 0"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints(table(spark, sf_dir, "documents"))
     sha = F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256")
@@ -96,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_class_lm": op6_class_lm,
     "op7_packing": op7_packing,
+    "op8_wand_search": op8_wand_search,
     "op9_fingerprints": op9_fingerprints,
     "op10_mixing": op10_mixing,
 }
