@@ -174,7 +174,9 @@ def identify(pages: DataFrame, documents: DataFrame, f: Fusion = Fusion()) -> Da
     rows = rows.withColumn("prior", smooth(less(F.col("host_n")), F.col("by_domain"), f.host))
     logs = F.zip_with("ll", "prior", lambda a, b: a + F.log(b + f.floor))
     for key in ("declared", "suffix", "folder"):
-        rows = rows.join(_sums(rows.select(key, "p"), key, k), key)
+        sums = _sums(rows.select(key, "p"), key, k)
+        # Languages and folders have two or three letters: at most 26**2 + 26**3 values.
+        rows = rows.join(sums if key == "suffix" else F.broadcast(sums), key)
         # P(value | language), smoothed towards the value's share over all languages.
         share = F.aggregate(F.col(f"{key}_n"), F.lit(0.0), lambda s, x: s + x) / float(total.sum())
         given = F.zip_with(less(F.col(f"{key}_n")), per_lang, lambda n, t: F.log((n + f.table * share) / (t + f.table)))
