@@ -99,8 +99,11 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
         left = histogram[length]
         while left:
             room = max(free, default=0)
-            if room < length:  # fits nowhere: new packs
-                free.setdefault(capacity - length, []).append([(length,), left])
+            if room < length:  # fits nowhere: new packs, each filled before the next is opened
+                per = capacity // length
+                for size, packs in ((per, left // per), (left % per, 1)):
+                    if size and packs:
+                        free.setdefault(capacity - size * length, []).append([(length,) * size, packs])
                 break
             pattern, count = free[room].pop()
             if not free[room]:
