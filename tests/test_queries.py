@@ -6,9 +6,11 @@ import __spark_entry__ as entry
 import pytest
 from compare import connect, mismatch
 
+from authlane.plans import catalog
+
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,7 @@ def duck():
 
 def test_registry_is_complete():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
