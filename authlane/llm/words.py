@@ -22,7 +22,7 @@ LETTERS = np.zeros(256, dtype=bool)  # bytes of runs of letters; all of a charac
 LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True
 
 # Bytes of text handled at once; a longer text is handled alone and whole.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 _powers: dict[str, np.ndarray] = {}
 
 
