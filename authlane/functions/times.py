@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,11 @@ def to_micros(moment: datetime) -> int:
     return (delta.days * 86400 + delta.seconds) * 1_000_000 + delta.microseconds
 
 
+def utc_day(moment: datetime) -> str:
+    """The UTC day an instant falls on; a naive datetime is read as UTC."""
+    return (datetime(1970, 1, 1) + timedelta(microseconds=to_micros(moment))).strftime("%Y-%m-%d")
+
+
 def as_of_col(as_of: AsOf) -> Column:
     """The evaluation instant. A datetime folds to a literal, so that predicates
     built on it reach the Parquet scan."""

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from authlane.functions.text import sql_text
-from authlane.functions.times import AsOf, as_of_col, before
+from authlane.functions.times import AsOf, as_of_col, before, to_micros
 from authlane.operators.detections import (
     BUILTIN_RULES,
     evaluate,
@@ -92,7 +92,7 @@ def run_sql_rule(auth: DataFrame, rule: SqlRule, as_of: AsOf, top_n: int | None)
     """Evaluate a user rule. Suppression applies to its input, whatever the SQL says."""
     config = rule.config
     now = (
-        as_of.strftime("TIMESTAMP '%Y-%m-%d %H:%M:%S.%f UTC'")
+        f"timestamp_micros({to_micros(as_of)}L)"
         if isinstance(as_of, datetime)
         else "date_trunc('SECOND', current_timestamp())"
     )

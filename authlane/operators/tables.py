@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from authlane.functions.times import AsOf, as_of_col, before
+from authlane.functions.times import AsOf, as_of_col, before, utc_day
 from authlane.schema import ALERT_DEFAULTS, EVENTS, NOW
 from authlane.settings import DEFAULT_SETTINGS, Settings
 
@@ -145,7 +145,7 @@ def apply_retention(spark: SparkSession, path: str, as_of: datetime, days: int)
     hadoop = spark._jvm.org.apache.hadoop.fs  # type: ignore[union-attr]
     root = hadoop.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # type: ignore[union-attr]
-    boundary = limit.strftime("%Y-%m-%d")
+    boundary = utc_day(limit)
     dropped: list[str] = []
     has_boundary = False
     for status in fs.listStatus(root):

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from authlane.functions.times import AsOf, as_of_col, sec_text
+from authlane.functions.times import AsOf, as_of_col, sec_text, utc_day
 from authlane.operators.normalize import decode_records
 from authlane.schema import ALERTS, EVENTS
 
@@ -145,7 +145,7 @@ def _scan(
     df = spark.read.parquet(path)
     if since is not None:
         df = df.filter(
-            (F.col("day") >= F.lit(since.strftime("%Y-%m-%d")).cast("date"))
+            (F.col("day") >= F.lit(utc_day(since)).cast("date"))
             & (F.col("ts") >= as_of_col(since))
         )
     return df.select(*schema.names)

@@ -30,18 +30,20 @@ from authlane.operators.tables import ALERT_SORT
 from authlane.operators.views import auth_events
 from authlane.schema import ALERTS
 from authlane.sources.readers import scan_events
-from authlane.streaming.ingest import start, write_batch
+from authlane.streaming.ingest import start, write_batch, writer_of
 
 
-def recorded_alerts(spark: SparkSession, path: str, except_batch: int | None = None) -> DataFrame:
+def recorded_alerts(
+    spark: SparkSession, path: str, except_batch: int | None = None, writer: str = "direct"
+) -> DataFrame:
     """Alerts written so far, or none before the first. A batch that is run again must not
-    be silenced by its own first attempt."""
+    be silenced by its own first attempt; batches of other writers count."""
     try:
         table = spark.read.parquet(path)
     except AnalysisException:
         return empty_alerts(spark)
     if except_batch is not None:
-        table = table.filter(F.col("batch_id") != except_batch)
+        table = table.filter((F.col("batch_id") != except_batch) | (F.col("writer") != f"w-{writer}"))
     return table.select(*ALERTS.names)
 
 
@@ -69,7 +71,7 @@ def detection_pass(
         facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         alerts = run_pack(
-            auth, configs, as_of, recorded_alerts(spark, alerts_path, batch_id), top_n, dedup,
+            auth, configs, as_of, recorded_alerts(spark, alerts_path, batch_id, writer_of(auth)), top_n, dedup,
             sql_rules, facts,
         )
         write_batch(alerts, alerts_path, batch_id, ALERT_SORT)
@@ -140,7 +142,7 @@ def alert_stream(
     """Write streamed alert rows, leaving out fingerprints recorded before."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        known = recorded_alerts(batch.sparkSession, alerts_path, batch_id)
+        known = recorded_alerts(batch.sparkSession, alerts_path, batch_id, writer_of(batch))
         fresh = first_per_fingerprint(batch).join(
             known.select("alert_fingerprint"), "alert_fingerprint", "left_anti"
         )

@@ -19,15 +19,26 @@ from authlane.schema import EVENTS
 from authlane.session import stream_checkpoint
 
 
+def writer_of(batch: DataFrame) -> str:
+    """The streaming query that a micro-batch belongs to: its id, which lasts as long as its
+    checkpoint does. Outside a stream it is ``direct``."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, sort: tuple[str, ...]) -> None:
-    """Write a micro-batch under day and batch id, replacing an earlier attempt at it."""
+    """Write a micro-batch under day, writer and batch id, replacing an earlier attempt at it.
+
+    Every stream counts its batches from 0, so the writer is part of what may be replaced:
+    several lanes, or a stream with a new checkpoint, share a table without loss.
+    """
+    writer = F.lit(f"w-{writer_of(df)}")
     (
-        df.withColumns({"day": F.to_date("ts"), "batch_id": F.lit(batch_id)})
+        df.withColumns({"day": F.to_date("ts"), "writer": writer, "batch_id": F.lit(batch_id)})
         .hint("rebalance", "day")
-        .sortWithinPartitions("day", "batch_id", *sort)
+        .sortWithinPartitions("day", "writer", "batch_id", *sort)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "batch_id")
+        .partitionBy("day", "writer", "batch_id")
         .parquet(path)
     )
 
@@ -56,10 +67,10 @@ def ingest_envelopes(
             write_batch(good, events_path, batch_id, EVENT_SORT)
             bad = decoded.filter("reject_reason IS NOT NULL").select(
                 F.col("value").alias("raw"), F.col("reject_reason").alias("reason"),
-                F.lit(batch_id).alias("batch_id"),
+                F.lit(f"w-{writer_of(batch)}").alias("writer"), F.lit(batch_id).alias("batch_id"),
             )
             bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "batch_id"
+                "writer", "batch_id"
             ).parquet(quarantine_path)
         finally:
             decoded.unpersist()

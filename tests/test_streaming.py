@@ -184,3 +184,26 @@ def test_publish_json_and_cooldown_stream(spark, bus, tmp_path):
     query = once.writeStream.format("memory").queryName("cooled").trigger(availableNow=True).start()
     query.awaitTermination(120)
     assert spark.table("cooled").count() == 1
+
+
+def test_two_writers_share_a_table(spark, tmp_path):
+    """Batches of equal number from two streams, and from a new checkpoint, all stay."""
+    path = str(tmp_path / "table")
+    source = str(tmp_path / "in")
+    spark.range(4).selectExpr("timestamp'2024-01-01 10:00:00' AS ts", "id").write.parquet(source)
+    for name in ("a", "b", "c"):
+        rows = spark.readStream.schema("ts timestamp, id long").parquet(source)
+        SI.start(
+            rows, lambda batch, n: SI.write_batch(batch, path, n, ("ts",)), name, str(tmp_path / name), None
+        ).awaitTermination()
+    assert spark.read.parquet(path).count() == 12
+
+
+def test_a_zone_does_not_change_the_rows_scanned(spark, tmp_path):
+    from datetime import datetime, timedelta, timezone
+
+    from authlane.functions.times import utc_day
+
+    moment = datetime(2024, 1, 1, 23, 30)
+    shifted = moment.replace(tzinfo=timezone.utc).astimezone(timezone(timedelta(hours=2)))
+    assert utc_day(moment) == utc_day(shifted) == "2024-01-01"
