@@ -165,7 +165,12 @@ def apply_retention(spark: SparkSession, path: str, as_of: datetime, days: int)
                 fs.delete(hadoop.Path(path, f"day={boundary}"), True)
                 dropped.append(boundary)
             else:
+                # A streamed table has a folder per writer and batch below the day.
+                layout = [c for c in ("day", "writer", "batch_id") if c in table.columns]
+                gone = table.select(layout).distinct().subtract(kept.select(layout).distinct()).collect()
                 kept.write.mode("overwrite").option(
                     "partitionOverwriteMode", "dynamic"
-                ).partitionBy("day").parquet(path)
+                ).partitionBy(*layout).parquet(path)
+                for row in gone:
+                    fs.delete(hadoop.Path(path, "/".join(f"{c}={row[c]}" for c in layout)), True)
     return sorted(dropped)

@@ -207,3 +207,18 @@ def test_a_zone_does_not_change_the_rows_scanned(spark, tmp_path):
     moment = datetime(2024, 1, 1, 23, 30)
     shifted = moment.replace(tzinfo=timezone.utc).astimezone(timezone(timedelta(hours=2)))
     assert utc_day(moment) == utc_day(shifted) == "2024-01-01"
+
+
+def test_retention_of_a_streamed_table(spark, tmp_path):
+    from datetime import datetime
+
+    from authlane.operators.tables import apply_retention
+
+    path = str(tmp_path / "table")
+    for n, hour in enumerate(("2024-01-01 05:00:00", "2024-01-02 05:00:00", "2024-01-02 15:00:00")):
+        SI.write_batch(spark.sql(f"SELECT timestamp'{hour}' AS ts, {n}L AS id"), path, n, ("ts",))
+    assert apply_retention(spark, path, datetime(2024, 1, 9, 10), 7) == ["2024-01-01"]
+    spark.catalog.refreshByPath(path)
+    left = spark.read.parquet(path)
+    assert [r.id for r in left.collect()] == [2]
+    assert {"day", "writer", "batch_id"} <= set(left.columns)
