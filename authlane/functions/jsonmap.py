@@ -34,6 +34,32 @@ def plain_number(text: Column) -> Column:
     )
 
 
+# JSON text in pieces: strings, numbers, and what lies between.
+_PIECES = r'("(?:[^"\\]++|\\.)*+"|-?[0-9][0-9.eE+-]*+|[^"0-9-]++)'
+
+
+def json_number(text: Column) -> Column:
+    """Spell a double's text as a number inside JSON: an exponent from 1e21 on and below 1e-6."""
+    exponent = F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    sign = F.when(exponent > 0, "e+").otherwise("e")
+    return F.when(
+        (exponent >= 21) | (exponent < -6), F.concat(mantissa, sign, exponent.cast("string"))
+    ).otherwise(plain_number(text))
+
+
+def json_numbers(text: Column) -> Column:
+    """JSON text with every number outside strings rounded to a double."""
+    pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(1))
+    spelled = F.transform(
+        pieces,
+        lambda p: F.when(
+            F.rlike(p, F.lit("^-?[0-9]")), json_number(p.try_cast("double").cast("string"))
+        ).otherwise(p),
+    )
+    return F.array_join(spelled, "")
+
+
 def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
@@ -42,7 +68,7 @@ def stringify_value(v: Column) -> Column:
     """One VARIANT value as text: strings as they are, booleans as true/false,
     numbers in plain notation, arrays and objects as JSON with sorted keys."""
     kind = _kind(v)
-    nested = F.to_json(v)
+    nested = json_numbers(F.to_json(v))
     for char, escaped in (("&", "\\u0026"), ("<", "\\u003c"), (">", "\\u003e")):
         nested = F.replace(nested, F.lit(char), F.lit(escaped))
     return (

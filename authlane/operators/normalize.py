@@ -89,10 +89,20 @@ def _envelope(
     )
 
 
+def generic_reject_reason() -> Column:
+    """Why a generic record cannot be normalized, NULL when it can. A record without a
+    timestamp is fine; one that cannot be read must not pass for a current event."""
+    stamp = _text("timestamp")
+    return F.when(F.col("record").isNull(), "invalid json").when(
+        stamp.isNotNull() & parse_event_time(stamp).isNull(), "unsupported timestamp format"
+    )
+
+
 def normalize_generic(
     records: DataFrame, as_of: AsOf = None, settings: Settings = DEFAULT_SETTINGS
 ) -> DataFrame:
-    """Decoded syslog, demo and forwarded records (``record`` map) to the envelope."""
+    """Decoded syslog, demo and forwarded records (``record`` map) to the envelope; unusable
+    records are left out (``generic_reject_reason`` tells why)."""
     source = _text("source_type")
     fluent = source == "fluent"
     lane = (
@@ -104,7 +114,7 @@ def normalize_generic(
     entries = {key: _present(*sources) for key, sources in GENERIC_FIELD_SOURCES.items()}
     entries["schema_version"] = F.lit(settings.schema_version)
     return _envelope(
-        records.filter(F.col("record").isNotNull()),
+        records.filter(generic_reject_reason().isNull()),
         F.coalesce(parse_event_time(_text("timestamp")), as_of_col(as_of)),
         F.lit(settings.platform),
         settings.schema_version,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,6 +22,8 @@ from authlane.operators.rules import RuleConfig, meets_threshold, suppress
 from authlane.schema import ALERTS, RULE_RESULT
 from authlane.settings import DEFAULT_SETTINGS, Settings
 
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
 # Stock text of a result that explains nothing.
 NO_EVIDENCE_TEXT = "No additional evidence summary provided"
 
@@ -29,8 +31,7 @@ NO_EVIDENCE_TEXT = "No additional evidence summary provided"
 @dataclass(frozen=True)
 class SqlRule:
     """A user-written rule: Spark SQL over ``{auth_events}`` that returns the 13 result
-    columns by name. ``{as_of}`` is the evaluation instant; parameters are bound as
-    ``:window_minutes``, ``:threshold_attempts``, ``:threshold_distinct_users``, ``:threshold_distinct_ips``
+    columns by name. Parameters are bound as ``:as_of`` (the evaluation instant), ``:window_minutes``, ``:threshold_attempts``, ``:threshold_distinct_users``, ``:threshold_distinct_ips``
     and ``:threshold_failures``."""
 
     config: RuleConfig
@@ -88,17 +89,23 @@ def alert_rows(
     )
 
 
+def bound_instant(spark: SparkSession, as_of: AsOf) -> datetime:
+    """The instant as a parameter value. A Column must not depend on rows; it and the clock
+    are read once, so that the rule's text and its result see the same instant."""
+    if not isinstance(as_of, datetime):
+        micros = F.unix_micros(as_of_col(as_of).cast("timestamp"))
+        return EPOCH + timedelta(microseconds=spark.range(1).select(micros).first()[0])
+    return EPOCH + timedelta(microseconds=to_micros(as_of))
+
+
 def run_sql_rule(auth: DataFrame, rule: SqlRule, as_of: AsOf, top_n: int | None) -> DataFrame:
     """Evaluate a user rule. Suppression applies to its input, whatever the SQL says."""
     config = rule.config
-    now = (
-        f"timestamp_micros({to_micros(as_of)}L)"
-        if isinstance(as_of, datetime)
-        else "date_trunc('SECOND', current_timestamp())"
-    )
+    now = bound_instant(auth.sparkSession, as_of)
     result = auth.sparkSession.sql(
-        rule.sql.strip().rstrip(";").replace("{as_of}", now),
+        rule.sql.strip().rstrip(";"),
         args={
+            "as_of": now,
             "window_minutes": config.window_minutes,
             "threshold_attempts": config.threshold_attempts,
             "threshold_distinct_users": config.threshold_distinct_users,
@@ -112,7 +119,7 @@ def run_sql_rule(auth: DataFrame, rule: SqlRule, as_of: AsOf, top_n: int | None)
         raise ValueError(f"rule {config.id} does not return: {', '.join(missing)}")
     named = result.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in RULE_RESULT],
-        as_of_col(as_of).alias("evaluated_at"),
+        as_of_col(now).alias("evaluated_at"),
     )
     return top_groups(named, config.id, top_n).filter(
         meets_threshold(F.col("hits"), config.threshold_op, config.threshold_value)

@@ -19,6 +19,10 @@ THRESHOLD_OPS = {
 }
 
 
+# Result columns that suppression lists can name.
+SUPPRESSION_COLUMNS = ("principal", "source_ip", "endpoint_id", "source_kind")
+
+
 class RuleConfigError(ValueError):
     """A rule that cannot run; the pack reports and skips it."""
 
@@ -29,6 +33,18 @@ def suppression_list(csv: str) -> list[str]:
     return list(dict.fromkeys(e for e in entries if e))
 
 
+def suppression_column(key: str, expression: str) -> str:
+    """The result column a list is compared with, from its expression: a lower-cased result
+    column, or an empty text, which matches nothing. Anything else cannot run."""
+    text = expression.strip("\"").strip()
+    if text in ("", "''"):
+        return ""
+    found = re.fullmatch(r"lower(?:UTF8)?\(\s*(\w+)\s*\)", text)
+    if not found or found[1] not in SUPPRESSION_COLUMNS:
+        raise RuleConfigError(f"{key} is not a result column in lower case")
+    return found[1]
+
+
 @dataclass(frozen=True)
 class RuleConfig:
     id: str
@@ -45,6 +61,9 @@ class RuleConfig:
     threshold_failures: int | None = None
     suppression_computers: tuple[str, ...] = ()
     suppression_users: tuple[str, ...] = ()
+    # The result column each list is compared with; '' compares with nothing.
+    suppression_computer_by: str = "endpoint_id"
+    suppression_user_by: str = "principal"
     # False where the rule has no single principal to compare: the user list then never matches.
     suppress_by_user: bool = True
 
@@ -92,7 +111,10 @@ class RuleConfig:
             suppression_list(given.get("suppression_computers_csv", ""))
         )
         out["suppression_users"] = tuple(suppression_list(given.get("suppression_users_csv", "")))
-        out["suppress_by_user"] = given.get("suppression_user_expr", "") not in ("''", "\"''\"")
+        for key, column in (("suppression_computer_expr", "suppression_computer_by"), ("suppression_user_expr", "suppression_user_by")):
+            if key in given:
+                out[column] = suppression_column(key, given[key])
+        out["suppress_by_user"] = out.get("suppression_user_by") != ""
         return cls(**out)  # type: ignore[arg-type]
 
     def with_(self, **changes: object) -> RuleConfig:
@@ -181,11 +203,19 @@ def load_rules(
 
 
 def suppress(df: DataFrame, config: RuleConfig, computer: str, user: str | None) -> DataFrame:
-    """Drop rows of suppressed computers and users before anything is counted."""
-    if config.suppression_computers:
-        df = df.filter(~F.lower(F.col(computer)).isin(*config.suppression_computers))
-    if config.suppression_users and user and config.suppress_by_user:
-        df = df.filter(~F.lower(F.col(user)).isin(*config.suppression_users))
+    """Drop rows of suppressed computers and users before anything is counted.
+
+    ``computer`` and ``user`` are the columns of ``df`` that become endpoint and principal.
+    """
+    column = {
+        "endpoint_id": computer, "principal": user, "source_ip": "src_ip", "source_kind": "source_kind",
+    }
+    for entries, by in (
+        (config.suppression_computers, config.suppression_computer_by),
+        (config.suppression_users, config.suppression_user_by if config.suppress_by_user else ""),
+    ):
+        if entries and column.get(by):
+            df = df.filter(~F.lower(F.col(column[by])).isin(*entries))
     return df
 
 

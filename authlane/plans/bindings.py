@@ -342,7 +342,8 @@ def raw_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = F.concat(
         F.lit('{"user":"'), c("user"), F.lit('","attempt":'), k, F.lit(',"ratio":'),
         c("value").cast("decimal(18,2)"), F.lit(',"flag":'), (k % 2 == 0).cast("string"),
-        F.lit(',"none":null,"":"blank","whole":1.0,"big":1e3,"list":[1,"a"],'
+        F.lit(',"none":null,"":"blank","whole":1.0,"big":1e3,'
+              '"list":[1,-1e3,1.5e-7,2.5e300,12345678901234567890,"a -1e3"],'
               '"nested":{"z":1,"a":"<b>"}}'),
     )
     good = F.concat(

@@ -56,6 +56,26 @@ def _generic(spark: SparkSession, sf: str) -> DataFrame:
     return N.normalize_generic(N.decode_records(B.raw_records(spark, sf)), B.AS_OF)
 
 
+@query(
+    "generic_rejects",
+    SRC
+    + """SELECT CASE WHEN id % 7 = 3 THEN 'unsupported timestamp format' ELSE 'kept' END AS reason,
+  CAST(count(*) AS BIGINT) AS rows FROM src GROUP BY 1""",
+)
+def q_generic_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of which every seventh has a time stamp that cannot be read."""
+    record = F.col("record")
+    damaged = F.map_concat(
+        F.map_filter(record, lambda k, _: k != "timestamp"),
+        F.create_map(F.lit("timestamp"), F.concat(F.lit("day "), record["procid"])),
+    )
+    hit = record["procid"].cast("bigint") % 7 == 3
+    records = N.decode_records(B.raw_records(spark, sf)).withColumn("record", F.when(hit, damaged).otherwise(record))
+    rejects = records.select(N.generic_reject_reason().alias("reason")).filter("reason IS NOT NULL")
+    kept = N.normalize_generic(records, B.AS_OF).select(F.lit("kept").alias("reason"))
+    return rejects.unionAll(kept).groupBy("reason").agg(F.count("*").alias("rows"))
+
+
 @query("normalize_generic", SRC + GENERIC_SQL)
 def q_generic(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(_generic(spark, sf))
@@ -290,7 +310,7 @@ _WIRE = f"""wire AS (
   FROM src)"""
 
 _WIRE_FIELDS = """'attempt=' || k, 'big=1000', 'flag=' || CASE k % 2 WHEN 0 THEN 'true' ELSE 'false' END,
-  'list=[1,"a"]', 'nested={"a":"\\u003cb\\u003e","z":1}', 'ratio=' || ratio, 'user=' || usr, 'whole=1'"""
+  'list=[1,-1000,1.5e-7,2.5e+300,12345678901234567000,"a -1e3"]', 'nested={"a":"\\u003cb\\u003e","z":1}', 'ratio=' || ratio, 'user=' || usr, 'whole=1'"""
 
 
 def _decoded(spark: SparkSession, sf: str) -> DataFrame:

@@ -140,6 +140,26 @@ def q_suppression(spark: SparkSession, sf: str) -> DataFrame:
     return D.detect(B.bound_auth(spark, sf), _SUPPRESSED, B.AS_OF)
 
 
+_OTHER_COLUMNS = R.RuleConfig.from_mapping(
+    {
+        "id": DISTRIBUTED, "name": "Distributed Attack", "alert_type": "distributed_attack",
+        "severity": "high", "threshold_value": "4", "threshold_attempts": "4",
+        "threshold_distinct_ips": "3", "window_minutes": str(B.MONTH),
+        "suppression_computers_csv": "10.0.0.3", "suppression_computer_expr": "lowerUTF8(source_ip)",
+        "suppression_users_csv": "host-1", "suppression_user_expr": "lowerUTF8(endpoint_id)",
+    }
+)
+
+
+@query(
+    "suppression_by_column",
+    _month_rule(DISTRIBUTED, "lower(src_ip) <> '10.0.0.3' AND lower(host) <> 'host-1'"),
+)
+def q_suppression_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule whose lists are compared with other columns than host and user."""
+    return D.detect(B.bound_auth(spark, sf), _OTHER_COLUMNS, B.AS_OF)
+
+
 _LISTED = """listed AS (
   SELECT DISTINCT lower("user") AS entry FROM auth WHERE auth_method = 'publickey')"""
 
@@ -195,9 +215,6 @@ def q_history(spark: SparkSession, sf: str) -> DataFrame:
     return B.bound_alerts(spark, sf)
 
 
-_EARLY = datetime(2024, 1, 16)
-
-
 def _replay_until(spark: SparkSession, sf: str, end: datetime) -> DataFrame:
     return P.replay(
         B.bound_auth(spark, sf), B.history_pack(), B.HISTORY_SLIDE_SECONDS, B.START, end, top_n=None
@@ -211,9 +228,11 @@ _ALL_TICKS = O.ALERTS_SQL.replace(
 
 @query(
     "alert_dedup_ever",
-    _ALL_TICKS
-    + f"""SELECT rule_id, alert_fingerprint, hits, ts FROM alerts WHERE ts = {O.AS_OF}
-AND alert_fingerprint NOT IN (SELECT alert_fingerprint FROM alerts WHERE ts <= TIMESTAMP '2024-01-29')""",
+    _ALL_TICKS.rstrip()
+    + f""",
+recorded AS (SELECT DISTINCT alert_fingerprint FROM alerts WHERE ts <= TIMESTAMP '2024-01-29')
+SELECT rule_id, alert_fingerprint, hits, ts FROM alerts a WHERE ts = {O.AS_OF}
+AND NOT EXISTS (SELECT 1 FROM recorded r WHERE r.alert_fingerprint = a.alert_fingerprint)""",
 )
 def q_dedup_ever(spark: SparkSession, sf: str) -> DataFrame:
     """A pass at AS_OF against everything recorded up to two days before."""
@@ -303,7 +322,7 @@ USER_RULE = P.SqlRule(
            source_kind, '' AS reason, 'many logins' AS evidence_summary, '' AS details,
            CAST(NULL AS TIMESTAMP) AS window_bucket
     FROM {auth_events}
-    WHERE ts > {as_of} - make_dt_interval(0, 0, :window_minutes) AND status = 'success'
+    WHERE ts > :as_of - make_dt_interval(0, 0, :window_minutes) AND status = 'success'
     GROUP BY host, source_kind
     """,
 )

@@ -6,6 +6,7 @@ that the normalizers serve both.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,8 @@ from pyspark.sql import types as T
 
 from authlane.functions.times import AsOf, as_of_col, sec_text, utc_day
 from authlane.operators.normalize import decode_records
-from authlane.schema import ALERTS, EVENTS
+from authlane.operators.tables import event_defaults, with_defaults
+from authlane.schema import ALERT_DEFAULTS, ALERTS, EVENTS, NOW
 
 # SSH log files untouched for longer are not read, in seconds.
 IGNORE_OLDER_SECONDS = 86400
@@ -132,23 +134,26 @@ def stamp_scenario(lines: DataFrame, scenario: str, as_of: AsOf = None) -> DataF
 
 def scan_events(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
     """The stored events; ``since`` prunes day partitions next to the exact filter on ts."""
-    return _scan(spark, path, EVENTS, since)
+    return _scan(spark, path, EVENTS, event_defaults(), since)
 
 
 def scan_alerts(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    return _scan(spark, path, ALERTS, since)
+    """The stored alerts, in today's schema whatever the age of the table."""
+    defaults = {name: value for name, value in ALERT_DEFAULTS.items() if value is not NOW}
+    return _scan(spark, path, ALERTS, defaults, since)
 
 
 def _scan(
-    spark: SparkSession, path: str, schema: T.StructType, since: datetime | None
+    spark: SparkSession, path: str, schema: T.StructType, defaults: Mapping[str, object],
+    since: datetime | None,
 ) -> DataFrame:
-    df = spark.read.parquet(path)
+    # The given schema spares reading footers; columns that older files lack read as NULL.
+    df = spark.read.schema(schema).parquet(path)
     if since is not None:
-        df = df.filter(
-            (F.col("day") >= F.lit(utc_day(since)).cast("date"))
-            & (F.col("ts") >= as_of_col(since))
-        )
-    return df.select(*schema.names)
+        if "day" in df.columns:
+            df = df.filter(F.col("day") >= F.lit(utc_day(since)).cast("date"))
+        df = df.filter(F.col("ts") >= as_of_col(since))
+    return with_defaults(df, schema, defaults)
 
 
 def as_rows(df: DataFrame) -> DataFrame:

@@ -77,6 +77,10 @@ def test_generic_fields_twins_and_time(spark):
     }
     assert text(row.ts) == "2026-04-09 08:33:37.680"
     assert one(N.normalize_generic(records(spark, {}), AS_OF)).ts == AS_OF
+    for stamp in ("yesterday", "", None):
+        bad = records(spark, {"timestamp": stamp})
+        assert N.normalize_generic(bad, AS_OF).count() == 0
+        assert bad.select(N.generic_reject_reason()).first()[0] == "unsupported timestamp format"
 
 
 # Synthetic lane.

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,3 +167,13 @@ def test_checkpoint_root(spark):
         spark.conf.set("spark.checkpoint.dir", "/shared/")
         assert stream_checkpoint(spark, "n") == "/shared/streams/n"
         spark.conf.unset("spark.checkpoint.dir")
+
+
+def test_scans_of_older_tables(spark, tmp_path):
+    """Columns that files lack take their default; tables without day partitions take since."""
+    row = {"ts": datetime(2024, 1, 2), "rule_id": "r", "hits": 3}
+    spark.createDataFrame([row], "ts timestamp, rule_id string, hits bigint").write.parquet(f"{tmp_path}/a")
+    for since in (None, datetime(2024, 1, 2), datetime(2024, 1, 2, 2, tzinfo=timezone(timedelta(hours=2)))):
+        found = SR.scan_alerts(spark, f"{tmp_path}/a", since).first()
+        assert (found.rule_id, found.hits, found.workflow_state, found.alert_fingerprint) == ("r", 3, "new", "")
+    assert SR.scan_alerts(spark, f"{tmp_path}/a", datetime(2024, 1, 3)).count() == 0

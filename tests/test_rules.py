@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
+from authlane.functions.times import as_of_col
 from authlane.operators import detections as D
 from authlane.operators import envelope as E
 from authlane.operators import normalize as N
@@ -178,9 +179,23 @@ def test_suppression(spark):
     assert principals(suppression_users=("svc",)) == ["x"]
     assert principals(suppression_computers=("h1",)) == ["x"]
     assert principals(suppression_users=("svc",), suppress_by_user=False) == ["Svc", "x"]
+    assert principals(suppression_computers=("10.0.0.9",), suppression_computer_by="source_ip") == ["Svc", "x"]
+    kind = dict(suppression_computers=("linux_ssh",), suppression_computer_by="source_kind")
+    assert principals(**kind) == []
     assert RU.suppression_list(" A, b ,,a") == ["a", "b"]
 
 
+def test_suppression_expressions():
+    def read(**more):
+        return RuleConfig.from_mapping({"id": "r", "name": "R", **more})
+
+    config = read(suppression_computer_expr="lowerUTF8( source_kind )", suppression_user_expr="''")
+    assert (config.suppression_computer_by, config.suppress_by_user) == ("source_kind", False)
+    assert read().suppression_computer_by == "endpoint_id" and read().suppression_user_by == "principal"
+    configs, skipped = RU.load_rules([{"id": "r", "name": "R", "suppression_user_expr": "lowerUTF8(fields['x'])"}])
+    assert configs == [] and skipped == [("r", "suppression_user_expr is not a result column in lower case")]
+
+
 @pytest.mark.parametrize(
     "op, fires", [("gt", False), ("gte", True), ("eq", True), ("lt", False), ("lte", True), ("x", False)]
 )
@@ -289,13 +304,16 @@ def test_sql_rule(spark):
     sql = """SELECT count(*) hits, '' principal, '' source_ip, host endpoint_id, min(ts) window_start,
       max(ts) window_end, 0 distinct_user_count, 0 distinct_ip_count, 'linux_ssh' source_kind,
       'it''s {x}' reason, '' evidence_summary, '' details, max(ts) window_bucket
-      FROM {auth_events} WHERE ts > {as_of} - make_dt_interval(0, 0, :window_minutes)
+      FROM {auth_events} WHERE ts > :as_of - make_dt_interval(0, 0, :window_minutes)
       GROUP BY host HAVING count(*) >= :threshold_attempts;""".replace("{x}", "fine")
     config = RuleConfig(id="own", name="Own's", threshold_value=3, suppression_computers=("h2",))
     at = NOW + timedelta(minutes=1)
     alerts = P.run_pack(auth, [], at, sql_rules=[P.SqlRule(config, sql)]).collect()
     assert [(a.endpoint_id, a.hits, a.rule_name, a.reason) for a in alerts] == [("h1", 3, "Own's", "it's fine")]
     assert alerts[0].details == "Triggered by authlane detection service"
+    for same in (at.replace(tzinfo=timezone.utc), at.replace(tzinfo=timezone.utc).astimezone(timezone(timedelta(hours=2))), as_of_col(at)):
+        rows = P.run_pack(auth, [], same, sql_rules=[P.SqlRule(config, sql)]).collect()
+        assert [(a.endpoint_id, a.hits, a.ts) for a in rows] == [(a.endpoint_id, a.hits, a.ts) for a in alerts]
     with pytest.raises(ValueError, match="does not return"):
         P.run_pack(auth, [], at, sql_rules=[P.SqlRule(config, "SELECT 1 AS hits FROM {auth_events}")])
 
