@@ -103,21 +103,25 @@ def mix(docs: DataFrame, seed: int = 7, quality: Column | None = None) -> DataFr
     marked = drawn.withColumn("mark", mark)
     order = Window.partitionBy("mark", "slice").orderBy("key", "doc_id", "text_hash")
     running = marked.withColumn("within", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    starts = slices.withColumn("mark", mark).drop("source")
+    starts = written(slices.withColumn("mark", mark).drop("source"), "starts")
     placed = running.join(starts, ["mark", "slice"]).withColumn("until", F.col("before") + F.col("within"))
-    placed = written(placed.drop("within", "before", "slice", "key"), "placed")
+    placed = written(placed.drop("within", "before", "key"), "placed")
+
+    # What is known of a source meets its rows slice by slice: no source lands in one task.
+    parts = starts.select("mark", "slice")
 
     fits = (F.col("until") <= F.col("rest")) & (F.col("size") > 0)
     filled = placed.where(fits).groupBy("mark").agg(F.max("until").alias("filled"))
     gaps = placed.groupBy("mark").agg(F.max("rest").alias("rest")).join(filled, "mark", "left")
     gaps = gaps.select("mark", (F.col("rest") - F.coalesce("filled", F.lit(0))).alias("gap"))
     miss = F.abs(F.col("size") - F.col("gap"))
-    closing = placed.where(~fits & (F.col("size") > 0)).join(gaps, "mark").where(miss < F.col("gap"))
+    unfit = placed.where(~fits & (F.col("size") > 0))
+    closing = unfit.join(gaps.join(parts, "mark"), ["mark", "slice"]).where(miss < F.col("gap"))
     closing = closing.groupBy("mark").agg(F.min(F.struct(miss.alias("miss"), F.col("until").alias("closing")))["closing"].alias("closing"))
 
     one_more = fits | ((F.col("until") == F.col("closing")) & (F.col("size") > 0))
     copies = F.col("epochs") + F.when(one_more, 1).otherwise(0)
-    chosen = placed.join(closing, "mark", "left").withColumn("copies", copies.cast("long"))
+    chosen = placed.join(closing.join(parts, "mark"), ["mark", "slice"], "left").withColumn("copies", copies.cast("long"))
     return chosen.select(
         "doc_id", "source", "text_hash", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
