@@ -247,8 +247,13 @@ def replay(
     top_n: int | None = 1,
     settings: Settings = DEFAULT_SETTINGS,
 ) -> DataFrame:
-    """The alerts that polling every ``slide_seconds`` over history would have recorded."""
-    configs = list(configs)
+    """The alerts that polling every ``slide_seconds`` over history would have recorded.
+
+    A config that no built-in rule goes by is left out, as in a single pass.
+    """
+    configs = runnable(configs)
+    if not configs:
+        return empty_alerts(auth.sparkSession)
     facts = replay_facts(auth, [c.window_minutes for c in configs], slide_seconds, start, end)
     found = candidates(facts, configs, top_n, per_tick=True, settings=settings)
     return first_per_fingerprint(found)

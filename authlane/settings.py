@@ -54,7 +54,6 @@ STATUS_FAILURE = "failure"
 LOGIN_EVENT_TYPES = ("login", "auth.login")
 WINDOWS_EVENT_IDS = ("4624", "4625")
 WINDOWS_LOGON_TYPES = ("2", "3", "10")
-SEVERITIES = ("low", "medium", "high", "critical")
 
 # Retention in days.
 EVENT_RETENTION_DAYS = 7

@@ -123,8 +123,14 @@ def sliding_bursts(
     return rows.groupBy(span.alias("span"), *D.ENTITY).agg(*D.fact_measures())
 
 
+# The rules whose streamed facts need no further aggregation.
+MERGEABLE = ("security_failed_login_burst", "security_failed_then_success")
+
+
 def apply_rule(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """Rule results of streamed facts, evaluated at each window's end."""
+    if config.id not in MERGEABLE:
+        raise ValueError(f"rule {config.id} cannot run on streamed facts")
     at = F.col("span.end") - F.expr("INTERVAL '0.001' SECOND")
     ready = facts.withColumn("evaluated_at", at).withColumn(
         "window_minutes", F.lit(config.window_minutes)
@@ -132,10 +138,6 @@ def apply_rule(facts: DataFrame, config: RuleConfig) -> DataFrame:
     return D.evaluate(ready.select(*D.FACT_KEYS, *D.MEASURES), config)
 
 
-# The rules whose streamed facts need no further aggregation.
-MERGEABLE = ("security_failed_login_burst", "security_failed_then_success")
-
-
 def alert_stream(
     alerts: DataFrame, alerts_path: str, checkpoint: str | None = None, trigger: dict | None = None
 ) -> StreamingQuery:

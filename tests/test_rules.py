@@ -364,3 +364,9 @@ def test_recent_detections_blanks(spark):
     assert (row.alert_type, row.alert_fingerprint, row.entity_user, row.source_kind, row.workflow_state) == (
         "r", "n/a", "n/a", "n/a", "new",
     )
+
+
+def test_replay_leaves_out_stray_configs(spark):
+    stray = RuleConfig(id="own", name="Own")
+    auth = auth_rows(spark, [fail(i) for i in range(3)])
+    assert P.replay(auth, [stray], 60, NOW, NOW + timedelta(minutes=2)).count() == 0

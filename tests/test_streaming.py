@@ -222,3 +222,9 @@ def test_retention_of_a_streamed_table(spark, tmp_path):
     left = spark.read.parquet(path)
     assert [r.id for r in left.collect()] == [2]
     assert {"day", "writer", "batch_id"} <= set(left.columns)
+
+
+def test_streamed_facts_take_only_rules_without_further_aggregation(spark):
+    config = next(c for c in RULE_PACK if c.id == "security_source_multi_user_burst")
+    with pytest.raises(ValueError, match="streamed facts"):
+        SD.apply_rule(spark.range(1), config)
