@@ -28,16 +28,17 @@ def eventdata_map(xml: Column) -> Column:
     """Named EventData nodes as MAP<STRING,STRING>; nodes without a name are left out, and
     of a repeated name the last node counts."""
     nodes = F.from_xml(xml, XML_SCHEMA)["EventData"]["Data"]
+    named = F.reverse(F.filter(nodes, lambda n: strip(F.coalesce(n["_Name"], F.lit(""))) != ""))
 
-    def put(seen: Column, node: Column) -> Column:
-        name = node["_Name"]
-        others = F.map_filter(seen, lambda k, _: k != name)
-        value = F.coalesce(node["_VALUE"], F.lit(""))
-        blank = strip(F.coalesce(name, F.lit(""))) == ""
-        return F.when(blank, seen).otherwise(F.map_concat(others, F.create_map(name, value)))
+    def last_of_each(all_: Column) -> Column:
+        """Of the nodes, last one first, those whose name no later node has."""
+        return F.filter(all_["node"], lambda n, i: F.array_position(all_["name"], n["_Name"]) == i + 1)
 
-    empty = F.create_map().cast("map<string,string>")
-    return F.coalesce(F.aggregate(nodes, empty, put), empty)
+    # A list of one binds the nodes and their names, so that the lambda does not build them again.
+    bound = F.array(F.struct(named.alias("node"), F.transform(named, lambda n: n["_Name"]).alias("name")))
+    kept = F.reverse(F.transform(bound, last_of_each)[0])
+    pairs = F.transform(kept, lambda n: F.struct(n["_Name"], F.coalesce(n["_VALUE"], F.lit(""))))
+    return F.coalesce(F.map_from_entries(pairs), F.create_map().cast("map<string,string>"))
 
 
 def logon_events(
