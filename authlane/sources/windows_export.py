@@ -30,13 +30,14 @@ def eventdata_map(xml: Column) -> Column:
     nodes = F.from_xml(xml, XML_SCHEMA)["EventData"]["Data"]
     named = F.reverse(F.filter(nodes, lambda n: strip(F.coalesce(n["_Name"], F.lit(""))) != ""))
 
-    def last_of_each(all_: Column) -> Column:
+    # A list of one binds a value, so that a lambda does not build it again per element.
+    def last_of_each(nodes: Column) -> Column:
         """Of the nodes, last one first, those whose name no later node has."""
-        return F.filter(all_["node"], lambda n, i: F.array_position(all_["name"], n["_Name"]) == i + 1)
+        bound = F.array(F.transform(nodes, lambda n: n["_Name"]))
+        last = lambda names: F.filter(nodes, lambda n, i: F.array_position(names, n["_Name"]) == i + 1)
+        return F.transform(bound, last)[0]
 
-    # A list of one binds the nodes and their names, so that the lambda does not build them again.
-    bound = F.array(F.struct(named.alias("node"), F.transform(named, lambda n: n["_Name"]).alias("name")))
-    kept = F.reverse(F.transform(bound, last_of_each)[0])
+    kept = F.reverse(F.transform(F.array(named), last_of_each)[0])
     pairs = F.transform(kept, lambda n: F.struct(n["_Name"], F.coalesce(n["_VALUE"], F.lit(""))))
     return F.coalesce(F.map_from_entries(pairs), F.create_map().cast("map<string,string>"))
 
