@@ -4,17 +4,17 @@ A text falls into paragraphs, each is hashed, and every digest is put into one c
 of three tables. A cell keeps a count, and the xor of its digests and of their checks. The
 sketches of two versions subtract cell by cell: what they share cancels, and the digests in
 which they differ come out by peeling cells that hold one digest. If peeling gets stuck the
-sketches were too small for the difference and are made four times larger.
+digests are dealt by hash to parts, as many as the two texts' digests ask for, and each part
+has sketches of its own, made four times larger where they get stuck again.
 
-Paragraphs are runs of lines cut into blocks. Both sizes are powers of two that follow the
-text, so no text has more than about 50 paragraphs, however long it is, and two versions of
-about one length are cut alike. Versions cut differently are compared at the coarser cut.
-Only DataFrame functions run here.
+A paragraph is a line, or a stretch of a line that ends at a chosen pair of words. The pair
+alone chooses, so texts of any length are cut alike, and what is added or taken out changes
+the paragraphs it touches and no others. Only DataFrame functions run here.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,81 +23,78 @@ from pyspark.sql.window import Window
 from authlane.functions.plan import computed_once
 
 TABLES = 3
-# Cells per table: of a fingerprint, then of the retries. The last holds any difference here.
+# Cells per table: of a fingerprint and of a part's first sketch, then of the part's retries.
 SIZES = (8, 32, 128)
+# Digests of both texts that a part has on average.
+LOAD = 10
 ROUNDS = 16
-# A text has at most so many blocks and runs of lines.
-BLOCKS, RUNS = 16, 32
+# One pair of words in so many ends a paragraph.
+PAIRS = 16
+# Words begin after white space, ASCII punctuation, and characters of scripts without spaces.
+WORD = r"(?<=[\s\p{Punct}\p{IsIdeographic}\p{InHiragana}\p{InKatakana}\p{InThai}])(?=\S)"
 
 
-@dataclass(frozen=True)
-class Cut:
-    """Code points of a block, and lines of a run."""
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    block: Column
-    lines: Column
 
+def digests(text: Column) -> Column:
+    """The different paragraph digests of a text. An empty text is one empty paragraph."""
 
-def _power(n: Column, parts: int, least: int) -> Column:
-    """The least power of two, from ``least``, that cuts ``n`` into at most ``parts``."""
-    steps = F.ceil(F.log2(F.greatest(n, F.lit(1)) / (parts * least)))
-    return (F.pow(F.lit(2.0), F.greatest(steps, F.lit(0))) * least).cast("int")
-
-
-def cut_of(text: Column) -> Cut:
-    n_lines = F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    return Cut(_power(F.char_length(text), BLOCKS, 4), _power(n_lines, RUNS, 1))
-
-
-def coarser(a: Cut, b: Cut) -> Cut:
-    return Cut(F.greatest(a.block, b.block), F.greatest(a.lines, b.lines))
-
+    def cut(words: Column) -> Column:
+        def last(i: Column) -> Column:
+            pair = F.xxhash64(F.get(words, i - 1), F.get(words, i))
+            return (i == F.size(words)) | (F.pmod(pair, F.lit(PAIRS)) == 0)
 
-def digests(text: Column, cut: Cut) -> Column:
-    """The different paragraph digests of a text. An empty text is one empty paragraph."""
+        def paragraphs(ends: Column) -> Column:
+            def digest(end: Column, j: Column) -> Column:
+                before = F.coalesce(F.get(ends, j - 1), F.lit(0))
+                return F.xxhash64(F.slice(words, before + 1, end - before))
 
-    def blocks(run: Column) -> Column:
-        last = F.greatest(F.lit(0), F.floor((F.char_length(run) - 1) / cut.block)).cast("int")
-        return F.transform(
-            F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(run, i * cut.block + 1, cut.block))
-        )
+            return F.transform(ends, digest)
 
-    # The array of lines is bound once: a lambda would split the text for every run.
-    def runs(lines: Column) -> Column:
-        last = F.floor((F.size(lines) - 1) / cut.lines).cast("int")
-        return F.transform(
-            F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(lines, i * cut.lines + 1, cut.lines), "\n")
-        )
+        return _bound(F.filter(F.sequence(F.lit(1), F.size(words)), last), paragraphs)
 
-    bound = F.transform(F.array(F.split(text, "\n", -1)), lambda lines: F.flatten(F.transform(runs(lines), blocks)))
-    return F.array_distinct(F.element_at(bound, 1))
+    lines = F.transform(F.split(text, "\n", -1), lambda line: _bound(F.split(line, WORD, -1), cut))
+    return F.array_distinct(F.flatten(lines))
 
 
 def _check(digest: Column) -> Column:
     return F.xxhash64(digest).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _at(digest: Column, cell: Column, size: int) -> Column:
-    """Whether the digest belongs to the cell: each table reads other bits of it."""
-    turned = F.xxhash64(digest, F.floor(cell / size).cast("int"))
-    return F.pmod(turned, F.lit(size)) == cell % size
+def _places(digest: Column, size: int) -> list[Column]:
+    """The cells of a digest, one in each table: each reads other bits of it."""
+    return [(F.pmod(F.xxhash64(digest, F.lit(t)), F.lit(size)) + t * size).cast("int").alias(f"p{t}") for t in range(TABLES)]
 
 
 def _cell(count: Column, key: Column, check: Column) -> Column:
     return F.struct(count.cast("int").alias("c"), key.alias("k"), check.alias("h"))
 
 
-def sketch(keys: Column, size: int) -> Column:
-    """The cells of a set of digests."""
+def _signed(keys: Column, sign: int) -> Column:
+    return F.transform(keys, lambda k: F.struct(k.alias("k"), _check(k).alias("h"), F.lit(sign).alias("sign")))
+
+
+def _cells(signed: Column, size: int) -> Column:
+    """The cells of signed digests. Those of two sets, one with sign -1, are their sketches' difference."""
     empty = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
 
     def put(cell: Column, x: Column) -> Column:
-        return _cell(cell["c"] + 1, cell["k"].bitwiseXOR(x), cell["h"].bitwiseXOR(_check(x)))
+        return _cell(cell["c"] + x["sign"], cell["k"].bitwiseXOR(x["k"]), cell["h"].bitwiseXOR(x["h"]))
 
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(TABLES * size - 1)),
-        lambda i: F.aggregate(F.filter(keys, lambda x: _at(x, i, size)), empty, put),
-    )
+    def table(placed: Column, t: int) -> Column:
+        cells = F.sequence(F.lit(t * size), F.lit((t + 1) * size - 1))
+        return F.transform(cells, lambda i: F.aggregate(F.filter(placed, lambda x: x[f"p{t}"] == i), empty, put))
+
+    placed = F.transform(signed, lambda x: F.struct(x["k"].alias("k"), x["h"].alias("h"), x["sign"].alias("sign"), *_places(x["k"], size)))
+    return _bound(placed, lambda p: F.concat(*[table(p, t) for t in range(TABLES)]))
+
+
+def sketch(keys: Column, size: int) -> Column:
+    """The cells of a set of digests."""
+    return _cells(_signed(keys, 1), size)
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -107,17 +104,18 @@ def subtract(a: Column, b: Column) -> Column:
 
 
 def peel(cells: Column, size: int) -> Column:
-    """The digests left in a difference of sketches as (k, h, sign); null if it gets stuck.
+    """The digests left in a difference of sketches as (k, h, sign, places); null if it gets stuck.
 
     Sign 1 is in the first sketch alone, -1 in the second. A round takes out every digest
     that is alone in some cell.
     """
-    none = F.array().cast("array<struct<k:bigint,h:bigint,sign:int>>")
+    places = ",".join(f"p{t}:int" for t in range(TABLES))
+    none = F.array().cast(f"array<struct<k:bigint,h:bigint,sign:int,{places}>>")
 
     def alone(state: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["c"]) == 1) & (_check(c["k"]) == c["h"]))
         return F.array_distinct(
-            F.transform(pure, lambda c: F.struct(c["k"].alias("k"), c["h"].alias("h"), c["c"].alias("sign")))
+            F.transform(pure, lambda c: F.struct(c["k"].alias("k"), c["h"].alias("h"), c["c"].alias("sign"), *_places(c["k"], size)))
         )
 
     def without(state: Column, found: Column) -> Column:
@@ -126,30 +124,62 @@ def peel(cells: Column, size: int) -> Column:
 
         left = F.transform(
             state["cells"],
-            lambda c, i: F.aggregate(F.filter(found, lambda x: _at(x["k"], i, size)), c, take),
+            lambda c, i: F.aggregate(F.filter(found, lambda x: (x["p0"] == i) | (x["p1"] == i) | (x["p2"] == i)), c, take),
         )
-        return F.struct(left.alias("cells"), F.concat(state["found"], found).alias("found"))
+        return F.struct(left.alias("cells"), F.concat(state["found"], found).alias("found"), F.lit(True).alias("on"))
 
     def step(state: Column, _: Column) -> Column:
-        bound = F.transform(
-            F.array(alone(state)), lambda found: F.when(F.size(found) == 0, state).otherwise(without(state, found))
-        )
-        return F.element_at(bound, 1)
+        ended = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("on"))
+        taken = _bound(alone(state), lambda found: F.when(F.size(found) == 0, ended).otherwise(without(state, found)))
+        return F.when(state["on"], taken).otherwise(state)
 
-    start = F.struct(cells.alias("cells"), none.alias("found"))
+    start = F.struct(cells.alias("cells"), none.alias("found"), F.lit(True).alias("on"))
     end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step)
-    settled = F.transform(
-        F.array(end),
+    return _bound(
+        end,
         lambda s: F.when(
             ~F.exists(s["cells"], lambda c: (c["c"] != 0) | (c["k"] != 0) | (c["h"] != 0)), s["found"]
         ),
     )
-    return F.element_at(settled, 1)
 
 
-def differing(a: Column, b: Column) -> Column:
-    """The digests in which two sets differ, from sketches that grow until peeling ends."""
-    return F.coalesce(*[peel(subtract(sketch(a, s), sketch(b, s)), s) for s in SIZES])
+def _keys(found: Column) -> Column:
+    return F.transform(found, lambda x: x["k"])
+
+
+def _part(signed: Column) -> Column:
+    """The digests in which the two sets of a part differ."""
+    return F.coalesce(*[_keys(peel(_cells(signed, s), s)) for s in SIZES])
+
+
+def by_parts(a: Column, b: Column) -> Column:
+    """The digests in which two sets differ, from sketches of parts of them.
+
+    The number of parts is a square that follows the digests, dealt in two steps.
+    """
+
+    def dealt(signed: Column, wide: Column) -> Column:
+        # Bits that the places in a sketch do not depend on.
+        place = F.transform(signed, lambda x: F.struct(x["k"].alias("k"), x["h"].alias("h"), x["sign"].alias("sign"), F.pmod(F.xxhash64(x["k"], F.lit("part")), wide * wide).cast("int").alias("part")))
+        each = F.sequence(F.lit(0), wide - 1)
+
+        def row(i: Column, of: Column) -> Column:
+            mine = F.filter(of, lambda x: F.floor(x["part"] / wide) == i)
+            return _bound(mine, lambda m: F.flatten(F.transform(each, lambda j: _part(F.filter(m, lambda x: x["part"] % wide == j)))))
+
+        return _bound(place, lambda of: F.flatten(F.transform(each, lambda i: row(i, of))))
+
+    def wide(signed: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(signed) / LOAD)).cast("int"))
+
+    return _bound(F.concat(_signed(a, 1), _signed(b, -1)), lambda s: _bound(wide(s), lambda w: dealt(s, w)))
+
+
+def differing(a: Column, b: Column, cells_a: Column | None = None, cells_b: Column | None = None) -> Column:
+    """The digests in which two sets differ: from their smallest sketches, or else by parts."""
+    size = SIZES[0]
+    first = subtract(sketch(a, size) if cells_a is None else cells_a, sketch(b, size) if cells_b is None else cells_b)
+    return F.coalesce(_keys(peel(first, size)), by_parts(a, b))
 
 
 def likeness(a: Column, b: Column, d: Column) -> Column:
@@ -158,13 +188,10 @@ def likeness(a: Column, b: Column, d: Column) -> Column:
     return (both - d) / (both + d)
 
 
-def fingerprint(keys: Column, cut: Cut) -> Column:
-    """The smallest sketch as text: the cut, the number of digests, and the cells."""
-    cells = F.transform(
-        sketch(keys, SIZES[0]), lambda c: F.concat_ws(".", c["c"].cast("string"), F.hex(c["k"]), F.hex(c["h"]))
-    )
-    head = F.concat_ws(".", cut.block.cast("string"), cut.lines.cast("string"), F.size(keys).cast("string"))
-    return F.concat_ws(" ", head, F.array_join(cells, " "))
+def fingerprint(keys: Column, cells: Column) -> Column:
+    """The smallest sketch as text: the number of digests, and the cells."""
+    texts = F.transform(cells, lambda c: F.concat_ws(".", c["c"].cast("string"), F.hex(c["k"]), F.hex(c["h"])))
+    return F.concat_ws(" ", F.size(keys).cast("string"), F.array_join(texts, " "))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -226,32 +253,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars") - quarter), F.substring("next_text", F.lit(1), quarter))
     with_edit = computed_once(paired, edited=edited)
-    own, new, nxt = cut_of(F.col("text")), cut_of(F.col("edited")), cut_of(F.col("next_text"))
-    cut = computed_once(with_edit, own_b=own.block, own_l=own.lines, new_b=new.block, new_l=new.lines, nxt_b=nxt.block, nxt_l=nxt.lines)
-    own, new, nxt = (Cut(F.col(f"{c}_b"), F.col(f"{c}_l")) for c in ("own", "new", "nxt"))
-    to_new, to_next = coarser(own, new), coarser(own, nxt)
-
-    def again(text: str, known: Cut, keys: str, wanted: Cut) -> Column:
-        same = (known.block == wanted.block) & (known.lines == wanted.lines)
-        return F.when(same, F.col(keys)).otherwise(digests(F.col(text), wanted))
-
-    keyed = computed_once(cut, keys=digests(F.col("text"), own), new_keys=digests(F.col("edited"), new), nxt_keys=digests(F.col("next_text"), nxt))
-    common = computed_once(
-        keyed,
-        a=again("text", own, "keys", to_new),
-        b=again("edited", new, "new_keys", to_new),
-        c=again("text", own, "keys", to_next),
-        d=again("next_text", nxt, "nxt_keys", to_next),
+    keyed = computed_once(
+        with_edit, keys=digests(F.col("text")), new_keys=digests(F.col("edited")), nxt_keys=digests(F.col("next_text"))
     )
-    apart = computed_once(
-        common, edited_apart=F.size(differing(F.col("a"), F.col("b"))), next_apart=F.size(differing(F.col("c"), F.col("d")))
+    size = SIZES[0]
+    sketched = computed_once(
+        keyed, cells=sketch(F.col("keys"), size), new_cells=sketch(F.col("new_keys"), size), nxt_cells=sketch(F.col("nxt_keys"), size)
     )
+
+    def apart_from(other: str) -> Column:
+        return F.size(differing(F.col("keys"), F.col(f"{other}_keys"), F.col("cells"), F.col(f"{other}_cells")))
+
+    apart = computed_once(sketched, edited_apart=apart_from("new"), next_apart=apart_from("nxt"))
     return apart.select(
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
         "edited",
-        fingerprint(F.col("keys"), own).alias("fingerprint"),
-        fingerprint(F.col("new_keys"), new).alias("edited_fingerprint"),
-        likeness(F.col("a"), F.col("b"), F.col("edited_apart")).alias("near_edited"),
-        likeness(F.col("c"), F.col("d"), F.col("next_apart")).alias("near_next"),
+        fingerprint(F.col("keys"), F.col("cells")).alias("fingerprint"),
+        fingerprint(F.col("new_keys"), F.col("new_cells")).alias("edited_fingerprint"),
+        likeness(F.col("keys"), F.col("new_keys"), F.col("edited_apart")).alias("near_edited"),
+        likeness(F.col("keys"), F.col("nxt_keys"), F.col("next_apart")).alias("near_next"),
     )

@@ -16,6 +16,7 @@ from compare import connect, mismatch
 from authlane.llm import queries as Q
 from authlane.llm.common import table
 from authlane.llm.components import components
+from authlane.llm.fingerprints import fingerprints
 from authlane.llm.jaccard_join import Similarity, near_duplicates
 from authlane.llm.line_dedup import dedup_lines
 from authlane.llm.mixing import mixed_documents, source_targets
@@ -245,3 +246,23 @@ def test_mixed_documents_repeat_as_taken(spark):
     copies = Q.op10_mixing(spark, SF).toPandas().set_index("doc_id").copies
     got = Counter(r.doc_id for r in mixed_documents(docs).select("doc_id").collect())
     assert got == Counter({i: int(n) for i, n in copies.items() if n})
+
+
+def _likeness(*texts):
+    a, b = ({ln for t in x.split("\n") for ln in [t]} for x in texts)
+    return len(a & b) / len(a | b)
+
+
+def test_added_lines_and_words_leave_the_other_paragraphs(docs_of):
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 6))
+    lines = "\n".join(word() for _ in range(3000))
+    other = "\n".join(word() for _ in range(2000))
+    run = " ".join(word() for _ in range(4000))
+    spaceless = "".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 5000, 4000))
+    rows = [lines, "in front\n" + lines, other, run, "one " + run, spaceless, "一" + spaceless]
+    near = {r.doc_id: r.near_next for r in fingerprints(docs_of(*rows)).collect()}
+    assert near[0] == pytest.approx(3000 / 3001, abs=1e-3)
+    assert near[1] == pytest.approx(_likeness(rows[1], other), abs=1e-3)
+    assert near[3] > 0.97 and near[5] > 0.97
+    assert near[2] == near[4] == 0.0
