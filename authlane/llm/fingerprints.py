@@ -5,7 +5,8 @@ of three tables. A cell keeps a count, and the xor of its digests and of their c
 sketches of two versions subtract cell by cell: what they share cancels, and the digests in
 which they differ come out by peeling cells that hold one digest. If peeling gets stuck the
 digests are dealt by hash to parts, as many as the two texts' digests ask for, and each part
-has sketches of its own, made four times larger where they get stuck again.
+has sketches of its own, with other hashes, and four times larger ones where they get stuck
+again. Two sets of which a part is stuck there too are compared in that part as they are.
 
 A paragraph is a line, or a stretch of a line that ends at a chosen pair of words. The pair
 alone chooses, so texts of any length are cut alike, and what is added or taken out changes
@@ -23,8 +24,8 @@ from pyspark.sql.window import Window
 from authlane.functions.plan import computed_once
 
 TABLES = 3
-# Cells per table: of a fingerprint and of a part's first sketch, then of the part's retries.
-SIZES = (8, 32, 128)
+# Cells per table of a fingerprint, then of the sketches of a part.
+SIZE, PART_SIZES = 8, (8, 32)
 # Digests of both texts that a part has on average.
 LOAD = 10
 ROUNDS = 16
@@ -64,9 +65,10 @@ def _check(digest: Column) -> Column:
     return F.xxhash64(digest).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _places(digest: Column, size: int) -> list[Column]:
-    """The cells of a digest, one in each table: each reads other bits of it."""
-    return [(F.pmod(F.xxhash64(digest, F.lit(t)), F.lit(size)) + t * size).cast("int").alias(f"p{t}") for t in range(TABLES)]
+def _places(digest: Column, size: int, turn: int) -> list[Column]:
+    """The cells of a digest, one in each table: each table and each turn hashes anew."""
+    hashes = [F.xxhash64(digest, F.lit(t + TABLES * turn)) for t in range(TABLES)]
+    return [(F.pmod(h, F.lit(size)) + t * size).cast("int").alias(f"p{t}") for t, h in enumerate(hashes)]
 
 
 def _cell(count: Column, key: Column, check: Column) -> Column:
@@ -77,7 +79,7 @@ def _signed(keys: Column, sign: int) -> Column:
     return F.transform(keys, lambda k: F.struct(k.alias("k"), _check(k).alias("h"), F.lit(sign).alias("sign")))
 
 
-def _cells(signed: Column, size: int) -> Column:
+def _cells(signed: Column, size: int, turn: int) -> Column:
     """The cells of signed digests. Those of two sets, one with sign -1, are their sketches' difference."""
     empty = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
 
@@ -88,13 +90,13 @@ def _cells(signed: Column, size: int) -> Column:
         cells = F.sequence(F.lit(t * size), F.lit((t + 1) * size - 1))
         return F.transform(cells, lambda i: F.aggregate(F.filter(placed, lambda x: x[f"p{t}"] == i), empty, put))
 
-    placed = F.transform(signed, lambda x: F.struct(x["k"].alias("k"), x["h"].alias("h"), x["sign"].alias("sign"), *_places(x["k"], size)))
+    placed = F.transform(signed, lambda x: F.struct(x["k"].alias("k"), x["h"].alias("h"), x["sign"].alias("sign"), *_places(x["k"], size, turn)))
     return _bound(placed, lambda p: F.concat(*[table(p, t) for t in range(TABLES)]))
 
 
-def sketch(keys: Column, size: int) -> Column:
+def sketch(keys: Column, size: int, turn: int = 0) -> Column:
     """The cells of a set of digests."""
-    return _cells(_signed(keys, 1), size)
+    return _cells(_signed(keys, 1), size, turn)
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -103,7 +105,7 @@ def subtract(a: Column, b: Column) -> Column:
     )
 
 
-def peel(cells: Column, size: int) -> Column:
+def peel(cells: Column, size: int, turn: int = 0) -> Column:
     """The digests left in a difference of sketches as (k, h, sign, places); null if it gets stuck.
 
     Sign 1 is in the first sketch alone, -1 in the second. A round takes out every digest
@@ -115,7 +117,7 @@ def peel(cells: Column, size: int) -> Column:
     def alone(state: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["c"]) == 1) & (_check(c["k"]) == c["h"]))
         return F.array_distinct(
-            F.transform(pure, lambda c: F.struct(c["k"].alias("k"), c["h"].alias("h"), c["c"].alias("sign"), *_places(c["k"], size)))
+            F.transform(pure, lambda c: F.struct(c["k"].alias("k"), c["h"].alias("h"), c["c"].alias("sign"), *_places(c["k"], size, turn)))
         )
 
     def without(state: Column, found: Column) -> Column:
@@ -148,8 +150,14 @@ def _keys(found: Column) -> Column:
 
 
 def _part(signed: Column) -> Column:
-    """The digests in which the two sets of a part differ."""
-    return F.coalesce(*[_keys(peel(_cells(signed, s), s)) for s in SIZES])
+    """The digests in which the two sets of a part differ; compared as they are if no sketch peels."""
+
+    def of(s: Column) -> Column:
+        a, b = (_keys(F.filter(s, lambda x: x["sign"] == sign)) for sign in (1, -1))
+        peeled = [_keys(peel(_cells(s, size, turn), size, turn)) for turn, size in enumerate(PART_SIZES, 1)]
+        return F.coalesce(*peeled, F.concat(F.array_except(a, b), F.array_except(b, a)))
+
+    return _bound(signed, of)
 
 
 def by_parts(a: Column, b: Column) -> Column:
@@ -177,9 +185,8 @@ def by_parts(a: Column, b: Column) -> Column:
 
 def differing(a: Column, b: Column, cells_a: Column | None = None, cells_b: Column | None = None) -> Column:
     """The digests in which two sets differ: from their smallest sketches, or else by parts."""
-    size = SIZES[0]
-    first = subtract(sketch(a, size) if cells_a is None else cells_a, sketch(b, size) if cells_b is None else cells_b)
-    return F.coalesce(_keys(peel(first, size)), by_parts(a, b))
+    first = subtract(sketch(a, SIZE) if cells_a is None else cells_a, sketch(b, SIZE) if cells_b is None else cells_b)
+    return F.coalesce(_keys(peel(first, SIZE)), by_parts(a, b))
 
 
 def likeness(a: Column, b: Column, d: Column) -> Column:
@@ -256,9 +263,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     keyed = computed_once(
         with_edit, keys=digests(F.col("text")), new_keys=digests(F.col("edited")), nxt_keys=digests(F.col("next_text"))
     )
-    size = SIZES[0]
     sketched = computed_once(
-        keyed, cells=sketch(F.col("keys"), size), new_cells=sketch(F.col("new_keys"), size), nxt_cells=sketch(F.col("nxt_keys"), size)
+        keyed, cells=sketch(F.col("keys"), SIZE), new_cells=sketch(F.col("new_keys"), SIZE), nxt_cells=sketch(F.col("nxt_keys"), SIZE)
     )
 
     def apart_from(other: str) -> Column:

@@ -12,10 +12,12 @@ import __spark_entry__ as entry
 import numpy as np
 import pytest
 from compare import connect, mismatch
+from pyspark.sql import functions as F
 
 from authlane.llm import queries as Q
 from authlane.llm.common import table
 from authlane.llm.components import components
+from authlane.llm import fingerprints as prints
 from authlane.llm.fingerprints import fingerprints
 from authlane.llm.jaccard_join import Similarity, near_duplicates
 from authlane.llm.line_dedup import dedup_lines
@@ -266,3 +268,22 @@ def test_added_lines_and_words_leave_the_other_paragraphs(docs_of):
     assert near[1] == pytest.approx(_likeness(rows[1], other), abs=1e-3)
     assert near[3] > 0.97 and near[5] > 0.97
     assert near[2] == near[4] == 0.0
+
+
+def _apart(rows):
+    found = rows.select(prints.differing(F.col("a"), F.col("b")).alias("d")).collect()
+    return [None if r.d is None else set(r.d) for r in found]
+
+
+def test_digests_that_share_their_cells_are_told_apart(spark, monkeypatch):
+    places = [F.expr(f"pmod(xxhash64(id, {t}), 128)").alias(f"p{t}") for t in range(3)]
+    met = spark.range(9000).select("id", *places).groupBy("p0", "p1", "p2").agg(F.collect_list("id").alias("ids")).where("size(ids) = 2")
+    pairs = [sorted(r.ids) for r in met.collect()]
+    assert pairs
+    rows = spark.createDataFrame([([*p, -1], [-1]) for p in pairs] + [([p[0], -1], [p[1], -1]) for p in pairs], "a array<long>, b array<long>")
+    assert _apart(rows) == [set(p) for p in pairs] * 2
+    # Nothing peels: the sets are compared as they are.
+    monkeypatch.setattr(prints, "ROUNDS", 1)
+    many = [(list(range(i, 300 + i)), list(range(100, 400 + i))) for i in range(4)]
+    rows = spark.createDataFrame(many, "a array<long>, b array<long>")
+    assert _apart(rows) == [set(a) ^ set(b) for a, b in many]
