@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from authlane.llm.common import table, written
-from authlane.llm.jaccard_join import near_duplicates
+from authlane.llm.jaccard_join import Similarity, near_duplicates
 from authlane.llm.line_dedup import dedup_lines
 from authlane.llm.mixing import mixed_documents
 from authlane.llm.packing import pack
 from authlane.llm.toxicity import toxicity
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Looser than the query op5: five words to a shingle, and four fifths of them shared.
+NEAR = Similarity(words=5, percent=80)
 
 
 def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without words are no near duplicates of anything, and all stay.
     """
-    found = near_duplicates(docs)
+    found = near_duplicates(docs, NEAR)
     later = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(later, "doc_id", "left_anti").select(*COLUMNS)
 

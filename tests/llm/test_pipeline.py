@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import corpus_pipeline as P
+import numpy as np
 
 from authlane.llm.common import table
 
@@ -33,3 +36,33 @@ def test_clean_and_wordless_documents_stay(spark, docs_of):
     docs = docs_of("", None, "  ", "one two three four five", "one two three four five", "another text of some words")
     kept = {r.doc_id for r in P.near_dedup(spark, docs, SF).collect()}
     assert kept == {0, 1, 2, 3, 5}
+
+
+def _first_of_near(texts):
+    """Ids that are the least of their group: five-word shingles, Jaccard similarity of 0.8 and more."""
+    sets = {}
+    for i, t in texts.items():
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    first = {i: i for i in texts}
+    links = [(a, b) for a, b in combinations(sorted(sets), 2) if sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    for _ in texts:
+        for a, b in links:
+            first[a] = first[b] = min(first[a], first[b])
+    return {i for i in texts if first[i] == i}
+
+
+def test_near_dedup_against_all_pairs(spark, docs_of):
+    rng = np.random.default_rng(5)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 30, n)]
+    rows = []
+    for n in (40, 100, 250):
+        for part in (0.10, 0.17, 0.19, 0.22, 0.24, 0.26, 0.30):
+            base = words(n)
+            more = words(round(n * part))
+            rows += [" ".join(base), " ".join(base + more), " ".join(base[len(more) :])]
+    kept = {r.doc_id for r in P.near_dedup(spark, docs_of(*rows), SF).collect()}
+    assert kept == _first_of_near(dict(enumerate(rows)))
+    docs = table(spark, SF, "documents")
+    kept = {r.doc_id for r in P.near_dedup(spark, docs, SF).collect()}
+    assert kept == _first_of_near({r.doc_id: r.text for r in docs.collect()})
