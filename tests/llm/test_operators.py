@@ -206,6 +206,13 @@ def test_search_equals_brute_force(spark, texts):
             assert found[found.query_id == q].sort_values("rank").doc_id.to_list() == best
 
 
+def test_documents_with_negative_ids_are_found(docs_of):
+    docs = docs_of((-7, "red green blue"), (-1, "red green blue"), (0, "red green blue"), (3, "red other words"), (-2, "nothing shared"))
+    found = search(docs, docs.where("doc_id IN (-7, 3)"), Search(k=3)).collect()
+    best = {q: [r.doc_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] for q in (-7, 3)}
+    assert best == {-7: [-7, -1, 0], 3: [3, -7, -1]}
+
+
 def test_fingerprints_and_edited_texts(spark, texts):
     found = Q.op9_fingerprints(spark, SF).toPandas().set_index("doc_id")
     ids, seen = sorted(texts), {}
