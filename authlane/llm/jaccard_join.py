@@ -113,8 +113,7 @@ def first_tokens(sets: DataFrame, docs: DataFrame, classes: DataFrame, sim: Simi
     ``pos`` counts the tokens of the class that come before in the global order.
     ``full`` holds (cls, n, tokens) of every class that has a cell or needed all its tokens.
     """
-    one = sets.join(classes.select("cls", F.col("first").alias("doc_id")), ["cls", "doc_id"])
-    one = one.where("n > 0").select("cls", "doc_id", "n", "n_low", "tokens")
+    one = sets.where("n > 0").select("cls", "tokens").dropDuplicates(["cls"])
     low = _shared(one).withColumnRenamed("shared", "low_shared")
     none = F.array().cast("array<struct<df:bigint,token:bigint>>")
     known = sets.select("cls", "n", "n_low").where("n > 0").distinct().join(low, "cls", "left")
@@ -126,6 +125,7 @@ def first_tokens(sets: DataFrame, docs: DataFrame, classes: DataFrame, sim: Simi
     active = written(active.join(classes.select("cls", "first"), "cls"), "active")
 
     texts = docs.join(active.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = texts.unionByName(docs.where("doc_id IS NULL"))  # a class may have no other rows
     full = token_sets(texts, sim, whole=True).select("cls", "n", "tokens")
     full = full.join(active.select("cls", "poor"), "cls")  # texts that repeat a doc_id may bring others
     full = written(full.dropDuplicates(["cls"]), "full")

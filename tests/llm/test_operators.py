@@ -135,6 +135,15 @@ def test_near_duplicates_around_the_threshold(docs_of):
         assert found == _components(_sets(dict(enumerate(rows))))
 
 
+def test_rows_without_id_or_of_one_id_link_others(docs_of):
+    same = [f"a{i}" for i in range(60)]
+    ends = [" ".join([*same, *(f"b{i}" for i in range(6))]), " ".join([*(f"c{i}" for i in range(6)), *same])]
+    for middle in ([(None, " ".join(same))], [(None, " ".join(same))] * 3, [(5, " ".join(same))] * 3, [(1, " ".join(same))]):
+        docs = docs_of((1, ends[0]), (2, ends[1]), *middle, (None, "a text of other words"))
+        found = {(r.doc_id, r.component_id, r.n_shingles) for r in near_duplicates(docs).collect()}
+        assert found == {(1, 1, 63), (2, 1, 63), (middle[0][0], 1, 57), (None, None, 2)}
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
     assert {(r.node, r.component) for r in components(edges).collect()} == {(i, 0) for i in range(201)}
