@@ -13,6 +13,7 @@ from authlane.llm.fingerprints import fingerprints
 from authlane.llm.jaccard_join import near_duplicates
 from authlane.llm.language_id import identify
 from authlane.llm.line_dedup import dedup_lines
+from authlane.llm.merkle import as_text, proof_digest, tampered_manifest
 from authlane.llm.mixing import mix
 from authlane.llm.packing import pack
 from authlane.llm.sharding import ShardTree, shard_documents
@@ -95,6 +96,80 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's leaf, roots and proof; of the ids that 7 divides by checksum, n_chars grew by one."""
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 0
+    found = tampered_manifest(table(spark, sf_dir, "documents"), tampered)
+    return found.select(
+        "doc_id",
+        *[as_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        proof_digest(F.col("path")).alias("proof_sha256"),
+        as_text(F.col("folded_root")).alias("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+# The checksum is CRC-32 by its definition, one bit at a time over the decimal id.
+OP12_SQL = r"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, lang, n_chars,
+         list_reduce(list_prepend(4294967295::UBIGINT,
+             list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+           lambda h, b: list_reduce(list_prepend(xor(h, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+             lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)) AS h,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM documents
+), leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+         sha256(head || coalesce(strlen((n_chars + k)::VARCHAR) || ':' || (n_chars + k), '-') || tail) AS changed
+  FROM (SELECT *, CASE WHEN xor(h, 4294967295::UBIGINT) % 7 = 0 THEN 1 ELSE 0 END AS k FROM rows)
+), ranked AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM leaves
+), nodes AS (
+  SELECT tree, 0 AS level, rank AS idx, count(*) OVER (PARTITION BY tree) AS n, leaf AS digest FROM ranked
+  UNION ALL
+  SELECT tree, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 2, n
+), subroots AS (
+  SELECT tree, digest AS subroot, level AS depth FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, tree AS idx, count(*) OVER () AS n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM tops WHERE n > 1 GROUP BY level, idx // 2, n
+), steps AS (
+  SELECT r.tree, r.rank, l.level, (r.rank // (2 ** l.level)::BIGINT) AS idx
+  FROM ranked r JOIN subroots s USING (tree), range(0, 64) l(level) WHERE l.level < s.depth
+), lower AS (
+  SELECT s.tree, s.rank, s.level, s.idx % 2 = 1 AS left_first, n.digest
+  FROM steps s LEFT JOIN nodes n ON n.tree = s.tree AND n.level = s.level AND n.idx = xor(s.idx, 1)
+), upper AS (
+  SELECT s.tree, l.level, (s.tree // (2 ** l.level)::BIGINT) % 2 = 1 AS left_first, t.digest
+  FROM subroots s JOIN range(0, 64) l(level) ON l.level < (SELECT max(level) FROM tops)
+  LEFT JOIN tops t ON t.level = l.level AND t.idx = xor((s.tree // (2 ** l.level)::BIGINT), 1)
+), lower_paths AS (
+  SELECT tree, rank, string_agg(digest, '' ORDER BY level) AS digests,
+         list(CASE WHEN digest IS NULL THEN 'N' WHEN left_first THEN 'L' || digest ELSE 'R' || digest END ORDER BY level) AS path
+  FROM lower GROUP BY tree, rank
+), upper_paths AS (
+  SELECT tree, string_agg(digest, '' ORDER BY level) AS digests,
+         list(CASE WHEN digest IS NULL THEN 'N' WHEN left_first THEN 'L' || digest ELSE 'R' || digest END ORDER BY level) AS path
+  FROM upper GROUP BY tree
+), found AS (
+  SELECT r.doc_id, r.leaf, s.subroot, (SELECT digest FROM tops WHERE n = 1) AS root,
+         sha256(coalesce(l.digests, '') || coalesce(u.digests, '')) AS proof_sha256,
+         list_reduce(list_prepend(r.changed, list_concat(coalesce(l.path, []), coalesce(u.path, []))),
+           lambda up, s: CASE s[1] WHEN 'N' THEN sha256(up) WHEN 'L' THEN sha256(s[2:] || up) ELSE sha256(up || s[2:]) END) AS folded_root
+  FROM ranked r JOIN subroots s USING (tree)
+  LEFT JOIN lower_paths l ON l.tree = r.tree AND l.rank = r.rank LEFT JOIN upper_paths u ON u.tree = r.tree
+)
+SELECT *, folded_root = root AS verified FROM found
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -106,5 +181,6 @@ QUERIES: dict[str, Query] = {
     "op8_wand_search": op8_wand_search,
     "op9_fingerprints": op9_fingerprints,
     "op10_mixing": op10_mixing,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op12_merkle_manifest": OP12_SQL}
