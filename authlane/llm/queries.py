@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from authlane.llm.class_lm import score_documents
 from authlane.llm.common import table
 from authlane.llm.fingerprints import fingerprints
+from authlane.llm.hard_negatives import hard_negatives
 from authlane.llm.jaccard_join import near_duplicates
 from authlane.llm.language_id import identify
 from authlane.llm.line_dedup import dedup_lines
@@ -96,6 +97,37 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hundredth id is an anchor; every seventh id has its label moved on by one first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score
+  FROM scored WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND s.label <> p.anchor_label
+  AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row's leaf, roots and proof; of the ids that 7 divides by checksum, n_chars grew by one."""
     tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 0
@@ -181,6 +213,7 @@ QUERIES: dict[str, Query] = {
     "op8_wand_search": op8_wand_search,
     "op9_fingerprints": op9_fingerprints,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
-ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op12_merkle_manifest": OP12_SQL}
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op11_hard_negatives": OP11_SQL, "op12_merkle_manifest": OP12_SQL}
