@@ -15,6 +15,7 @@ from authlane.llm.jaccard_join import near_duplicates
 from authlane.llm.language_id import identify
 from authlane.llm.line_dedup import dedup_lines
 from authlane.llm.merkle import as_text, proof_digest, tampered_manifest
+from authlane.llm.minhash import minhash_duplicates
 from authlane.llm.mixing import mix
 from authlane.llm.packing import pack
 from authlane.llm.sharding import ShardTree, shard_documents
@@ -202,6 +203,11 @@ SELECT *, folded_root = root AS verified FROM found
 """
 
 
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_line_dedup": op2_line_dedup,
@@ -215,5 +221,6 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": op10_mixing,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL, "op11_hard_negatives": OP11_SQL, "op12_merkle_manifest": OP12_SQL}
