@@ -46,6 +46,8 @@ class MinHash:
     # Leaders that a class is compared with in a round, and the most rounds.
     tests: int = 4
     rounds: int = 6
+    # Stars go on while one in so many of a round's comparisons is a link.
+    worth: int = 50
 
     @property
     def bins(self) -> int:
@@ -160,27 +162,29 @@ def _star_pairs(postings: DataFrame, groups: DataFrame, tried: DataFrame | None,
 
 
 def _starred(postings: DataFrame, groups: DataFrame, full: DataFrame, sim: MinHash, tried: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """(groups, tried) after rounds of stars over ``postings``, until a round finds no link."""
+    """(groups, tried) after rounds of stars over ``postings``, until a round finds hardly a link."""
     for nth in range(sim.rounds):
-        pairs = written(_star_pairs(postings, groups, tried, sim, nth), "pairs")
+        pairs = _star_pairs(postings, groups, tried, sim, nth)
         found = written(_confirmed(pairs, full, sim), "tried")
-        tried = found if tried is None else written(tried.unionByName(found), "tried")
-        links = found.where("linked")
-        if links.isEmpty():
+        tried = found if tried is None else tried.unionByName(found)
+        seen = found.agg(F.count("*").alias("pairs"), F.count_if("linked").alias("links")).first()
+        if seen.links:
+            groups = _merged(groups, found.where("linked"))
+        if seen.links * sim.worth < seen.pairs:
             break
-        groups = _merged(groups, links)
     return groups, tried
 
 
 def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: DataFrame, sim: MinHash) -> DataFrame:
-    """Postings (key, cls, n) of shingles in which members of a bucket differ from its leader.
-
-    Only buckets with several groups count. With p = (1 - t) / (1 + t), sets x and y are
-    linked when their difference has at most p (|x| + |y|) shingles. If one of them is not
-    linked with the leader l, their differences D from l share some: of D(x) more than half
-    of |D(x)| - p (|x| - |l|) if x is linked with l, and otherwise of |D(x)| - p (|x| + |l|).
-    So two such sets agree in the first shingles of D, the rarest first, that are left when
-    as many less one are taken away.
+    """Postings (key, cls, n, side) of shingles in which members of a bucket differ from its leader.
+
+    Only buckets with several groups count. Let D(x) be where x differs from the leader l,
+    p = (1 - t) / (1 + t), and f(x) = |D(x)| - p |x|. Sets are linked when they differ in at
+    most p (|x| + |y|) shingles, so x is linked with l when f(x) <= p |l|, and linked x and y
+    share at least (f(x) + f(y)) / 2 shingles of their D. Two sets with ``least`` of D in
+    common agree in one of the |D| - least + 1 rarest of each. Side 0 is for pairs of which
+    neither is linked with l: there f(y) > p |l|. Sides 1 and 2 are for x linked and y not:
+    f(y) > p |l| again, and as D(x) has what they share, that is f(y) - p |x| or more.
     """
     links = tried.where("linked")
     ends = links.select(F.col("a").alias("cls")).unionByName(links.select(F.col("b").alias("cls")))
@@ -198,15 +202,20 @@ def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: DataF
     counts = apart.groupBy("b", "item").agg(F.count("*").alias("df"))
     ranked = apart.join(counts, ["b", "item"])
     each = ranked.groupBy("a", "b", "n_a", "n_b").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("d"))
-    p, d = (100 - sim.percent) / (100 + sim.percent), F.size("d")
-    is_linked = sim.linked((F.col("n_a") + F.col("n_b") - d) / 2, F.col("n_a"), F.col("n_b"))
-    beyond = F.when(is_linked, F.col("n_a") - F.col("n_b")).otherwise(F.col("n_a") + F.col("n_b"))
-    # A hair less, as these are rounded numbers.
-    shared = F.greatest(F.lit(1), F.ceil((d - p * beyond) / 2 - 1e-6))
-    prefix = F.slice("d", 1, (d - shared + 1).cast("int"))
-    return each.select("a", "b", "n_a", F.explode(F.filter(prefix, lambda s: s["df"] > 1)).alias("s")).select(
-        F.xxhash64("b", "s.item").alias("key"), F.col("a").alias("cls"), F.col("n_a").alias("n")
-    )
+    t, p, d = sim.percent / 100, (100 - sim.percent) / (100 + sim.percent), F.size("d")
+    f = d - p * F.col("n_a")
+    is_linked = f <= p * F.col("n_b") + 1e-6
+    half, whole = (f + p * F.col("n_b")) / 2, f - p * F.col("n_a") / t
+
+    def rarest(least: Column, side: int) -> Column:
+        # A hair less, as these are rounded numbers.
+        prefix = F.slice("d", 1, (d - F.greatest(F.lit(1), F.ceil(least - 1e-6)) + 1).cast("int"))
+        return F.transform(prefix, lambda s: F.struct(s["df"].alias("df"), s["item"].alias("item"), F.lit(side).alias("side")))
+
+    wanted = F.when(is_linked, rarest(half, 1)).otherwise(F.concat(rarest(half, 0), rarest(whole, 2)))
+    found = each.select("a", "b", "n_a", F.explode(wanted).alias("s")).where("s.df > 1")
+    key = F.xxhash64("b", "s.item", F.col("s.side") > 0)
+    return found.select(key.alias("key"), F.col("a").alias("cls"), F.col("n_a").alias("n"), F.col("s.side").alias("side"))
 
 
 def _left_pairs(postings: DataFrame, groups: DataFrame, tried: DataFrame, sim: MinHash) -> DataFrame:
@@ -214,8 +223,9 @@ def _left_pairs(postings: DataFrame, groups: DataFrame, tried: DataFrame, sim: M
     ready = postings.join(groups, "cls")
     several = ready.groupBy("key").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 < g1")
     ready = ready.join(several.select("key"), "key")
-    other = ready.select("key", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("grp").alias("g"))
-    pairs = ready.join(other, "key").where((F.col("cls") < F.col("b")) & (F.col("grp") != F.col("g")) & sim.near_size(F.col("n"), F.col("m")))
+    other = ready.select("key", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("grp").alias("g"), F.col("side").alias("other"))
+    pairs = ready.join(other, "key").where((F.col("side") == 0) | (F.col("side") != F.col("other")))
+    pairs = pairs.where((F.col("cls") < F.col("b")) & (F.col("grp") != F.col("g")) & sim.near_size(F.col("n"), F.col("m")))
     pairs = pairs.select(F.col("cls").alias("a"), "b").distinct()
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.join(done, ["a", "b"], "left_anti")
