@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from authlane.llm.common import ship, written
+from authlane.llm.common import scratch_dir, ship, written
 from authlane.llm.components import components
 from authlane.llm.words import mixed, shingles, words_of
 
@@ -129,21 +129,28 @@ def _confirmed(pairs: DataFrame, full: DataFrame, sim: MinHash) -> DataFrame:
 
 
 def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """(cls, grp) after the groups that a link (a, b) joins have become one."""
-    ends = links.join(groups.select(F.col("cls").alias("a"), F.col("grp").alias("x")), "a")
-    ends = ends.join(groups.select(F.col("cls").alias("b"), F.col("grp").alias("y")), "b")
-    found = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
-    moved = groups.join(found.select(F.col("node").alias("grp"), "component"), "grp", "left")
-    return written(moved.select("cls", F.coalesce("component", "grp").alias("grp")), "groups")
+    """(cls, grp) with the connected classes of ``links`` as groups."""
+    found = components(links.select("a", "b")).select(F.col("node").alias("cls"), "component")
+    return written(groups.select("cls").join(found, "cls", "left").select("cls", F.coalesce("component", "cls").alias("grp")), "groups")
 
 
-def _star_pairs(postings: DataFrame, groups: DataFrame, tried: DataFrame | None, sim: MinHash, nth: int) -> DataFrame:
+def _drawn_in(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """(cls, grp) after the classes of a star have taken the least group among them.
+
+    Equal groups are always connected; what is connected may still have several.
+    """
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    for _ in range(2):  # to the leader, and back to its members
+        least = both.join(groups.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.min("grp").alias("least"))
+        groups = groups.join(least, "cls", "left").select("cls", F.least("grp", "least").alias("grp"))
+    return written(groups, "groups")
+
+
+def _star_pairs(postings: DataFrame, groups: DataFrame, tried: Tried, sim: MinHash, nth: int) -> DataFrame:
     """(a, b): classes and the leaders they are to be compared with in this round."""
     ready = postings.join(groups, "cls")
-    if tried is not None:
-        links = tried.where("linked")
-        ends = links.select(F.col("a").alias("cls")).unionByName(links.select(F.col("b").alias("cls")))
-        ready = ready.join(ends.groupBy("cls").agg(F.count("*").alias("links")), "cls", "left")
+    if tried.rounds:
+        ready = ready.join(tried.links_of(), "cls", "left")
     else:
         ready = ready.withColumn("links", F.lit(None).cast("long"))
     first = F.struct(
@@ -153,29 +160,51 @@ def _star_pairs(postings: DataFrame, groups: DataFrame, tried: DataFrame | None,
     leaders = leaders.where("g0 < g1").select("key", "leader.b", "leader.m", "leader.g")
     named = ready.join(leaders, "key").where((F.col("grp") != F.col("g")) & sim.near_size(F.col("n"), F.col("m")))
     hits = named.groupBy(F.col("cls").alias("a"), "b").agg(F.count("*").alias("hits"))
-    if tried is not None:
+    if tried.rounds:
         # A pair may have been tried from either side.
-        done = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        sides = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+        done = tried.rows().select(F.inline(sides))
         hits = hits.join(done, ["a", "b"], "left_anti")
     order = Window.partitionBy("a").orderBy(F.desc("hits"), F.xxhash64("b", F.lit(nth)))
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sim.tests).select("a", "b")
 
 
-def _starred(postings: DataFrame, groups: DataFrame, full: DataFrame, sim: MinHash, tried: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """(groups, tried) after rounds of stars over ``postings``, until a round finds hardly a link."""
+class Tried:
+    """The pairs (a, b, linked) compared so far: one table, to which rounds add folders."""
+
+    def __init__(self, docs: DataFrame):
+        self.spark, self.path, self.rounds = docs.sparkSession, f"{scratch_dir(docs.sparkSession)}/tried", 0
+
+    def add(self, found: DataFrame) -> DataFrame:
+        found.write.parquet(f"{self.path}/round={self.rounds}")
+        self.rounds += 1
+        return self.rows().where(F.col("round") == self.rounds - 1).select("a", "b", "linked")
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema("a bigint, b bigint, linked boolean, round int").parquet(self.path)
+
+    def links(self) -> DataFrame:
+        return self.rows().where("linked").select("a", "b")
+
+    def links_of(self) -> DataFrame:
+        """(cls, links) for classes that have any."""
+        return self.links().select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("links"))
+
+
+def _starred(postings: DataFrame, groups: DataFrame, full: DataFrame, sim: MinHash, tried: Tried) -> DataFrame:
+    """The groups after rounds of stars over ``postings``, until a round finds hardly a link."""
+    some = False
     for nth in range(sim.rounds):
-        pairs = _star_pairs(postings, groups, tried, sim, nth)
-        found = written(_confirmed(pairs, full, sim), "tried")
-        tried = found if tried is None else tried.unionByName(found)
+        found = tried.add(_confirmed(_star_pairs(postings, groups, tried, sim, nth), full, sim))
         seen = found.agg(F.count("*").alias("pairs"), F.count_if("linked").alias("links")).first()
-        if seen.links:
-            groups = _merged(groups, found.where("linked"))
-        if seen.links * sim.worth < seen.pairs:
+        some = some or seen.links > 0
+        if seen.links * sim.worth < seen.pairs or not seen.links:
             break
-    return groups, tried
+        groups = _drawn_in(groups, found.where("linked"))
+    return _merged(groups, tried.links()) if some else groups
 
 
-def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: DataFrame, sim: MinHash) -> DataFrame:
+def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: Tried, sim: MinHash) -> DataFrame:
     """Postings (key, cls, n, side) of shingles in which members of a bucket differ from its leader.
 
     Only buckets with several groups count. Let D(x) be where x differs from the leader l,
@@ -186,9 +215,7 @@ def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: DataF
     neither is linked with l: there f(y) > p |l|. Sides 1 and 2 are for x linked and y not:
     f(y) > p |l| again, and as D(x) has what they share, that is f(y) - p |x| or more.
     """
-    links = tried.where("linked")
-    ends = links.select(F.col("a").alias("cls")).unionByName(links.select(F.col("b").alias("cls")))
-    ready = postings.join(groups, "cls").join(ends.groupBy("cls").agg(F.count("*").alias("links")), "cls", "left")
+    ready = postings.join(groups, "cls").join(tried.links_of(), "cls", "left")
     first = F.struct((-F.coalesce("links", F.lit(0))).alias("links"), F.col("cls").alias("b"))
     leaders = ready.groupBy("key").agg(F.min(first).alias("leader"), F.min("grp").alias("g0"), F.max("grp").alias("g1"))
     leaders = leaders.where("g0 < g1").select("key", "leader.b")
@@ -218,7 +245,7 @@ def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: DataF
     return found.select(key.alias("key"), F.col("a").alias("cls"), F.col("n_a").alias("n"), F.col("s.side").alias("side"))
 
 
-def _left_pairs(postings: DataFrame, groups: DataFrame, tried: DataFrame, sim: MinHash) -> DataFrame:
+def _left_pairs(postings: DataFrame, groups: DataFrame, tried: Tried, sim: MinHash) -> DataFrame:
     """The pairs (a, b) of a bucket that are in different groups and were not compared yet."""
     ready = postings.join(groups, "cls")
     several = ready.groupBy("key").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 < g1")
@@ -227,7 +254,7 @@ def _left_pairs(postings: DataFrame, groups: DataFrame, tried: DataFrame, sim: M
     pairs = ready.join(other, "key").where((F.col("side") == 0) | (F.col("side") != F.col("other")))
     pairs = pairs.where((F.col("cls") < F.col("b")) & (F.col("grp") != F.col("g")) & sim.near_size(F.col("n"), F.col("m")))
     pairs = pairs.select(F.col("cls").alias("a"), "b").distinct()
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    done = tried.rows().select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.join(done, ["a", "b"], "left_anti")
 
 
@@ -257,13 +284,13 @@ def minhash_duplicates(docs: DataFrame, sim: MinHash = MinHash()) -> DataFrame:
     full = written(full.join(active.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]), "full")
 
     groups = active.select("cls", F.col("cls").alias("grp"))
-    groups, tried = _starred(postings, groups, full, sim, None)
+    tried = Tried(docs)
+    groups = _starred(postings, groups, full, sim, tried)
     finer = written(_apart(postings, groups, full, tried, sim), "finer")
-    groups, tried = _starred(finer, groups, full, sim, tried)
-    last = written(_left_pairs(finer, groups, tried, sim), "last")
-    links = written(_confirmed(last, full, sim).where("linked"), "links")
-    if not links.isEmpty():
-        groups = _merged(groups, links)
+    groups = _starred(finer, groups, full, sim, tried)
+    last = tried.add(_confirmed(_left_pairs(finer, groups, tried, sim), full, sim))
+    if not last.where("linked").isEmpty():
+        groups = _merged(groups, tried.links())
 
     grouped = classes.join(groups, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
     least = grouped.groupBy("grp").agg(F.min("first").alias("component_id"))
