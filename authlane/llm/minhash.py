@@ -162,9 +162,8 @@ def _star_pairs(postings: DataFrame, groups: DataFrame, tried: Tried, sim: MinHa
     hits = named.groupBy(F.col("cls").alias("a"), "b").agg(F.count("*").alias("hits"))
     if tried.rounds:
         # A pair may have been tried from either side.
-        sides = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-        done = tried.rows().select(F.inline(sides))
-        hits = hits.join(done, ["a", "b"], "left_anti")
+        done = tried.rows().select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+        hits = hits.withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")}).join(done, ["x", "y"], "left_anti")
     order = Window.partitionBy("a").orderBy(F.desc("hits"), F.xxhash64("b", F.lit(nth)))
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sim.tests).select("a", "b")
 
@@ -205,7 +204,7 @@ def _starred(postings: DataFrame, groups: DataFrame, full: DataFrame, sim: MinHa
 
 
 def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: Tried, sim: MinHash) -> DataFrame:
-    """Postings (key, cls, n, side) of shingles in which members of a bucket differ from its leader.
+    """Postings (key, cls, n, f, side, rest) of shingles in which members of a bucket differ from its leader.
 
     Only buckets with several groups count. Let D(x) be where x differs from the leader l,
     p = (1 - t) / (1 + t), and f(x) = |D(x)| - p |x|. Sets are linked when they differ in at
@@ -214,6 +213,7 @@ def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: Tried
     common agree in one of the |D| - least + 1 rarest of each. Side 0 is for pairs of which
     neither is linked with l: there f(y) > p |l|. Sides 1 and 2 are for x linked and y not:
     f(y) > p |l| again, and as D(x) has what they share, that is f(y) - p |x| or more.
+    ``rest`` is how many shingles of D come from this one on.
     """
     ready = postings.join(groups, "cls").join(tried.links_of(), "cls", "left")
     first = F.struct((-F.coalesce("links", F.lit(0))).alias("links"), F.col("cls").alias("b"))
@@ -237,12 +237,16 @@ def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: Tried
     def rarest(least: Column, side: int) -> Column:
         # A hair less, as these are rounded numbers.
         prefix = F.slice("d", 1, (d - F.greatest(F.lit(1), F.ceil(least - 1e-6)) + 1).cast("int"))
-        return F.transform(prefix, lambda s: F.struct(s["df"].alias("df"), s["item"].alias("item"), F.lit(side).alias("side")))
+
+        def placed(s: Column, i: Column) -> Column:
+            return F.struct(s["df"].alias("df"), s["item"].alias("item"), F.lit(side).alias("side"), (d - i).alias("rest"))
+
+        return F.transform(prefix, placed)
 
     wanted = F.when(is_linked, rarest(half, 1)).otherwise(F.concat(rarest(half, 0), rarest(whole, 2)))
-    found = each.select("a", "b", "n_a", F.explode(wanted).alias("s")).where("s.df > 1")
+    found = each.select("a", "b", "n_a", f.alias("f"), F.explode(wanted).alias("s")).where("s.df > 1")
     key = F.xxhash64("b", "s.item", F.col("s.side") > 0)
-    return found.select(key.alias("key"), F.col("a").alias("cls"), F.col("n_a").alias("n"), F.col("s.side").alias("side"))
+    return found.select(key.alias("key"), F.col("a").alias("cls"), F.col("n_a").alias("n"), "f", "s.side", "s.rest")
 
 
 def _left_pairs(postings: DataFrame, groups: DataFrame, tried: Tried, sim: MinHash) -> DataFrame:
@@ -250,9 +254,13 @@ def _left_pairs(postings: DataFrame, groups: DataFrame, tried: Tried, sim: MinHa
     ready = postings.join(groups, "cls")
     several = ready.groupBy("key").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 < g1")
     ready = ready.join(several.select("key"), "key")
-    other = ready.select("key", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("grp").alias("g"), F.col("side").alias("other"))
-    pairs = ready.join(other, "key").where((F.col("side") == 0) | (F.col("side") != F.col("other")))
-    pairs = pairs.where((F.col("cls") < F.col("b")) & (F.col("grp") != F.col("g")) & sim.near_size(F.col("n"), F.col("m")))
+    other = ready.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cls", "n", "grp", "f", "side", "rest")])
+    # The first shingle of D that two linked sets share has all others behind it.
+    reach = F.least("rest", "rest_b") >= (F.col("f") + F.col("f_b")) / 2 - 1e-6
+    apart = (F.col("cls") < F.col("cls_b")) & (F.col("grp") != F.col("grp_b"))
+    sides = (F.col("side") == 0) | (F.col("side") != F.col("side_b"))
+    met = (ready["key"] == other["key"]) & apart & sides & reach & sim.near_size(F.col("n"), F.col("n_b"))
+    pairs = ready.join(other, met).withColumnRenamed("cls_b", "b")
     pairs = pairs.select(F.col("cls").alias("a"), "b").distinct()
     done = tried.rows().select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.join(done, ["a", "b"], "left_anti")
