@@ -137,18 +137,26 @@ def scan_events(spark: SparkSession, path: str, since: datetime | None = None) -
     return _scan(spark, path, EVENTS, event_defaults(), since)
 
 
-def scan_alerts(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    """The stored alerts, in today's schema whatever the age of the table."""
+def scan_alerts(
+    spark: SparkSession, path: str, since: datetime | None = None,
+    except_batch: tuple[str, int] | None = None,
+) -> DataFrame:
+    """The stored alerts, in today's schema whatever the age of the table. ``except_batch``
+    leaves out what a writer wrote as one of its batches."""
     defaults = {name: value for name, value in ALERT_DEFAULTS.items() if value is not NOW}
-    return _scan(spark, path, ALERTS, defaults, since)
+    return _scan(spark, path, ALERTS, defaults, since, except_batch)
 
 
 def _scan(
     spark: SparkSession, path: str, schema: T.StructType, defaults: Mapping[str, object],
-    since: datetime | None,
+    since: datetime | None, except_batch: tuple[str, int] | None = None,
 ) -> DataFrame:
     # The given schema spares reading footers; columns that older files lack read as NULL.
     df = spark.read.schema(schema).parquet(path)
+    # Older tables name no writer: none of their batches can be told to be this one.
+    if except_batch is not None and {"writer", "batch_id"} <= set(df.columns):
+        writer, batch = except_batch
+        df = df.filter((F.col("batch_id") != batch) | (F.col("writer") != f"w-{writer}"))
     if since is not None:
         if "day" in df.columns:
             df = df.filter(F.col("day") >= F.lit(utc_day(since)).cast("date"))

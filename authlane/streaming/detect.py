@@ -29,22 +29,24 @@ from authlane.operators.rules import RuleConfig
 from authlane.operators.tables import ALERT_SORT
 from authlane.operators.views import auth_events
 from authlane.schema import ALERTS
-from authlane.sources.readers import scan_events
+from authlane.sources.readers import scan_alerts, scan_events
 from authlane.streaming.ingest import start, write_batch, writer_of
 
 
 def recorded_alerts(
-    spark: SparkSession, path: str, except_batch: int | None = None, writer: str = "direct"
+    spark: SparkSession, path: str, except_batch: int | None = None, writer: str = "direct",
+    since: datetime | None = None,
 ) -> DataFrame:
-    """Alerts written so far, or none before the first. A batch that is run again must not
-    be silenced by its own first attempt; batches of other writers count."""
+    """Alerts written so far, or none before the first, in today's schema whatever the age
+    and layout of the table. A batch that is run again must not be silenced by its own first
+    attempt; batches of other writers count. ``since`` prunes days."""
+    own = None if except_batch is None else (writer, except_batch)
     try:
-        table = spark.read.parquet(path)
-    except AnalysisException:
+        return scan_alerts(spark, path, since, own)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return empty_alerts(spark)
-    if except_batch is not None:
-        table = table.filter((F.col("batch_id") != except_batch) | (F.col("writer") != f"w-{writer}"))
-    return table.select(*ALERTS.names)
 
 
 def detection_pass(
@@ -70,10 +72,11 @@ def detection_pass(
         facts = D.login_facts(auth, as_of, [c.window_minutes for c in configs])
         facts = facts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        alerts = run_pack(
-            auth, configs, as_of, recorded_alerts(spark, alerts_path, batch_id, writer_of(auth)), top_n, dedup,
-            sql_rules, facts,
-        )
+        # A cooldown looks back so far; a fingerprint of any age may be repeated otherwise.
+        longest = max((c.cooldown_seconds for c in [*configs, *[r.config for r in sql_rules]]), default=0)
+        back = as_of - timedelta(seconds=longest) if dedup == "cooldown" else None
+        known = recorded_alerts(spark, alerts_path, batch_id, writer_of(auth), back)
+        alerts = run_pack(auth, configs, as_of, known, top_n, dedup, sql_rules, facts)
         write_batch(alerts, alerts_path, batch_id, ALERT_SORT)
     finally:
         if facts is not None:

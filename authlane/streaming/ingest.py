@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,20 +25,61 @@ def writer_of(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, sort: tuple[str, ...]) -> None:
+LAYOUT = ("day", "writer", "batch_id")
+# Tables whose layout this process has seen to be right.
+_right: set[str] = set()
+
+
+def check_layout(spark: SparkSession, path: str) -> None:
+    """Refuse a table that is not laid out by day, writer and batch.
+
+    A batch written into another layout would leave a table that no reader can open.
+    ``upgrade_layout`` makes a table of today's layout from such a one.
+    """
+    if path in _right:
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs  # type: ignore[union-attr]
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # type: ignore[union-attr]
+
+    def entries(folder: object) -> list[object]:
+        visible = [s for s in fs.listStatus(folder) if not s.getPath().getName().startswith(("_", "."))]
+        return sorted(visible, key=lambda s: s.getPath().getName())
+
+    if fs.exists(root):
+        below = entries(root)
+        for entry in [*below, *[e for s in below[:1] + below[-1:] if s.isDirectory() for e in entries(s.getPath())]]:
+            name = entry.getPath().getName()
+            wanted = "day=" if entry in below else "writer="
+            if not name.startswith(wanted):
+                raise ValueError(f"{path} holds {name} where {wanted}... is expected: upgrade the table first")
+    _right.add(path)
+
+
+def upgrade_layout(spark: SparkSession, path: str, into: str) -> None:
+    """Copy a table of any partitioned layout with a ``ts`` to a new folder in today's layout."""
+    old = spark.read.option("mergeSchema", True).parquet(path)
+    rows = old.drop(*[c for c in (*LAYOUT, "month") if c in old.columns])
+    write_batch(rows, into, 0, ("ts",), writer="upgraded")
+
+
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, sort: tuple[str, ...], writer: str | None = None
+) -> None:
     """Write a micro-batch under day, writer and batch id, replacing an earlier attempt at it.
 
     Every stream counts its batches from 0, so the writer is part of what may be replaced:
     several lanes, or a stream with a new checkpoint, share a table without loss.
     """
-    writer = F.lit(f"w-{writer_of(df)}")
+    check_layout(df.sparkSession, path)
+    name = F.lit(f"w-{writer or writer_of(df)}")
     (
-        df.withColumns({"day": F.to_date("ts"), "writer": writer, "batch_id": F.lit(batch_id)})
+        df.withColumns({"day": F.to_date("ts"), "writer": name, "batch_id": F.lit(batch_id)})
         .hint("rebalance", "day")
-        .sortWithinPartitions("day", "writer", "batch_id", *sort)
+        .sortWithinPartitions(*LAYOUT, *sort)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "writer", "batch_id")
+        .partitionBy(*LAYOUT)
         .parquet(path)
     )
 
@@ -121,9 +162,15 @@ def start(
     mode: str = "append",
 ) -> StreamingQuery:
     """Run ``store`` per micro-batch, by default until the input that is there now is read."""
+
+    def named(batch: DataFrame, batch_id: int) -> None:
+        if writer_of(batch) == "direct":
+            raise RuntimeError("the stream's id is not known: its batches could replace others")
+        store(batch, batch_id)
+
     return (
         df.writeStream.outputMode(mode)
-        .foreachBatch(store)
+        .foreachBatch(named)
         .option("checkpointLocation", stream_checkpoint(df.sparkSession, name, checkpoint))
         .trigger(**(trigger or {"availableNow": True}))
         .start()

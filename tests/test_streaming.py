@@ -228,3 +228,41 @@ def test_streamed_facts_take_only_rules_without_further_aggregation(spark):
     config = next(c for c in RULE_PACK if c.id == "security_source_multi_user_burst")
     with pytest.raises(ValueError, match="streamed facts"):
         SD.apply_rule(spark.range(1), config)
+
+
+def _old_alert(spark, moment="2026-04-09 08:34:00"):
+    """An alert as the first version stored it: fewer columns."""
+    return spark.sql(
+        f"SELECT timestamp'{moment}' AS ts, 'windows_failed_logon_burst' AS rule_id, 'old' AS rule_name, "
+        "'windows_failed_logon_burst' AS alert_type, 'x|y' AS alert_fingerprint, 'high' AS severity, 5L AS hits"
+    )
+
+
+def test_recorded_alerts_of_older_tables(spark, tmp_path):
+    """Tables without a writer, or without partitions, and without the later columns are read."""
+    by_batch, flat = str(tmp_path / "by_batch"), str(tmp_path / "flat")
+    rows = _old_alert(spark).withColumn("day", F.to_date("ts")).withColumn("batch_id", F.lit(3))
+    rows.write.partitionBy("day", "batch_id").parquet(by_batch)
+    _old_alert(spark).write.parquet(flat)
+    for path in (by_batch, flat):
+        found = SD.recorded_alerts(spark, path, except_batch=3).collect()
+        assert [(r.alert_fingerprint, r.hits, r.workflow_state, r.principal) for r in found] == [("x|y", 5, "new", "")]
+    assert SD.recorded_alerts(spark, str(tmp_path / "none")).count() == 0
+    later = datetime(2026, 4, 10)
+    assert SD.recorded_alerts(spark, by_batch, since=later).count() == 0
+
+
+def test_another_layout_is_refused_and_upgraded(spark, bus, tmp_path):
+    path, into = str(tmp_path / "old"), str(tmp_path / "new")
+    rows = _old_alert(spark).withColumn("day", F.to_date("ts")).withColumn("batch_id", F.lit(3))
+    rows.write.partitionBy("day", "batch_id").parquet(path)
+    with pytest.raises(ValueError, match="batch_id=3 where writer="):
+        SI.write_batch(_old_alert(spark), path, 4, ("ts",))
+    assert spark.read.parquet(path).count() == 1  # still whole and readable
+    SI.upgrade_layout(spark, path, into)
+    SI.write_batch(_old_alert(spark), into, 4, ("ts",))
+    assert sorted(r.writer for r in spark.read.parquet(into).collect()) == ["w-direct", "w-upgraded"]
+    flat = str(tmp_path / "flat")
+    _old_alert(spark).write.parquet(flat)
+    with pytest.raises(ValueError, match="where day="):
+        SI.write_batch(_old_alert(spark), flat, 4, ("ts",))
