@@ -230,39 +230,58 @@ def failed_then_success(facts: DataFrame, config: RuleConfig) -> DataFrame:
     )
 
 
-def _members(facts: DataFrame, group: Sequence[str], member: str) -> DataFrame:
-    """Per group: exact number of distinct members, attempts, span, and the first few
-    members in order.
+def _counted(facts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Per group: exact number of distinct members, attempts and span. Facts are distinct
+    per member of a group, so rows are counted, and by hash aggregation alone."""
+    return facts.groupBy(*SCOPE, *group).agg(
+        F.expr("count(*) AS members"),
+        F.expr("sum(failures) AS failures"),
+        F.expr("min(first_failure) AS first_failure"),
+        F.expr("max(last_failure) AS last_failure"),
+    )
+
+
+def first_members(rows: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
+    """Per group of ``keys``: its first few members in order, as one text ``sample``.
 
     Members are ranked within hash slices of a group and only a slice's first few are
     collected, so a group's array holds at most SAMPLE_SLICES * SAMPLE_SIZE entries
     however many members it has, and one of its slices is the most a task sorts.
     """
-    keys = [*SCOPE, *group]
-    sliced = facts.withColumn("slice", F.expr(f"pmod(xxhash64({member}), {SAMPLE_SLICES})"))
+    sliced = rows.withColumn("slice", F.expr(f"pmod(xxhash64({member}), {SAMPLE_SLICES})"))
     rank = F.row_number().over(Window.partitionBy(*keys, "slice").orderBy(member))
-    return (
-        sliced.withColumn("rank", rank)
-        .groupBy(*keys)
-        .agg(
-            F.expr("count(*) AS members"),
-            F.expr("sum(failures) AS failures"),
-            F.expr("min(first_failure) AS first_failure"),
-            F.expr("max(last_failure) AS last_failure"),
-            F.expr(f"collect_set({member}) FILTER (WHERE rank <= {SAMPLE_SIZE}) AS candidates"),
-        )
-        .withColumn(
-            "sample", F.expr(f"array_join(slice(array_sort(candidates), 1, {SAMPLE_SIZE}), ', ')")
-        )
-    )
+    first = sliced.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_SIZE)
+    sample = f"array_join(slice(array_sort(collect_set({member})), 1, {SAMPLE_SIZE}), ', ') AS sample"
+    return first.groupBy(*keys).agg(F.expr(sample))
+
+
+def _sampled(groups: DataFrame, facts: DataFrame, group: Sequence[str], member: str) -> DataFrame:
+    """Groups that qualify, with the sample of their members: only their facts are sorted."""
+    keys = [*SCOPE, *group]
+    rows = facts.select(*keys, member).join(groups.select(*keys), keys, "left_semi")
+    return groups.join(first_members(rows, keys, member), keys)
+
+
+SPRAY_GROUP, SPRAY_MEMBER = ["src_ip", "host", "source_kind"], "user"
+DISTRIBUTED_GROUP, DISTRIBUTED_MEMBER = ["user", "host", "source_kind"], "src_ip"
+
+
+def spray_having(config: RuleConfig) -> str:
+    return f"members >= {config.threshold_distinct_users} AND failures >= {config.threshold_attempts}"
+
+
+def distributed_having(config: RuleConfig) -> str:
+    return f"members >= {config.threshold_distinct_ips} AND failures >= {config.threshold_attempts}"
 
 
 def password_spray(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """One source failing against several accounts of a host."""
     rows = suppress(_failed_outside_windows(facts), config, "host", "user")
-    groups = _members(rows, ["src_ip", "host", "source_kind"], "user").filter(
-        f"members >= {config.threshold_distinct_users} AND failures >= {config.threshold_attempts}"
-    )
+    groups = _counted(rows, SPRAY_GROUP).filter(spray_having(config))
+    return spray_result(_sampled(groups, rows, SPRAY_GROUP, SPRAY_MEMBER), config)
+
+
+def spray_result(groups: DataFrame, config: RuleConfig) -> DataFrame:
     return _result(
         groups,
         config,
@@ -291,9 +310,11 @@ def password_spray(facts: DataFrame, config: RuleConfig) -> DataFrame:
 def distributed_attack(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """One account failing from several sources on a host."""
     rows = suppress(_failed_outside_windows(facts), config, "host", "user")
-    groups = _members(rows, ["user", "host", "source_kind"], "src_ip").filter(
-        f"members >= {config.threshold_distinct_ips} AND failures >= {config.threshold_attempts}"
-    )
+    groups = _counted(rows, DISTRIBUTED_GROUP).filter(distributed_having(config))
+    return distributed_result(_sampled(groups, rows, DISTRIBUTED_GROUP, DISTRIBUTED_MEMBER), config)
+
+
+def distributed_result(groups: DataFrame, config: RuleConfig) -> DataFrame:
     return _result(
         groups,
         config,
@@ -322,24 +343,47 @@ def distributed_attack(facts: DataFrame, config: RuleConfig) -> DataFrame:
 def windows_failed_logon_burst(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """Failed logons of one Windows endpoint. Samples are the smallest non-blank value,
     so that a rerun gives the same alert."""
-    rows = facts.filter("windows_lane AND failures > 0").withColumn(
-        "endpoint", F.expr("ifnull(nullif(host, ''), 'unknown')")
-    )
-    groups = (
-        suppress(rows, config, "endpoint", "user")
-        .withColumns({"user": F.expr("nullif(user, '')"), "src_ip": F.expr("nullif(src_ip, '')")})
-        .groupBy(*SCOPE, "endpoint")
+    rows = windows_rows(facts, config)
+    keys = [*SCOPE, "endpoint"]
+    # Two small results instead of two distinct counts, which would copy every row.
+    users = (
+        rows.groupBy(*keys, "user")
+        .agg(
+            F.expr("sum(failures) AS failures"),
+            F.expr("min(first_failure) AS first_failure"),
+            F.expr("max(last_failure) AS last_failure"),
+            F.expr("min(nullif(logon_type, '')) AS logon_type"),
+        )
+        .groupBy(*keys)
         .agg(
             F.expr("sum(failures) AS failures"),
-            F.expr("ifnull(min(user), '') AS sample_user"),
-            F.expr("ifnull(min(src_ip), '') AS sample_source_ip"),
-            F.expr("ifnull(min(nullif(logon_type, '')), '') AS sample_logon_type"),
-            F.expr("count(DISTINCT user) AS users"),
-            F.expr("count(DISTINCT src_ip) AS sources"),
             F.expr("min(first_failure) AS first_failure"),
             F.expr("max(last_failure) AS last_failure"),
+            F.expr("ifnull(min(logon_type), '') AS sample_logon_type"),
+            F.expr("count_if(user <> '') AS users"),
+            F.expr("ifnull(min(nullif(user, '')), '') AS sample_user"),
         )
     )
+    sources = (
+        rows.groupBy(*keys, "src_ip")
+        .agg(F.expr("count(*) AS n"))
+        .groupBy(*keys)
+        .agg(
+            F.expr("count_if(src_ip <> '') AS sources"),
+            F.expr("ifnull(min(nullif(src_ip, '')), '') AS sample_source_ip"),
+        )
+    )
+    return windows_result(users.join(sources, keys), config)
+
+
+def windows_rows(facts: DataFrame, config: RuleConfig) -> DataFrame:
+    rows = facts.filter("windows_lane AND failures > 0").withColumn(
+        "endpoint", F.expr("ifnull(nullif(host, ''), 'unknown')")
+    )
+    return suppress(rows, config, "endpoint", "user")
+
+
+def windows_result(groups: DataFrame, config: RuleConfig) -> DataFrame:
     minutes = config.window_minutes
     return _result(
         groups,
