@@ -74,7 +74,7 @@ def fact_measures() -> list[Column]:
     return _aggregates(MEASURES)
 
 
-def _shared(facts: DataFrame) -> DataFrame:
+def shared_plan(facts: DataFrame) -> DataFrame:
     """Facts as one fixed plan for every rule that reads them.
 
     Each rule needs other columns and rows. Left alone, the optimizer would push those
@@ -101,7 +101,7 @@ def login_facts(
         )
         rows = rows.withColumn("window_minutes", F.explode(F.array_compact(covering)))
     facts = rows.groupBy("window_minutes", *ENTITY).agg(*fact_measures())
-    return _shared(
+    return shared_plan(
         facts.withColumn("evaluated_at", as_of_col(as_of)).select(*FACT_KEYS, *MEASURES)
     )
 
@@ -140,7 +140,7 @@ def replay_facts(
             lambda t: F.struct(F.lit(length).alias("window_minutes"), t.alias("tick")),
         )
 
-    return _shared(
+    return shared_plan(
         panes.withColumn("at", F.explode(F.concat(*[ticks(w) for w in lengths])))
         .withColumn("window_minutes", F.col("at.window_minutes"))
         .withColumn("evaluated_at", F.timestamp_micros(F.col("at.tick") * F.lit(unit)))
@@ -153,12 +153,13 @@ def _failed_outside_windows(facts: DataFrame) -> DataFrame:
     return facts.filter("failures > 0 AND NOT windows_lane AND user <> '' AND src_ip <> ''")
 
 
-def _result(df: DataFrame, config: RuleConfig, **columns: str) -> DataFrame:
-    """The 13 result columns, plus when the rule was evaluated."""
+def _result(df: DataFrame, config: RuleConfig, keep: Sequence[str] = (), **columns: str) -> DataFrame:
+    """The 13 result columns, plus when the rule was evaluated, and columns to ``keep``."""
     columns["window_bucket"] = sql_bucket_start(columns["window_end"], config.window_minutes)
     return df.selectExpr(
         *[f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in RULE_RESULT],
         "evaluated_at",
+        *keep,
     )
 
 
@@ -281,10 +282,11 @@ def password_spray(facts: DataFrame, config: RuleConfig) -> DataFrame:
     return spray_result(_sampled(groups, rows, SPRAY_GROUP, SPRAY_MEMBER), config)
 
 
-def spray_result(groups: DataFrame, config: RuleConfig) -> DataFrame:
+def spray_result(groups: DataFrame, config: RuleConfig, keep: Sequence[str] = ()) -> DataFrame:
     return _result(
         groups,
         config,
+        keep,
         hits="failures",
         principal="''",
         source_ip="src_ip",
@@ -314,10 +316,11 @@ def distributed_attack(facts: DataFrame, config: RuleConfig) -> DataFrame:
     return distributed_result(_sampled(groups, rows, DISTRIBUTED_GROUP, DISTRIBUTED_MEMBER), config)
 
 
-def distributed_result(groups: DataFrame, config: RuleConfig) -> DataFrame:
+def distributed_result(groups: DataFrame, config: RuleConfig, keep: Sequence[str] = ()) -> DataFrame:
     return _result(
         groups,
         config,
+        keep,
         hits="failures",
         principal="user",
         source_ip="''",
@@ -383,11 +386,12 @@ def windows_rows(facts: DataFrame, config: RuleConfig) -> DataFrame:
     return suppress(rows, config, "endpoint", "user")
 
 
-def windows_result(groups: DataFrame, config: RuleConfig) -> DataFrame:
+def windows_result(groups: DataFrame, config: RuleConfig, keep: Sequence[str] = ()) -> DataFrame:
     minutes = config.window_minutes
     return _result(
         groups,
         config,
+        keep,
         hits="failures",
         principal="sample_user",
         source_ip="sample_source_ip",

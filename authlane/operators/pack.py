@@ -15,10 +15,11 @@ from authlane.operators.detections import (
     BUILTIN_RULES,
     evaluate,
     login_facts,
-    replay_facts,
+    shared_plan,
     top_groups,
 )
 from authlane.operators.rules import RuleConfig, meets_threshold, suppress
+from authlane.operators.sliding import Ticks, login_panes, slide
 from authlane.schema import ALERTS, RULE_RESULT
 from authlane.settings import DEFAULT_SETTINGS, Settings
 
@@ -254,9 +255,27 @@ def replay(
     configs = runnable(configs)
     if not configs:
         return empty_alerts(auth.sparkSession)
-    facts = replay_facts(auth, [c.window_minutes for c in configs], slide_seconds, start, end)
-    found = candidates(facts, configs, top_n, per_tick=True, settings=settings)
-    return first_per_fingerprint(found)
+    windows = [c.window_minutes for c in configs]
+    ticks = Ticks.between(windows, slide_seconds, start, end)
+    low = F.timestamp_micros(F.lit((ticks.lowest(max(windows)) - 1) * ticks.unit).cast("bigint"))
+    high = F.timestamp_micros(F.lit(ticks.last * ticks.unit).cast("bigint"))
+    panes = login_panes(auth.filter((F.col("ts") > low) & (F.col("ts") <= high)), ticks.unit)
+    return first_per_fingerprint(replayed(panes, configs, ticks, top_n, settings))
+
+
+def replayed(
+    panes: DataFrame, configs: Iterable[RuleConfig], ticks: Ticks, top_n: int | None = 1,
+    settings: Settings = DEFAULT_SETTINGS,
+) -> DataFrame:
+    """Alert rows of every rule at every tick over shared panes, before any dedup."""
+    shared = shared_plan(panes)
+    out: DataFrame | None = None
+    for config in configs:
+        rows = alert_rows(slide(shared, config, ticks, top_n), config, config.parameter_text, settings)
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise ValueError("no rule to run")
+    return out
 
 
 def empty_alerts(spark: SparkSession) -> DataFrame:
