@@ -11,8 +11,6 @@ source of a group, so counting rows gives exact distinct counts without another
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from datetime import datetime
-from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +21,6 @@ from authlane.functions.times import (
     as_of_col,
     sql_bucket_start,
     sql_ms_text,
-    to_micros,
     within,
 )
 from authlane.operators.rules import RuleConfig, meets_threshold, suppress
@@ -66,12 +63,12 @@ MERGES = {
 }
 
 
-def _aggregates(expressions: dict[str, str]) -> list[Column]:
+def aggregates(expressions: dict[str, str]) -> list[Column]:
     return [F.expr(f"{sql} AS {name}") for name, sql in expressions.items()]
 
 
 def fact_measures() -> list[Column]:
-    return _aggregates(MEASURES)
+    return aggregates(MEASURES)
 
 
 def shared_plan(facts: DataFrame) -> DataFrame:
@@ -106,49 +103,6 @@ def login_facts(
     )
 
 
-def replay_facts(
-    auth: DataFrame, windows: Iterable[int], slide_seconds: int, start: datetime, end: datetime
-) -> DataFrame:
-    """Facts at every multiple of ``slide_seconds`` from ``start`` to ``end``.
-
-    A tick T covers (T - window, T]. Rows are first combined into panes that divide both
-    the slide and the windows, so only panes, not rows, are copied to the ticks they serve.
-    """
-    lengths = sorted(set(windows))
-    slide = slide_seconds * 1_000_000
-    unit = gcd(slide, *[w * 60_000_000 for w in lengths])
-    step = slide // unit
-    first_tick = -(-to_micros(start) // slide) * step
-    last_tick = to_micros(end) // slide * step
-    micros = F.unix_micros(F.col("ts"))
-    low = F.timestamp_micros(F.lit(first_tick * unit - lengths[-1] * 60_000_000).cast("bigint"))
-    high = F.timestamp_micros(F.lit(last_tick * unit).cast("bigint"))
-    panes = (
-        login_rows(auth.filter((F.col("ts") > low) & (F.col("ts") <= high)))
-        .withColumn("pane", ((micros + F.pmod(-micros, F.lit(unit))) / F.lit(unit)).cast("bigint"))
-        .groupBy("pane", *ENTITY)
-        .agg(*fact_measures())
-    )
-
-    def ticks(length: int) -> Column:
-        pane = F.col("pane")
-        first = F.greatest(pane + F.pmod(-pane, F.lit(step)), F.lit(first_tick))
-        last = F.least(pane + F.lit(length * 60_000_000 // unit - 1), F.lit(last_tick))
-        served = F.when(first <= last, F.sequence(first, last, F.lit(step).cast("bigint")))
-        return F.transform(
-            F.coalesce(served, F.array().cast("array<bigint>")),
-            lambda t: F.struct(F.lit(length).alias("window_minutes"), t.alias("tick")),
-        )
-
-    return shared_plan(
-        panes.withColumn("at", F.explode(F.concat(*[ticks(w) for w in lengths])))
-        .withColumn("window_minutes", F.col("at.window_minutes"))
-        .withColumn("evaluated_at", F.timestamp_micros(F.col("at.tick") * F.lit(unit)))
-        .groupBy(*FACT_KEYS)
-        .agg(*_aggregates(MERGES))
-    )
-
-
 def _failed_outside_windows(facts: DataFrame) -> DataFrame:
     return facts.filter("failures > 0 AND NOT windows_lane AND user <> '' AND src_ip <> ''")
 
@@ -231,36 +185,44 @@ def failed_then_success(facts: DataFrame, config: RuleConfig) -> DataFrame:
     )
 
 
-def _counted(facts: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Per group: exact number of distinct members, attempts and span. Facts are distinct
-    per member of a group, so rows are counted, and by hash aggregation alone."""
-    return facts.groupBy(*SCOPE, *group).agg(
-        F.expr("count(*) AS members"),
-        F.expr("sum(failures) AS failures"),
-        F.expr("min(first_failure) AS first_failure"),
-        F.expr("max(last_failure) AS last_failure"),
-    )
-
-
-def first_members(rows: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
-    """Per group of ``keys``: its first few members in order, as one text ``sample``.
+def _members(facts: DataFrame, group: Sequence[str], member: str) -> DataFrame:
+    """Per group: exact number of distinct members, attempts, span, and the first few
+    members in order. Facts are distinct per member of a group, so rows are counted.
 
     Members are ranked within hash slices of a group and only a slice's first few are
     collected, so a group's array holds at most SAMPLE_SLICES * SAMPLE_SIZE entries
     however many members it has, and one of its slices is the most a task sorts.
     """
+    keys = [*SCOPE, *group]
+    return (
+        _ranked(facts, keys, member)
+        .groupBy(*keys)
+        .agg(
+            F.expr("count(*) AS members"),
+            F.expr("sum(failures) AS failures"),
+            F.expr("min(first_failure) AS first_failure"),
+            F.expr("max(last_failure) AS last_failure"),
+            F.expr(f"collect_set({member}) FILTER (WHERE rank <= {SAMPLE_SIZE}) AS candidates"),
+        )
+        .withColumn("sample", F.expr(_sample_text("candidates")))
+    )
+
+
+def _ranked(rows: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
     sliced = rows.withColumn("slice", F.expr(f"pmod(xxhash64({member}), {SAMPLE_SLICES})"))
     rank = F.row_number().over(Window.partitionBy(*keys, "slice").orderBy(member))
-    first = sliced.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_SIZE)
-    sample = f"array_join(slice(array_sort(collect_set({member})), 1, {SAMPLE_SIZE}), ', ') AS sample"
-    return first.groupBy(*keys).agg(F.expr(sample))
+    return sliced.withColumn("rank", rank)
 
 
-def _sampled(groups: DataFrame, facts: DataFrame, group: Sequence[str], member: str) -> DataFrame:
-    """Groups that qualify, with the sample of their members: only their facts are sorted."""
-    keys = [*SCOPE, *group]
-    rows = facts.select(*keys, member).join(groups.select(*keys), keys, "left_semi")
-    return groups.join(first_members(rows, keys, member), keys)
+def _sample_text(members: str) -> str:
+    return f"array_join(slice(array_sort({members}), 1, {SAMPLE_SIZE}), ', ')"
+
+
+def first_members(rows: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
+    """Per group of ``keys``: its first few members in order, as one text ``sample``. Rows
+    are distinct per member of a group; all but a slice's first few go before they are sent."""
+    first = _ranked(rows, keys, member).filter(F.col("rank") <= SAMPLE_SIZE)
+    return first.groupBy(*keys).agg(F.expr(f"{_sample_text(f'collect_set({member})')} AS sample"))
 
 
 SPRAY_GROUP, SPRAY_MEMBER = ["src_ip", "host", "source_kind"], "user"
@@ -278,8 +240,7 @@ def distributed_having(config: RuleConfig) -> str:
 def password_spray(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """One source failing against several accounts of a host."""
     rows = suppress(_failed_outside_windows(facts), config, "host", "user")
-    groups = _counted(rows, SPRAY_GROUP).filter(spray_having(config))
-    return spray_result(_sampled(groups, rows, SPRAY_GROUP, SPRAY_MEMBER), config)
+    return spray_result(_members(rows, SPRAY_GROUP, SPRAY_MEMBER).filter(spray_having(config)), config)
 
 
 def spray_result(groups: DataFrame, config: RuleConfig, keep: Sequence[str] = ()) -> DataFrame:
@@ -312,8 +273,8 @@ def spray_result(groups: DataFrame, config: RuleConfig, keep: Sequence[str] = ()
 def distributed_attack(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """One account failing from several sources on a host."""
     rows = suppress(_failed_outside_windows(facts), config, "host", "user")
-    groups = _counted(rows, DISTRIBUTED_GROUP).filter(distributed_having(config))
-    return distributed_result(_sampled(groups, rows, DISTRIBUTED_GROUP, DISTRIBUTED_MEMBER), config)
+    groups = _members(rows, DISTRIBUTED_GROUP, DISTRIBUTED_MEMBER).filter(distributed_having(config))
+    return distributed_result(groups, config)
 
 
 def distributed_result(groups: DataFrame, config: RuleConfig, keep: Sequence[str] = ()) -> DataFrame:
@@ -346,37 +307,22 @@ def distributed_result(groups: DataFrame, config: RuleConfig, keep: Sequence[str
 def windows_failed_logon_burst(facts: DataFrame, config: RuleConfig) -> DataFrame:
     """Failed logons of one Windows endpoint. Samples are the smallest non-blank value,
     so that a rerun gives the same alert."""
-    rows = windows_rows(facts, config)
-    keys = [*SCOPE, "endpoint"]
-    # Two small results instead of two distinct counts, which would copy every row.
-    users = (
-        rows.groupBy(*keys, "user")
+    groups = (
+        windows_rows(facts, config)
+        .withColumns({"user": F.expr("nullif(user, '')"), "src_ip": F.expr("nullif(src_ip, '')")})
+        .groupBy(*SCOPE, "endpoint")
         .agg(
             F.expr("sum(failures) AS failures"),
+            F.expr("ifnull(min(user), '') AS sample_user"),
+            F.expr("ifnull(min(src_ip), '') AS sample_source_ip"),
+            F.expr("ifnull(min(nullif(logon_type, '')), '') AS sample_logon_type"),
+            F.expr("count(DISTINCT user) AS users"),
+            F.expr("count(DISTINCT src_ip) AS sources"),
             F.expr("min(first_failure) AS first_failure"),
             F.expr("max(last_failure) AS last_failure"),
-            F.expr("min(nullif(logon_type, '')) AS logon_type"),
-        )
-        .groupBy(*keys)
-        .agg(
-            F.expr("sum(failures) AS failures"),
-            F.expr("min(first_failure) AS first_failure"),
-            F.expr("max(last_failure) AS last_failure"),
-            F.expr("ifnull(min(logon_type), '') AS sample_logon_type"),
-            F.expr("count_if(user <> '') AS users"),
-            F.expr("ifnull(min(nullif(user, '')), '') AS sample_user"),
-        )
-    )
-    sources = (
-        rows.groupBy(*keys, "src_ip")
-        .agg(F.expr("count(*) AS n"))
-        .groupBy(*keys)
-        .agg(
-            F.expr("count_if(src_ip <> '') AS sources"),
-            F.expr("ifnull(min(nullif(src_ip, '')), '') AS sample_source_ip"),
         )
     )
-    return windows_result(users.join(sources, keys), config)
+    return windows_result(groups, config)
 
 
 def windows_rows(facts: DataFrame, config: RuleConfig) -> DataFrame:

@@ -18,8 +18,9 @@ from authlane.operators.detections import (
     shared_plan,
     top_groups,
 )
+from authlane.operators.panes import Ticks, panes_between, tick_facts
 from authlane.operators.rules import RuleConfig, meets_threshold, suppress
-from authlane.operators.sliding import Ticks, login_panes, slide
+from authlane.operators.sliding import slide
 from authlane.schema import ALERTS, RULE_RESULT
 from authlane.settings import DEFAULT_SETTINGS, Settings
 
@@ -257,24 +258,34 @@ def replay(
         return empty_alerts(auth.sparkSession)
     windows = [c.window_minutes for c in configs]
     ticks = Ticks.between(windows, slide_seconds, start, end)
-    low = F.timestamp_micros(F.lit((ticks.lowest(max(windows)) - 1) * ticks.unit).cast("bigint"))
-    high = F.timestamp_micros(F.lit(ticks.last * ticks.unit).cast("bigint"))
-    panes = login_panes(auth.filter((F.col("ts") > low) & (F.col("ts") <= high)), ticks.unit)
-    return first_per_fingerprint(replayed(panes, configs, ticks, top_n, settings))
+    return first_per_fingerprint(replayed(panes_between(auth, windows, ticks), configs, ticks, top_n, settings))
+
+
+# A window of up to so many ticks copies its panes to them, which takes one aggregation.
+# Beyond, the rules run on changes alone.
+COPIES = 32
 
 
 def replayed(
     panes: DataFrame, configs: Iterable[RuleConfig], ticks: Ticks, top_n: int | None = 1,
     settings: Settings = DEFAULT_SETTINGS,
 ) -> DataFrame:
-    """Alert rows of every rule at every tick over shared panes, before any dedup."""
+    """Alert rows of every rule at every tick over panes, before any dedup."""
+    configs = list(configs)
+    few = [c for c in configs if ticks.length(c.window_minutes) <= COPIES * ticks.step]
+    parts = []
+    if few:
+        facts = tick_facts(panes, [c.window_minutes for c in few], ticks)
+        parts.append(candidates(facts, few, top_n, per_tick=True, settings=settings))
     shared = shared_plan(panes)
-    out: DataFrame | None = None
     for config in configs:
-        rows = alert_rows(slide(shared, config, ticks, top_n), config, config.parameter_text, settings)
-        out = rows if out is None else out.unionByName(rows)
-    if out is None:
+        if config not in few:
+            parts.append(alert_rows(slide(shared, config, ticks, top_n), config, config.parameter_text, settings))
+    if not parts:
         raise ValueError("no rule to run")
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
     return out
 
 

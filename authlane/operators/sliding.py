@@ -15,62 +15,17 @@ whose alerts go by a name, looks them up for the changes that qualify.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
-from datetime import datetime
-from math import gcd
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from authlane.functions.times import to_micros
 from authlane.operators import detections as D
 from authlane.operators.intervals import points_in_intervals
+from authlane.operators.panes import Ticks
 from authlane.operators.rules import RuleConfig, meets_threshold, suppress
 from authlane.settings import KIND_LINUX
 
-@dataclass(frozen=True)
-class Ticks:
-    """The evaluation instants: multiples of ``step`` units from ``first`` to ``last``; a unit has ``unit`` microseconds."""
-
-    unit: int
-    step: int
-    first: int
-    last: int
-
-    @classmethod
-    def between(cls, windows: Iterable[int], slide_seconds: int, start: datetime, end: datetime, unit: int | None = None) -> Ticks:
-        """Every multiple of the slide from ``start`` to ``end``, in the coarsest unit that
-        divides slide and windows, or a given one that does."""
-        slide = slide_seconds * 1_000_000
-        lengths = [w * 60_000_000 for w in windows]
-        unit = unit or gcd(slide, *lengths)
-        if any(x % unit for x in (slide, *lengths)):
-            raise ValueError(f"panes of {unit} microseconds do not divide the slide and the windows")
-        step = slide // unit
-        return cls(unit, step, -(-to_micros(start) // slide) * step, to_micros(end) // slide * step)
-
-    def length(self, minutes: int) -> int:
-        return minutes * 60_000_000 // self.unit
-
-    def lowest(self, minutes: int) -> int:
-        """The first pane that any tick's window holds."""
-        return self.first - self.length(minutes) + 1
-
-
-def login_panes(auth: DataFrame, unit: int) -> DataFrame:
-    """(pane, entity, measures): login events per entity and unit of time. Pane n holds what
-    is after n - 1 units and not after n."""
-    micros = F.unix_micros("ts")
-    pane = ((micros + F.pmod(-micros, F.lit(unit))) / F.lit(unit)).cast("bigint")
-    return D.login_rows(auth).withColumn("pane", pane).groupBy("pane", *D.ENTITY).agg(*D.fact_measures())
-
-
-def merged_panes(panes: DataFrame) -> DataFrame:
-    """One row per pane and entity of panes that were combined apart."""
-    return panes.groupBy("pane", *D.ENTITY).agg(*D._aggregates(D.MERGES))
-
-
 def _served(panes: DataFrame, minutes: int, ticks: Ticks) -> DataFrame:
     """Panes with the tick at which they enter and the one at which they have left."""
     step, length = ticks.step, ticks.length(minutes)

@@ -14,7 +14,7 @@ from authlane.operators import presentation as C
 from authlane.operators import reports as R
 from authlane.operators import tables as T
 from authlane.operators import views as V
-from authlane.operators.detections import replay_facts
+from authlane.operators.panes import replay_facts
 from authlane.operators.pack import candidates
 from authlane.plans import bindings as B
 from authlane.plans import oracle as O

@@ -276,6 +276,31 @@ def q_replay_top1(spark: SparkSession, sf: str) -> DataFrame:
     return P.replay(B.bound_auth(spark, sf), _REPLAY, 6 * 3600, B.START, B.AS_OF, top_n=1)
 
 
+_FINE_END = B.START + timedelta(days=6)
+
+
+def _fine_range() -> str:
+    """Ticks of half an hour over six days: a day's window is 48 of them."""
+    return O.tick_range(B.DAY, 1800).replace(O.AS_OF, f"TIMESTAMP '{_FINE_END}'")
+
+
+@query(
+    "replay_fine_slide",
+    O.with_(O.SRC, O.ENV, O.AUTH, _fine_range(), O.alerts_block(_REPLAY, None)) + "SELECT * FROM alerts",
+)
+def q_replay_fine(spark: SparkSession, sf: str) -> DataFrame:
+    """One-day windows every half hour over six days, every group."""
+    return P.replay(B.bound_auth(spark, sf), _REPLAY, 1800, B.START, _FINE_END, top_n=None)
+
+
+@query(
+    "replay_fine_slide_top1",
+    O.with_(O.SRC, O.ENV, O.AUTH, _fine_range(), O.alerts_block(_REPLAY, 1)) + "SELECT * FROM alerts",
+)
+def q_replay_fine_top1(spark: SparkSession, sf: str) -> DataFrame:
+    return P.replay(B.bound_auth(spark, sf), _REPLAY, 1800, B.START, _FINE_END, top_n=1)
+
+
 _MIXED = [c.with_(window_minutes=w) for c, w in zip(B.history_pack(), (7 * 1440, 7 * 1440, 1440, 2880, 720))]
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from authlane.operators import detections as D
+from authlane.operators import panes
 from authlane.operators import pack as P
 from authlane.operators import reports as R
 from authlane.operators import tables as T
@@ -91,7 +92,7 @@ def test_latest_is_top_k(spark, stored):
 def test_per_tick_top_n_is_limited_before_the_shuffle(spark, stored):
     auth = auth_events(SR.scan_events(spark, stored))
     config = RULE_PACK[0].with_(window_minutes=1440, threshold_value=1)
-    facts = D.replay_facts(auth, [1440], 6 * 3600, B.START, B.AS_OF)
+    facts = panes.replay_facts(auth, [1440], 6 * 3600, B.START, B.AS_OF)
     assert "WindowGroupLimit" in plan(D.evaluate(facts, config, 1, per_tick=True))
 
 
