@@ -13,7 +13,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from authlane.functions.times import to_micros
+from authlane.functions.times import as_of_col, to_micros
 from authlane.operators.detections import (
     ENTITY,
     FACT_KEYS,
@@ -100,6 +100,16 @@ def tick_facts(panes: DataFrame, windows: Iterable[int], ticks: Ticks) -> DataFr
     )
 
 
+def pane_facts(panes: DataFrame, windows: Iterable[int], as_of: datetime, unit: int) -> DataFrame:
+    """Login facts at one instant, a multiple of ``unit``, as ``login_facts`` gives them from
+    events: a window has no upper end."""
+    now = to_micros(as_of) // unit
+    held = [F.when(F.col("pane") > now - w * 60_000_000 // unit, F.lit(w)) for w in sorted(set(windows))]
+    copies = panes.withColumn("window_minutes", F.explode(F.array_compact(F.array(*held))))
+    facts = copies.withColumn("evaluated_at", as_of_col(as_of)).groupBy(*FACT_KEYS).agg(*aggregates(MERGES))
+    return shared_plan(facts.select(*FACT_KEYS, *MEASURES))
+
+
 def replay_facts(
     auth: DataFrame, windows: Iterable[int], slide_seconds: int, start: datetime, end: datetime
 ) -> DataFrame:

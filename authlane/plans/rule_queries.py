@@ -7,10 +7,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from authlane.functions.times import to_micros
 from authlane.operators import detections as D
 from authlane.operators import pack as P
 from authlane.operators import rules as R
 from authlane.operators import views as V
+from authlane.operators.panes import login_panes, merged_panes, pane_facts
 from authlane.plans import bindings as B
 from authlane.plans import oracle as O
 from authlane.plans.registry import query
@@ -82,6 +84,19 @@ def q_pack_all(spark: SparkSession, sf: str) -> DataFrame:
     return P.run_pack(B.bound_auth(spark, sf, B.MONTH), B.month_pack(), B.AS_OF, top_n=None)
 
 
+@query("rule_pack_from_panes", _pack_sql(B.month_pack(), None) + "SELECT * FROM alerts")
+def q_pack_panes(spark: SparkSession, sf: str) -> DataFrame:
+    """The pack at an instant from panes of ten minutes that three writers combined apart."""
+    auth = B.bound_auth(spark, sf, B.MONTH)
+    share = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    unit = 600 * 1_000_000
+    parts = [login_panes(auth.filter(share == i), unit) for i in range(3)]
+    panes = merged_panes(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    low = (to_micros(B.AS_OF) - B.MONTH * 60_000_000) // unit
+    facts = pane_facts(panes.filter(F.col("pane") > low), [c.window_minutes for c in B.month_pack()], B.AS_OF, unit)
+    return P.first_per_fingerprint(P.candidates(facts, B.month_pack(), None))
+
+
 # Two rules off, one by "No " and one by "0"; a rule without metadata stays on.
 _METADATA = {SPRAY: "No ", BURST: "0", WINDOWS: "true"}
 _ENABLED = [c for c in B.month_pack() if c.id not in (SPRAY, BURST)]
