@@ -7,7 +7,8 @@ those changes: counts enter with plus and leave with minus; the latest time is t
 that entered, and the earliest time the least that has yet to leave, as panes leave in the
 order they came. A member of a group counts from the first tick it is seen to the last, so
 exact distinct counts are running sums as well, and a group's rows are its changes, not its
-members times its ticks. Between two changes all stays as it is.
+members times its ticks. Between two changes all stays as it is; only where the top groups
+of each tick are asked for are the states that qualify repeated for their ticks.
 
 Samples of names are looked up last, for the ticks that are reported; the Windows rule,
 whose alerts go by a name, looks them up for the changes that qualify.
