@@ -2,7 +2,7 @@
 
 Login events are combined into *panes*, units of time that divide the slide and the
 windows. A pane is served by a run of ticks: it enters at the first and leaves after the
-last. Nothing is copied to the ticks between. What a window holds is a running sum over
+last. No pane is copied to the ticks between. What a window holds is a running sum over
 those changes: counts enter with plus and leave with minus; the latest time is the largest
 that entered, and the earliest time the least that has yet to leave, as panes leave in the
 order they came. A member of a group counts from the first tick it is seen to the last, so
