@@ -51,20 +51,19 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> Data
     rows that repeat a doc_id are one document. Columns of the input named n_lines or
     n_dropped give way. An empty table gives an empty table.
     """
-    whole = docs.select(F.struct("*").alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = surplus_lines(whole, min_docs, min_chars)
-    joined = whole.withColumn("text_hash", F.xxhash64("text")).join(found, ["doc_id", "text_hash"], "left")
-    # A generator column: the lambda below must not split the text once per line.
-    split = computed_once(joined, lines=F.split("text", "\n", -1))
-    n_lines = F.size("lines")
-    kept = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("positions"))
-    text = F.when(F.col("positions").isNull(), F.col("row.text")).otherwise(
-        F.array_join(F.transform(kept, lambda p: F.get(F.col("lines"), p)), "\n")
-    )
-    added = {
-        "text": text,
-        "n_lines": n_lines.cast("long"),
-        "n_dropped": F.coalesce(F.size("positions"), F.lit(0)).cast("long"),
-    }
-    own = [F.col(f"row.{c}") if c != "text" else text.alias("text") for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return split.select(*own, added["n_lines"].alias("n_lines"), added["n_dropped"].alias("n_dropped"))
+    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    whole = docs.select(F.struct(*others).alias("row"), "doc_id", "text")
+    found = surplus_lines(whole.withColumn("text", F.coalesce("text", F.lit(""))), min_docs, min_chars)
+    hashed = whole.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = hashed.join(found, ["doc_id", "text_hash"], "left")
+    # A generator column: the lambda below must not split the text once per line. Only a
+    # text that loses lines is split.
+    some = F.col("positions").isNotNull()
+    split = computed_once(joined, lines=F.when(some, F.split("text", "\n", -1)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("positions"))
+    left = F.array_join(F.transform(kept, lambda p: F.get(F.col("lines"), p)), "\n")
+    n_lines = 1 + F.coalesce(F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit(""))), F.lit(0))
+    text = F.when(some, left).otherwise(F.col("text")).alias("text")
+    n_dropped = F.when(some, F.size("positions")).otherwise(0)
+    own = [text if c == "text" else F.col(f"row.{c}") for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return split.select(*own, n_lines.cast("long").alias("n_lines"), n_dropped.cast("long").alias("n_dropped"))
