@@ -7,8 +7,8 @@ opened, and only classes of opened groups are compared, always exactly.
 
 How this stays linear where texts repeat. Tokens have one global order, rare ones first, and
 a class whose first ``n - ceil(t n) + 1`` tokens nobody else has needs no look at all. The
-frequency of tokens is counted over all classes, for a fixed fifth of the token space; a
-class with too few rare tokens in that fifth brings in the rest of its tokens, whose
+frequency of tokens is counted over all classes, for a fixed part of the token space; a
+class with too few rare tokens in that part brings in the rest of its tokens, whose
 frequency is counted among such classes. Groups form in rounds, in each of which a class is
 compared with a few others at most: a large set of near copies is joined by stars and never as
 pairs. When rounds stop merging, what may still be linked across groups is compared in full.
@@ -39,8 +39,9 @@ class Similarity:
     percent: int = 85
     # A token that so many classes hold is common.
     common: int = 32
-    # Part of the token space in which tokens are counted over all classes.
-    counted: float = 0.2
+    # Part of the token space in which tokens are counted over all classes; None takes a
+    # part that goes beyond the first tokens a set looks up (``looked_at``).
+    counted: float | None = None
     # Rounds of joining by stars before the full comparison of what is left, and how many
     # leaders a class may try in each.
     rounds: int = 2
@@ -50,7 +51,13 @@ class Similarity:
     @property
     def low(self) -> int:
         """Tokens are signed 64-bit numbers; those below are counted for all classes."""
-        return int(-(2**63) + self.counted * 2**64)
+        return int(-(2**63) + (self.looked_at if self.counted is None else self.counted) * 2**64)
+
+    @property
+    def looked_at(self) -> float:
+        """A set looks up about ``1 - t`` of its tokens: this much and a margin, which grows
+        as ``t`` falls. A part below that would leave most sets without enough rare tokens."""
+        return min(90, max(105 - self.percent, 190 - 2 * self.percent)) / 100
 
     def look(self, n: Column) -> Column:
         """How many first tokens of a set of ``n`` must be looked up."""
@@ -65,9 +72,10 @@ class Similarity:
 
 
 def token_sets(docs: DataFrame, sim: Similarity, whole: bool) -> DataFrame:
-    """(doc_id, cls, n, n_low, tokens): a document's class, set size, and its tokens.
+    """(doc_id, text_hash, cls, n, n_low, tokens): a document's class, set size, and its tokens.
 
-    ``tokens`` are all tokens or those of the counted part. The class is a hash of the set.
+    ``tokens`` are all tokens or those of the counted part. The class is a hash of the set,
+    and ``text_hash`` one of the text, which tells rows of one doc_id apart.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,16 +94,18 @@ def token_sets(docs: DataFrame, sim: Similarity, whole: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[chunk.first : chunk.last],
+                        batch.column(2)[chunk.first : chunk.last],
                         pa.array(cls, pa.int64()),
                         pa.array(n, pa.int32()),
                         pa.array(n_low, pa.int32()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64())),
                     ],
-                    ["doc_id", "cls", "n", "n_low", "tokens"],
+                    ["doc_id", "text_hash", "cls", "n", "n_low", "tokens"],
                 )
 
-    schema = "doc_id bigint, cls bigint, n int, n_low int, tokens array<bigint>"
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(read, schema)
+    schema = "doc_id bigint, text_hash bigint, cls bigint, n int, n_low int, tokens array<bigint>"
+    rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInArrow(read, schema)
 
 
 def _shared(sets: DataFrame) -> DataFrame:
@@ -274,9 +284,10 @@ def _last_pairs(cells: DataFrame, groups: DataFrame, full: DataFrame, sim: Simil
 
 
 def near_duplicates(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, cls, component_id.
+    """Per row of ``docs``: doc_id, text_hash, n_shingles, cls, grp, component_id.
 
-    ``cls`` is the same for equal sets. ``component_id`` is the smallest doc_id that can be
+    ``cls`` is the same for equal sets, ``grp`` for linked rows, also for those without any
+    doc_id, and ``text_hash`` is ``xxhash64`` of the row's text. ``component_id`` is the smallest doc_id that can be
     reached over links, the row's own included. A null text is an empty one; empty sets link
     with nothing, so such a document is its own component. Rows that repeat a doc_id count
     as rows. A row without doc_id takes part, and has a null component if no row of its
@@ -298,7 +309,7 @@ def near_duplicates(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
 
     placed = classes.join(groups, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
     least = placed.groupBy("grp").agg(F.min("first").alias("component_id"))
-    found = placed.join(least, "grp").select("cls", "component_id")
-    rows = sets.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "cls").join(found, "cls")
+    found = placed.join(least, "grp").select("cls", "grp", "component_id")
+    rows = sets.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "cls").join(found, "cls")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", "cls", own.alias("component_id"))
+    return rows.select("doc_id", "text_hash", "n_shingles", "cls", "grp", own.alias("component_id"))

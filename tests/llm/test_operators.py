@@ -57,6 +57,27 @@ def test_line_dedup_at_a_higher_threshold(docs_of):
     assert kept == {0: "shared line one\nx", 1: "shared line two", 2: "shared line two"}
 
 
+def test_line_dedup_counts_lines_and_carries_a_text_once(docs_of):
+    rows = [(0, None), (1, ""), (2, "\n"), (3, "shared line one\n\nb\n"), (4, "shared line one"), (None, "shared line one\nq"), (3, "shared line one")]
+    docs = docs_of(*rows)
+    found = dedup_lines(docs)
+    assert found.columns == [*docs.columns, "n_lines", "n_dropped"]
+    got = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found.collect()]
+    want = [(0, None, 1, 0), (1, "", 1, 0), (2, "\n", 2, 0), (3, "shared line one\n\nb\n", 4, 0), (4, "", 1, 1), (None, "shared line one\nq", 2, 0), (3, "shared line one", 1, 0)]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(got, key=order) == sorted(want, key=order)
+    # Nothing but the text itself and the hashes of its lines goes into the join.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    carried = [x for x in plan.splitlines() if "AS row#" in x]
+    assert len(carried) == 1 and "text, " not in carried[0].split("AS row#")[0]
+
+
+def test_near_duplicates_looks_beyond_the_tokens_a_set_must_look_up():
+    for percent in range(50, 100):
+        assert Similarity(percent=percent).looked_at >= 1.04 - percent / 100
+    assert Similarity(percent=85).looked_at == 0.2
+
+
 @pytest.mark.parametrize("n", [24, 25, 30])
 def test_one_more_shard_takes_rows_only_into_itself(spark, n):
     docs = spark.range(6000).selectExpr("id AS doc_id", "'x' AS text")
@@ -222,6 +243,13 @@ def test_documents_with_negative_ids_are_found(docs_of):
     assert best == {-7: [-7, -1, 0], 3: [3, -7, -1]}
 
 
+def test_query_rows_of_one_id_are_answered_each(docs_of):
+    docs = docs_of((1, "red green"), (2, "blue grey"), (3, "red"), (4, "grey"))
+    queries = docs_of((20, "red"), (20, "grey blue"), (20, "blue grey"), (None, "red"), (40, ""))
+    found = search(docs, queries, Search(k=2)).collect()
+    assert sorted((r.query_id, r["rank"], r.doc_id) for r in found) == [(20, 1, 2), (20, 1, 3), (20, 2, 1), (20, 2, 4)]
+
+
 def test_fingerprints_and_edited_texts(spark, texts):
     found = Q.op9_fingerprints(spark, SF).toPandas().set_index("doc_id")
     ids, seen = sorted(texts), {}

@@ -66,3 +66,48 @@ def test_near_dedup_against_all_pairs(spark, docs_of):
     docs = table(spark, SF, "documents")
     kept = {r.doc_id for r in P.near_dedup(spark, docs, SF).collect()}
     assert kept == _first_of_near({r.doc_id: r.text for r in docs.collect()})
+
+
+UNIQUE = "words that no other text of the table has in it"
+
+
+def test_near_dedup_judges_rows_not_ids(docs_of):
+    copy = "one two three four five six seven"
+    docs = docs_of((1, copy), (2, copy), (2, UNIQUE), (None, copy), (3, UNIQUE + " x y z"), (3, UNIQUE + " x y z"))
+    kept = sorted((r.doc_id, r.text) for r in docs_rows(docs))
+    assert kept == [(1, copy), (2, UNIQUE), (3, UNIQUE + " x y z")]
+
+
+def test_near_dedup_without_ids_and_of_odd_rows(spark, docs_of, clashing, odd):
+    copy = "one two three four five six seven"
+    assert [(r.doc_id, r.text) for r in docs_rows(docs_of((None, copy), (None, copy), (None, "")))].count((None, copy)) == 1
+    kept = P.near_dedup(spark, clashing, SF)
+    assert kept.columns == list(P.COLUMNS)
+    # The copies 7, 7 and 8 are one group; documents without words stay.
+    found = sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect())
+    assert found == [0, 1, 2, 3, 4, 5, 6, 7, 9]
+    assert kept.where("doc_id IS NULL").count() == 1
+    assert docs_rows(odd.limit(0)) == []
+
+
+def docs_rows(docs):
+    return P.near_dedup(docs.sparkSession, docs, SF).collect()
+
+
+def test_line_dedup_stage_of_odd_rows(spark, clashing, odd):
+    kept = {r.doc_id: r.text for r in P.line_dedup(spark, clashing, SF).collect()}
+    assert kept[0] is None and kept[1] == "" and kept[2] == " \t\n"
+    assert (kept[5], kept[6]) == ("Same line here\nown 5", "own 6")
+    # Document 8 had one line, which 7 holds: nothing is left of it. Repeats of 7 are one document.
+    assert 8 not in kept and None in kept
+    assert P.line_dedup(spark, odd.limit(0), SF).count() == 0
+
+
+def test_mixing_and_packing_stages_of_odd_rows(spark, clashing, odd):
+    mixed = P.mixing(spark, clashing, SF)
+    assert mixed.columns == list(P.COLUMNS)
+    assert {r.doc_id for r in mixed.collect()} <= {r.doc_id for r in odd.collect()}
+    assert P.mixing(spark, odd.limit(0), SF).count() == 0
+    packed = P.packing(spark, clashing, SF).collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in odd.collect()}
+    assert P.packing(spark, odd.limit(0), SF).count() == 0
