@@ -31,13 +31,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id.
+    """Of each group of near duplicates one row: the one with the smallest id.
 
-    Documents without words are no near duplicates of anything, and all stay.
+    Texts are judged one by one, so another text under the same id is another member: of two
+    the one with the smaller hash goes first. Rows without id come last, and one stays where
+    no row of the group has an id. Of rows that repeat both id and text the least one by its
+    other columns stays. Documents without words are no near duplicates of anything, and all
+    stay, repeated ones too. An empty table gives an empty one; other columns are left out.
     """
-    found = near_duplicates(docs, NEAR)
-    later = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*COLUMNS)
+    found = written(near_duplicates(docs, NEAR).where("n_shingles > 0"), "near")
+    order = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "text_hash")
+    first = found.groupBy("grp").agg(F.min(order).alias("first"))
+    rows = found.groupBy("grp", "doc_id", "text_hash").agg(F.count("*").alias("copies")).join(first, "grp")
+    stays = order == F.col("first")
+    # Most texts are the only ones of their kind and need no verdict.
+    judged = rows.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), stays.alias("stays"), "copies")
+    judged = written(judged.where("NOT stays OR copies > 1"), "judged")
+    own = docs.select(*COLUMNS)
+    same = own["doc_id"].eqNullSafe(judged["id"]) & (F.xxhash64(own["text"]) == judged["hash"])
+    single = own.join(judged, same, "left_anti")
+    again = own.join(judged.where("stays"), same).groupBy("id", "hash").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return single.unionByName(again.select("row.*"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
