@@ -37,6 +37,10 @@ def plain_number(text: Column) -> Column:
 # JSON text in pieces: strings, numbers, and what lies between.
 _PIECES = r'("(?:[^"\\]++|\\.)*+"|-?[0-9][0-9.eE+-]*+|[^"0-9-]++)'
 
+# A number, or text in a string that looks like one, that a double may spell otherwise: with
+# a fraction or an exponent, or too long. JSON from a VARIANT has no blanks before numbers.
+_INEXACT = r"(?:^|[\[,:])-?(?:[0-9]+[.eE]|[0-9]{16})"
+
 
 def json_number(text: Column) -> Column:
     """Spell a double's text as a number inside JSON: an exponent from 1e21 on and below 1e-6."""
@@ -57,7 +61,7 @@ def json_numbers(text: Column) -> Column:
             F.rlike(p, F.lit("^-?[0-9]")), json_number(p.try_cast("double").cast("string"))
         ).otherwise(p),
     )
-    return F.array_join(spelled, "")
+    return F.when(F.rlike(text, F.lit(_INEXACT)), F.array_join(spelled, "")).otherwise(text)
 
 
 def _kind(v: Column) -> Column:

@@ -19,9 +19,29 @@ def points_in_intervals(
     the intervals keeps copies to two or three. Rows with a null key, point or bound meet
     nothing; an interval that ends where it starts holds nothing.
     """
+    held, placed = _binned(points, intervals, at, start, end, width)
+    met = placed.join(held, [*keys, "_bin"])
+    return met.where(f"{start} <= {at} AND {at} < {end}").drop("_bin")
+
+
+def points_outside(
+    points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, start: str, end: str, width: int
+) -> DataFrame:
+    """The points that no interval of equal ``keys`` holds, by the same bins. Points with a
+    null key or place are in none and stay."""
+    held, placed = _binned(points, intervals, at, start, end, width)
+    p, i = placed.alias("p"), held.alias("i")
+    met = F.col(f"i.{start}") <= F.col(f"p.{at}")
+    met = met & (F.col(f"p.{at}") < F.col(f"i.{end}"))
+    for k in [*keys, "_bin"]:
+        met = met & (F.col(f"p.{k}") == F.col(f"i.{k}"))
+    return p.join(i, met, "left_anti").drop("_bin")
+
+
+def _binned(
+    points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, width: int
+) -> tuple[DataFrame, DataFrame]:
     held = intervals.where(f"{start} < {end}").withColumn(
         "_bin", F.explode(F.expr(f"sequence(floor({start} / {width}), floor(({end} - 1) / {width}))"))
     )
-    placed = points.withColumn("_bin", F.expr(f"floor({at} / {width})"))
-    met = placed.join(held, [*keys, "_bin"])
-    return met.where(f"{start} <= {at} AND {at} < {end}").drop("_bin")
+    return held, points.withColumn("_bin", F.expr(f"floor({at} / {width})"))

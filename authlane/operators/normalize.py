@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from authlane import settings as S
 from authlane.functions.parse import parse_event_time, parse_rfc3339, parse_syslog_time
 from authlane.functions.plan import computed_once
-from authlane.functions.text import first_nonblank, null_if_blank
+from authlane.functions.text import first_nonblank, null_if_blank, strip
 from authlane.functions.times import AsOf, as_of_col, millis
 from authlane.schema import ENVELOPE_COLUMNS
 from authlane.settings import DEFAULT_SETTINGS, Settings
@@ -219,6 +219,29 @@ def normalize_ssh_auth(
     )
 
 
+def ssh_reject_reason() -> Column:
+    """Why a line (``value``) that reports a login cannot be normalized, NULL for every other
+    line: what the daemon says about other things is left out by intent."""
+    value = F.col("value")
+    reports = F.rlike(value, F.lit(r"sshd(\[\d+\])?: (Failed|Accepted) "))
+    body = F.regexp_extract(value, SSH_LINE, 4)
+    usable = F.rlike(body, F.lit(SSH_FAILED)) | F.rlike(body, F.lit(SSH_ACCEPTED))
+    return F.when(reports & ~usable, "unsupported line")
+
+
+def windows_reject_reason() -> Column:
+    """Why an exported record cannot be read, NULL when it can; events of other kinds are
+    left out by intent."""
+    return F.when(F.col("record").isNull(), "invalid json")
+
+
+def rejected(raw: DataFrame, reason: Column, column: str = "value") -> DataFrame:
+    """(raw, reason) of the rows for which a lane's ``..._reject_reason`` has one. Blank lines
+    are no records."""
+    judged = raw.select(F.col(column).alias("raw"), reason.alias("reason"))
+    return judged.filter(F.col("reason").isNotNull() & (strip(F.col("raw")) != ""))
+
+
 def windows_payload(df: DataFrame) -> DataFrame:
     """Exporter output text: ``message``, or ``stdout`` where it is blank, as ``value``."""
     columns = [null_if_blank(F.col(c)) for c in ("message", "stdout") if c in df.columns]

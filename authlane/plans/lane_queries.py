@@ -15,6 +15,7 @@ from authlane.plans import oracle as O
 from authlane.plans.registry import query
 from authlane.sources import readers as SR
 from authlane.sources import windows_export as W
+from authlane.streaming.offsets import not_seen, offset_ranges, with_position
 
 SRC = O.with_(O.SRC)
 
@@ -457,3 +458,38 @@ def q_forwarded(spark: SparkSession, sf: str) -> DataFrame:
         F.count("*").alias("events"),
         F.count_if(ms_text(F.col("ts")) == "2024-01-31 00:00:00.000").alias("undated"),
     )
+
+
+_MESSAGES = """m AS (SELECT 'topic|' || et AS source, CAST(id AS BIGINT) AS "at", ts FROM src)"""
+
+
+def _messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as messages of a topic partition per event type."""
+    rows = B.source_rows(spark, sf, parsed=False).select(F.lit("topic").alias("topic"), "et", "id", "ts")
+    return with_position(rows, ("topic", "et", "id")).select("source", "at", "ts")
+
+
+@query(
+    "offset_ranges",
+    O.with_(O.SRC, _MESSAGES)
+    + """SELECT source, CAST(min("at") AS BIGINT) AS first, CAST(max("at") + 1 AS BIGINT) AS after
+FROM (SELECT source, "at", "at" - row_number() OVER (PARTITION BY source ORDER BY "at") AS run FROM m)
+GROUP BY source, run""",
+)
+def q_offset_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """What a table of stored offsets holds after all events."""
+    return offset_ranges(_messages(spark, sf))
+
+
+@query(
+    "redelivered_once",
+    O.with_(O.SRC, _MESSAGES)
+    + """SELECT source, "at" FROM m WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'
+EXCEPT SELECT source, "at" FROM m WHERE ts < TIMESTAMP '2024-01-20 00:00:00'""",
+)
+def q_redelivered_once(spark: SparkSession, sf: str) -> DataFrame:
+    """What a delivery from the 10th on adds where all before the 20th is stored."""
+    rows = _messages(spark, sf)
+    stored = offset_ranges(rows.where("ts < TIMESTAMP '2024-01-20 00:00:00'"))
+    again = rows.where("ts >= TIMESTAMP '2024-01-10 00:00:00'").select("source", "at")
+    return not_seen(again, stored)

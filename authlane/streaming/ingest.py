@@ -7,16 +7,20 @@ writes only its own ``batch_id`` partitions and replaces them when it is run aga
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from authlane.functions.times import as_of_col
 from authlane.operators.envelope import decode_envelopes, position_id
+from authlane.operators.normalize import rejected
 from authlane.operators.tables import EVENT_SORT
 from authlane.schema import EVENTS
 from authlane.session import stream_checkpoint
+from authlane.streaming.offsets import not_seen, offset_ranges, read_seen, with_position, write_seen
 
 
 def writer_of(batch: DataFrame) -> str:
@@ -56,9 +60,14 @@ def check_layout(spark: SparkSession, path: str) -> None:
     _right.add(path)
 
 
-def upgrade_layout(spark: SparkSession, path: str, into: str) -> None:
-    """Copy a table of any partitioned layout with a ``ts`` to a new folder in today's layout."""
+def upgrade_layout(spark: SparkSession, path: str, into: str, ts: datetime | None = None) -> None:
+    """Copy a table of any partitioned layout to a new folder in today's layout. Rows of a
+    table without a ``ts``, an old quarantine, take the given one."""
     old = spark.read.option("mergeSchema", True).parquet(path)
+    if "ts" not in old.columns:
+        if ts is None:
+            raise ValueError(f"{path} has no ts: say which its rows are to have")
+        old = old.withColumn("ts", as_of_col(ts))
     rows = old.drop(*[c for c in (*LAYOUT, "month") if c in old.columns])
     write_batch(rows, into, 0, ("ts",), writer="upgraded")
 
@@ -84,6 +93,12 @@ def write_batch(
     )
 
 
+def write_quarantine(bad: DataFrame, path: str, batch_id: int, lane: str) -> None:
+    """Append rejected records (ts, raw, reason) of a micro-batch, laid out as events are, so
+    that ``apply_retention`` serves the quarantine too. ``ts`` is when the batch was read."""
+    write_batch(bad.select("ts", F.lit(lane).alias("lane"), "raw", "reason"), path, batch_id, ("reason",))
+
+
 def ingest_envelopes(
     lines: DataFrame,
     events_path: str,
@@ -91,32 +106,43 @@ def ingest_envelopes(
     checkpoint: str | None = None,
     position: tuple[str, ...] = (),
     trigger: dict | None = None,
+    seen_path: str | None = None,
 ) -> StreamingQuery:
     """Decode wire envelopes (``value``) and append them; rejected ones are quarantined
     with their reason instead of being redelivered for ever.
 
     ``position`` names the columns that locate a message in its source; the event id is
-    derived from them, so that a redelivered message can be told from a new one.
+    derived from them. With ``seen_path``, a table of the offsets stored so far, a message
+    that is delivered again is left out; the last column of ``position`` is its offset.
+    Streams that share the table know what the others stored before; two that read the same
+    offsets at the same moment both store them.
     """
+    if seen_path is not None and not position:
+        raise ValueError("redelivered messages are told by their position: name its columns")
     event_id = position_id(*[F.col(p).cast("string") for p in position]) if position else F.uuid()
+    # The time of a micro-batch is kept in the checkpoint: a re-run has the same.
+    stamped = lines.withColumn("_read_at", F.current_timestamp())
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        writer = writer_of(batch)
+        if seen_path is not None:
+            seen, own = read_seen(batch.sparkSession, seen_path, writer, batch_id)
+            batch = not_seen(with_position(batch, position), seen)
         decoded = decode_envelopes(batch).withColumn("event_id", event_id)
         decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = decoded.filter("reject_reason IS NULL").select(*EVENTS.names)
-            write_batch(good, events_path, batch_id, EVENT_SORT)
+            write_batch(good, events_path, batch_id, EVENT_SORT, writer)
             bad = decoded.filter("reject_reason IS NOT NULL").select(
-                F.col("value").alias("raw"), F.col("reject_reason").alias("reason"),
-                F.lit(f"w-{writer_of(batch)}").alias("writer"), F.lit(batch_id).alias("batch_id"),
+                F.col("_read_at").alias("ts"), F.col("value").alias("raw"), F.col("reject_reason").alias("reason")
             )
-            bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "writer", "batch_id"
-            ).parquet(quarantine_path)
+            write_quarantine(bad, quarantine_path, batch_id, "bus")
+            if seen_path is not None:
+                write_seen(own, offset_ranges(decoded), seen_path, writer, batch_id)
         finally:
             decoded.unpersist()
 
-    return start(lines, store, "ingest", checkpoint, trigger)
+    return start(stamped, store, "ingest", checkpoint, trigger)
 
 
 def ingest_lane(
@@ -126,15 +152,34 @@ def ingest_lane(
     checkpoint: str | None = None,
     trigger: dict | None = None,
     name: str = "lane",
+    quarantine_path: str | None = None,
+    reject_reason: Column | None = None,
 ) -> StreamingQuery:
-    """Normalize one raw lane and append its events, without a bus between."""
+    """Normalize one raw lane and append its events, without a bus between.
+
+    Records that the lane cannot use go to the quarantine with the lane's name: those with a
+    ``reject_reason``, which reads the columns of ``raw`` (``normalize.generic_reject_reason()``
+    and its like). Without a quarantine they are left out.
+    """
+    if (quarantine_path is None) != (reject_reason is None):
+        raise ValueError("a quarantine needs a path and a reason")
     envelopes = normalize(raw)
     rows = envelopes.select("ts", F.uuid().alias("event_id"), *envelopes.columns[1:])
+    if quarantine_path is None:
+        return start(rows, lambda batch, n: write_batch(batch, events_path, n, EVENT_SORT), name, checkpoint, trigger)
+    # One stream for both: a micro-batch reads the same records for either.
+    bad = rejected(raw, reject_reason).withColumn("ts", F.current_timestamp())
+    both = rows.unionByName(bad, allowMissingColumns=True)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, events_path, batch_id, EVENT_SORT)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(batch.filter("reason IS NULL").select(*rows.columns), events_path, batch_id, EVENT_SORT)
+            write_quarantine(batch.filter("reason IS NOT NULL"), quarantine_path, batch_id, name)
+        finally:
+            batch.unpersist()
 
-    return start(rows, store, name, checkpoint, trigger)
+    return start(both, store, name, checkpoint, trigger)
 
 
 def without_redelivered(events: DataFrame, delay: str = "10 minutes") -> DataFrame:

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from authlane.operators import envelope as E
 from authlane.operators import normalize as N
 from authlane.operators import pack as P
+from authlane.operators import tables as TB
 from authlane.operators.rules import RULE_PACK
 from authlane.operators.views import auth_events
 from authlane.sources import readers as SR
 from authlane.streaming import detect as SD
 from authlane.streaming import ingest as SI
+from authlane.streaming import offsets as SO
 
 AS_OF = datetime(2026, 4, 9, 8, 35)
 
@@ -266,3 +268,102 @@ def test_another_layout_is_refused_and_upgraded(spark, bus, tmp_path):
     _old_alert(spark).write.parquet(flat)
     with pytest.raises(ValueError, match="where day="):
         SI.write_batch(_old_alert(spark), flat, 4, ("ts",))
+
+
+def test_a_lane_quarantines_what_it_cannot_use(spark, tmp_path):
+    folder = tmp_path / "log"
+    folder.mkdir()
+    good = "Apr  9 08:33:37 h1 sshd[4]: Failed password for admin from 203.0.113.77 port 22 ssh2"
+    bad = "Apr  9 08:33:39 h1 sshd[4]: Accepted nonsense"
+    (folder / "auth.log").write_text("\n".join([good, bad, "Apr  9 08:33:38 h1 cron[4]: Failed x", ""]) + "\n")
+    events, quarantine = str(tmp_path / "events"), str(tmp_path / "bad")
+    for _ in range(2):  # the second start finds nothing new
+        query = SI.ingest_lane(
+            SR.ssh_lines(spark, str(folder), stream=True), lambda df: N.normalize_ssh_auth(df, AS_OF), events,
+            str(tmp_path / "ck"), name="ssh", quarantine_path=quarantine, reject_reason=N.ssh_reject_reason(),
+        )
+        query.awaitTermination(120)
+        assert query.exception() is None
+    assert [r.fields["user"] for r in SR.scan_events(spark, events).collect()] == ["admin"]
+    kept = spark.read.parquet(quarantine)
+    assert [(r.lane, r.raw, r.reason) for r in kept.collect()] == [("ssh", bad, "unsupported line")]
+    # Laid out by day as events are, so it expires like them.
+    at = kept.first().ts
+    assert len(TB.apply_retention(spark, quarantine, at + timedelta(days=40), 30)) == 1
+
+
+def test_lane_reject_reasons(spark):
+    lines = spark.createDataFrame([('{"a": "b"}',), ("{broken",), ("  ",), ('{"timestamp": "yesterday"}',)], "value string")
+    records = N.decode_records(lines)
+    found = lambda reason: sorted(r.reason for r in N.rejected(records, reason).collect())
+    assert found(N.windows_reject_reason()) == ["invalid json"]
+    assert found(N.generic_reject_reason()) == ["invalid json", "unsupported timestamp format"]
+
+
+def test_a_lane_quarantine_needs_both_parts(spark):
+    with pytest.raises(ValueError, match="path and a reason"):
+        SI.ingest_lane(None, None, "events", quarantine_path="bad")
+
+
+def positions(spark, tmp_path, name):
+    lines = SR.text_lines(spark, str(tmp_path / name), stream=True)
+    part = F.regexp_extract("value", r"attempt=(\d+)", 1).cast("long")
+    return lines.withColumns({"topic": F.lit("t"), "offset": part})
+
+
+def test_a_redelivered_range_is_stored_once(spark, tmp_path):
+    folder, other = tmp_path / "in", tmp_path / "again"
+    folder.mkdir()
+    other.mkdir()
+    events, bad, seen = (str(tmp_path / n) for n in ("events", "bad", "seen"))
+
+    def ingest(name, checkpoint):
+        query = SI.ingest_envelopes(
+            positions(spark, tmp_path, name), events, bad, str(tmp_path / checkpoint), ("topic", "offset"), seen_path=seen
+        )
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    def stored():
+        return sorted(int(r.message.split("=")[1]) for r in SR.scan_events(spark, events).collect())
+
+    (folder / "a.txt").write_text("\n".join(wire(i) for i in [0, 1, 2, 5, 6, 6]) + "\n")
+    ingest("in", "ck")
+    assert stored() == [0, 1, 2, 5, 6]
+    # Later in the same stream, the source goes back.
+    (folder / "b.txt").write_text("\n".join(wire(i) for i in [1, 2, 3, 6, 7]) + "\n")
+    ingest("in", "ck")
+    assert stored() == [0, 1, 2, 3, 5, 6, 7]
+    # A new stream, with a checkpoint of its own, starts from the beginning.
+    (other / "c.txt").write_text("\n".join(wire(i) for i in range(10)) + "\n")
+    ingest("again", "ck2")
+    assert stored() == list(range(10))
+    ranges = SO.merged_ranges(spark.read.schema(SO.RANGES).parquet(seen).drop("writer", "batch_id")).collect()
+    assert [(r.source, r.first, r.after) for r in ranges] == [("t", 0, 10)]
+
+
+def test_a_batch_run_again_finds_its_own_messages_new(spark, tmp_path):
+    path = str(tmp_path / "seen")
+    rows = lambda *at: SO.with_position(spark.createDataFrame([("t", a) for a in at], "topic string, offset long"), ("topic", "offset"))
+    for n, at in enumerate([(0, 1), (2, 3), (7,)]):
+        for _ in range(2):  # each batch twice
+            seen, own = SO.read_seen(spark, path, "me", n)
+            new = SO.not_seen(rows(*at, 0), seen)
+            assert sorted(r.at for r in new.collect()) == sorted({*at, *([0] if n == 0 else [])})
+            SO.write_seen(own, SO.offset_ranges(new), path, "me", n)
+    found = spark.read.schema(SO.RANGES).parquet(path)
+    # The last state and the one before it, which a re-run needs.
+    assert sorted({r.batch_id for r in found.collect()}) == [1, 2]
+    last = SO.read_seen(spark, path, "me", 3)[0].collect()
+    assert sorted((r["first"], r.after) for r in last) == [(0, 4), (7, 8)]
+
+
+def test_offset_ranges_over_slices_and_without_position(spark):
+    at = [*range(65530, 65545), 3, 3, -2, -1, None]
+    rows = spark.createDataFrame([("s", a) for a in at] + [(None, 4)], "topic string, offset long")
+    placed = SO.with_position(rows, ("topic", "offset"))
+    found = SO.offset_ranges(placed).collect()
+    assert sorted((r["first"], r.after) for r in found) == [(-2, 0), (3, 4), (65530, 65545)]
+    left = SO.not_seen(placed, SO.offset_ranges(placed.where("at > 0")))
+    assert sorted(r.at for r in left.where("at IS NOT NULL").collect()) == [-2, -1]
+    assert left.where("at IS NULL").count() == 2
