@@ -284,13 +284,15 @@ def windows_lane_count(
     )
 
 
+def windows_lane_rows(computer: str | None = None, lane: str = S.LANE_WINDOWS) -> Column:
+    where = F.col("ingest_source") == lane
+    return where if computer is None else where & (F.lower("host") == computer.lower())
+
+
 def windows_lane_latest(
     auth: DataFrame, computer: str | None = None, limit: int = 10, lane: str = S.LANE_WINDOWS
 ) -> DataFrame:
-    where = F.col("ingest_source") == lane
-    if computer is not None:
-        where = where & (F.lower("host") == computer.lower())
-    return latest(auth, limit, EVENT_TIEBREAK, where).select(
+    return latest(auth, limit, EVENT_TIEBREAK, windows_lane_rows(computer, lane)).select(
         "ts", "ingest_source", "host", "user", "src_ip", "status", "raw_event_id", "message"
     )
 
@@ -336,9 +338,12 @@ def spray_sources(
     )
 
 
+def investigated(user: str, src_ip: str) -> Column:
+    return (F.col("user") == user) | (F.col("src_ip") == src_ip)
+
+
 def investigate(auth: DataFrame, user: str, src_ip: str, limit: int = 20) -> DataFrame:
-    where = (F.col("user") == user) | (F.col("src_ip") == src_ip)
-    return latest(auth, limit, EVENT_TIEBREAK, where).select(
+    return latest(auth, limit, EVENT_TIEBREAK, investigated(user, src_ip)).select(
         "ts", "ingest_source", "user", "src_ip", "host", "status", "message"
     )
 
