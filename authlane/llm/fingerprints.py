@@ -31,8 +31,11 @@ LOAD = 10
 ROUNDS = 16
 # One pair of words in so many ends a paragraph.
 PAIRS = 16
-# Words begin after white space, ASCII punctuation, and characters of scripts without spaces.
-WORD = r"(?<=[\s\p{Punct}\p{IsIdeographic}\p{InHiragana}\p{InKatakana}\p{InThai}])(?=\S)"
+# A word ends with white space, an ASCII punctuation mark, or a character of a script without
+# spaces; white space that follows belongs to it. Runs of ASCII letters are read first, as the
+# class of all ends is slow to test.
+ENDS = r"\s\p{Punct}\p{IsIdeographic}\p{InHiragana}\p{InKatakana}\p{InThai}"
+WORD = rf"[A-Za-z0-9]*+[^{ENDS}]*+[{ENDS}]\s*+|[^{ENDS}]++"
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -57,7 +60,10 @@ def digests(text: Column) -> Column:
 
         return _bound(F.filter(F.sequence(F.lit(1), F.size(words)), last), paragraphs)
 
-    lines = F.transform(F.split(text, "\n", -1), lambda line: _bound(F.split(line, WORD, -1), cut))
+    def words_of(line: Column) -> Column:
+        return F.when(line == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)))
+
+    lines = F.transform(F.split(text, "\n", -1), lambda line: _bound(words_of(line), cut))
     return F.array_distinct(F.flatten(lines))
 
 
