@@ -203,17 +203,11 @@ def _starred(postings: DataFrame, groups: DataFrame, full: DataFrame, sim: MinHa
     return _merged(groups, tried.links()) if some else groups
 
 
-def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: Tried, sim: MinHash) -> DataFrame:
-    """Postings (key, cls, n, f, side, rest) of shingles in which members of a bucket differ from its leader.
+def _members(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: Tried, sim: MinHash) -> DataFrame:
+    """(a, b, n_a, n_b, items, linked): members of a bucket, its leader, and the shingles in which they differ.
 
-    Only buckets with several groups count. Let D(x) be where x differs from the leader l,
-    p = (1 - t) / (1 + t), and f(x) = |D(x)| - p |x|. Sets are linked when they differ in at
-    most p (|x| + |y|) shingles, so x is linked with l when f(x) <= p |l|, and linked x and y
-    share at least (f(x) + f(y)) / 2 shingles of their D. Two sets with ``least`` of D in
-    common agree in one of the |D| - least + 1 rarest of each. Side 0 is for pairs of which
-    neither is linked with l: there f(y) > p |l|. Sides 1 and 2 are for x linked and y not:
-    f(y) > p |l| again, and as D(x) has what they share, that is f(y) - p |x| or more.
-    ``rest`` is how many shingles of D come from this one on.
+    Only buckets with several groups count. Sets that differ in d shingles have half of all
+    others in common, so whether a member and its leader are linked is known as well.
     """
     ready = postings.join(groups, "cls").join(tried.links_of(), "cls", "left")
     first = F.struct((-F.coalesce("links", F.lit(0))).alias("links"), F.col("cls").alias("b"))
@@ -224,8 +218,25 @@ def _apart(postings: DataFrame, groups: DataFrame, full: DataFrame, tried: Tried
     left = full.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("t_a"))
     right = full.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("t_b"))
     met = members.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-    apart = F.concat(F.array_except("t_a", "t_b"), F.array_except("t_b", "t_a"))
-    apart = written(met.select("a", "b", "n_a", "n_b", F.explode(apart).alias("item")), "apart")
+    items = F.concat(F.array_except("t_a", "t_b"), F.array_except("t_b", "t_a"))
+    met = written(met.select("a", "b", "n_a", "n_b", items.alias("items")), "apart")
+    both = (F.col("n_a") + F.col("n_b") - F.size("items")) / 2
+    return met.withColumn("linked", sim.linked(both, F.col("n_a"), F.col("n_b")))
+
+
+def _apart(members: DataFrame, sim: MinHash) -> DataFrame:
+    """Postings (key, cls, n, f, side, rest) of shingles in which members of a bucket differ from its leader.
+
+    Let D(x) be where x differs from the leader l, p = (1 - t) / (1 + t), and
+    f(x) = |D(x)| - p |x|. Sets are linked when they differ in at most p (|x| + |y|)
+    shingles, so x is linked with l when f(x) <= p |l|, and linked x and y share at least
+    (f(x) + f(y)) / 2 shingles of their D. Two sets with ``least`` of D in common agree in
+    one of the |D| - least + 1 rarest of each. Side 0 is for pairs of which neither is linked
+    with l: there f(y) > p |l|. Sides 1 and 2 are for x linked and y not: f(y) > p |l| again,
+    and as D(x) has what they share, that is f(y) - p |x| or more. Two that are both linked
+    with l are in one group. ``rest`` is how many shingles of D come from this one on.
+    """
+    apart = members.select("a", "b", "n_a", "n_b", F.explode("items").alias("item"))
     counts = apart.groupBy("b", "item").agg(F.count("*").alias("df"))
     ranked = apart.join(counts, ["b", "item"])
     each = ranked.groupBy("a", "b", "n_a", "n_b").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("d"))
@@ -266,6 +277,25 @@ def _left_pairs(postings: DataFrame, groups: DataFrame, tried: Tried, sim: MinHa
     return pairs.join(done, ["a", "b"], "left_anti")
 
 
+def finer_groups(postings: DataFrame, groups: DataFrame, full: DataFrame, sim: MinHash, tried: Tried) -> DataFrame:
+    """The groups after all links between classes that share a bucket of ``postings`` (key, cls, n).
+
+    ``tried`` holds all links that ``groups`` come from, and gets those found here. Members
+    of a bucket are compared with its leader; the other links are found by what they share
+    beside the leader's set, so the work does not grow with the square of a bucket.
+    """
+    members = _members(postings, groups, full, tried, sim)
+    done = tried.rows().select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+    new = (F.least("a", "b") == done["x"]) & (F.greatest("a", "b") == done["y"])
+    found = tried.add(members.where("linked").join(done, new, "left_anti").select("a", "b", "linked"))
+    if not found.isEmpty():
+        groups = _merged(groups, tried.links())
+    finer = written(_apart(members, sim), "finer")
+    groups = _starred(finer, groups, full, sim, tried)
+    last = tried.add(_confirmed(_left_pairs(finer, groups, tried, sim), full, sim))
+    return groups if last.where("linked").isEmpty() else _merged(groups, tried.links())
+
+
 def minhash_duplicates(docs: DataFrame, sim: MinHash = MinHash()) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, cls, component_id, kept.
 
@@ -294,11 +324,7 @@ def minhash_duplicates(docs: DataFrame, sim: MinHash = MinHash()) -> DataFrame:
     groups = active.select("cls", F.col("cls").alias("grp"))
     tried = Tried(docs)
     groups = _starred(postings, groups, full, sim, tried)
-    finer = written(_apart(postings, groups, full, tried, sim), "finer")
-    groups = _starred(finer, groups, full, sim, tried)
-    last = tried.add(_confirmed(_left_pairs(finer, groups, tried, sim), full, sim))
-    if not last.where("linked").isEmpty():
-        groups = _merged(groups, tried.links())
+    groups = finer_groups(postings, groups, full, sim, tried)
 
     grouped = classes.join(groups, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
     least = grouped.groupBy("grp").agg(F.min("first").alias("component_id"))
