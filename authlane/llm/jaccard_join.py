@@ -11,7 +11,9 @@ frequency of tokens is counted over all classes, for a fixed part of the token s
 class with too few rare tokens in that part brings in the rest of its tokens, whose
 frequency is counted among such classes. Groups form in rounds, in each of which a class is
 compared with a few others at most: a large set of near copies is joined by stars and never as
-pairs. When rounds stop merging, what may still be linked across groups is compared in full.
+pairs. When rounds stop merging, links across groups are left. Where few classes share a token
+they are looked for through the matrix, and where many do through the tokens in which the
+classes differ from one that leads them (``minhash.finer_groups``).
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql.window import Window
 
 from authlane.llm.common import ship, written
 from authlane.llm.components import components
+from authlane.llm.minhash import MinHash, Tried, finer_groups
 from authlane.llm.words import shingles, words_of
 
 
@@ -37,7 +40,7 @@ class Similarity:
 
     words: int = 4
     percent: int = 85
-    # A token that so many classes hold is common.
+    # A token that so many classes hold is common, and its classes are not compared in pairs.
     common: int = 32
     # Part of the token space in which tokens are counted over all classes; None takes a
     # part that goes beyond the first tokens a set looks up (``looked_at``).
@@ -46,7 +49,6 @@ class Similarity:
     # leaders a class may try in each.
     rounds: int = 2
     tests: int = 4
-    worth: int = 200
 
     @property
     def low(self) -> int:
@@ -243,14 +245,22 @@ def _star_round(cells: DataFrame, groups: DataFrame, full: DataFrame, sim: Simil
     return _verified(written(best.select(F.col("cls").alias("a"), "b"), "tests"), full, sim)
 
 
-def _last_pairs(cells: DataFrame, groups: DataFrame, full: DataFrame, sim: Similarity) -> DataFrame:
-    """All linked pairs of classes in different groups.
+def _by_holders(cells: DataFrame, groups: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
+    """Cells of tokens that several groups hold: those few classes hold, and those many do."""
+    ready = _open_cells(cells, groups)
+    held = ready.groupBy("token").agg(F.count("*").alias("held"))
+    ready = written(ready.join(held, "token"), "open")
+    few = F.col("held") < sim.common
+    return ready.where(few).drop("held"), ready.where(~few).drop("held")
+
+
+def _last_pairs(ready: DataFrame, groups: DataFrame, full: DataFrame, sim: Similarity) -> DataFrame:
+    """All linked pairs of classes in different groups that share a cell of ``ready``.
 
     Of two groups that share a cell, the classes of the smaller one are the queries. A query
     opens the other group if its overlap with the group's token union can reach the
     threshold; then it is compared with the members whose cells it shares.
     """
-    ready = written(_open_cells(cells, groups), "open")
     sizes = groups.groupBy("grp").agg(F.count("*").alias("size"))
     band = F.floor(F.log("n") / -np.log(sim.percent / 100)).cast("int")
     sized = ready.join(sizes, "grp").withColumn("band", band)
@@ -298,14 +308,20 @@ def near_duplicates(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     classes = sets.groupBy("cls").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
     cells, full = first_tokens(sets, docs, classes, sim)
     groups = written(cells.select("cls", F.col("cls").alias("grp")).distinct(), "groups")
+    tried = Tried(docs)
     for nth in range(sim.rounds):
-        edges = written(_star_round(cells, groups, full, sim, nth), "edges")
+        edges = tried.add(_star_round(cells, groups, full, sim, nth).withColumn("linked", F.lit(True)))
         if edges.isEmpty():
             break
         groups = _merged(groups, edges)
-    edges = written(_last_pairs(cells, groups, full, sim), "edges")
+    few, _ = _by_holders(cells, groups, sim)
+    edges = tried.add(_last_pairs(few, groups, full, sim).withColumn("linked", F.lit(True)))
     if not edges.isEmpty():
         groups = _merged(groups, edges)
+    _, many = _by_holders(cells, groups, sim)
+    buckets = many.select(F.col("token").alias("key"), "cls", "n")
+    items = full.withColumnRenamed("tokens", "items")
+    groups = finer_groups(buckets, groups, items, MinHash(words=sim.words, percent=sim.percent), tried)
 
     placed = classes.join(groups, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
     least = placed.groupBy("grp").agg(F.min("first").alias("component_id"))
