@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,3 +18,11 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     row = F.struct(*[c.alias(name) for name, c in columns.items()])
     return df.select("*", F.inline(F.array(row)))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` mentions it.
+
+    Inside lambdas, which a generator cannot reach, Spark evaluates each mention anew.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from authlane.functions.plan import computed_once
 from authlane.functions.text import fields_text
 from authlane.functions.times import ms_text
 from authlane.operators import envelope as E
@@ -352,7 +353,9 @@ FROM (SELECT unnest([{_WIRE_FIELDS}]) AS entry FROM wire WHERE k NOT BETWEEN 94
 GROUP BY 1, 2""",
 )
 def q_stringify(spark: SparkSession, sf: str) -> DataFrame:
-    rows = E.accepted(_decoded(spark, sf)).select(F.explode("fields").alias("key", "value"))
+    # Exploding a projected map would write it out once more, in a filter on its size.
+    decoded = computed_once(E.accepted(_decoded(spark, sf)), texts=F.col("fields"))
+    rows = decoded.select(F.explode("texts").alias("key", "value"))
     return rows.groupBy("key", "value").agg(F.count("*").alias("rows"))
 
 

@@ -32,14 +32,25 @@ WINDOWS_EXPORT = T.StructType(
 )
 
 
+# Rows that one task parses.
+TASK_ROWS = 1 << 18
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a batch read over the cores when its files give fewer tasks than that.
+    """Spread a batch read over the cores when its files give fewer tasks than that, and
+    over more tasks where these would have more than ``TASK_ROWS`` rows on average.
 
     Parsing costs far more than moving raw rows, and one small or unsplittable compressed
-    file is one task however many cores wait. A scan of many splits is left as it is.
+    file is one task however many cores wait. Packed columns put millions of rows into a
+    split, and row groups deal them unevenly, so tasks would grow with the table. A scan of
+    many small splits is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    splits = df.rdd.getNumPartitions()
+    if splits < cores:  # small files, whose rows need no count
+        return df.repartition(cores)
+    wanted = -(-df.count() // TASK_ROWS)
+    return df.repartition(wanted) if splits < wanted else df
 
 
 def text_lines(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:

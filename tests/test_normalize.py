@@ -274,6 +274,18 @@ def test_stringify(spark, value, expected):
     assert one(E.accepted(E.decode_envelopes(lines(spark, line)))).fields == {"k": expected}
 
 
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        ("[1e-7,-1.5e-300,1e300,1e20,12345678901234567890]", "[1e-7,-1.5e-300,1e+300,100000000000000000000,12345678901234567000]"),
+        ("[0.000001,-0.25,1.0,1e400]", '[0.000001,-0.25,1,"Infinity"]'),
+        ("1e-300", "0." + "0" * 299 + "1"), ("1e400", "Infinity"),
+    ],
+)
+def test_stringify_exponents(spark, value, expected):
+    test_stringify(spark, value, expected)
+
+
 @pytest.mark.parametrize(
     "line, reason",
     [

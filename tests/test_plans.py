@@ -16,6 +16,7 @@ from authlane.operators import tables as T
 from authlane.operators.rules import RULE_PACK
 from authlane.operators.views import auth_events
 from authlane.plans import bindings as B
+from authlane.plans import catalog
 from authlane.session import configure
 from authlane.sources import readers as SR
 
@@ -108,3 +109,9 @@ def test_hot_source_is_exact(spark):
     assert len(row) == 1
     assert (row[0].hits, row[0].distinct_user_count) == (200_000, 50_000)
     assert row[0].evidence_summary.endswith("Examples: u000000, u000001, u000002, u000003, u000004")
+
+
+def test_maps_are_written_out_once(spark):
+    """A filter on the map's size must not build the map a second time."""
+    text = plan(catalog.QUERIES["stringify_map"](spark, SF))
+    assert text.count("transform_values(") == 1

@@ -158,6 +158,15 @@ def test_readers(spark, tmp_path):
     assert SR.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 8
 
 
+def test_spread_bounds_the_rows_of_a_task(spark, monkeypatch):
+    """As many splits as cores may still hold too many rows each."""
+    monkeypatch.setattr(SR, "TASK_ROWS", 100)
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 300 * cores, numPartitions=cores)
+    assert SR.spread(rows).rdd.getNumPartitions() == 3 * cores
+    assert SR.spread(rows.limit(50 * cores).repartition(cores)).rdd.getNumPartitions() == cores
+
+
 def test_checkpoint_root(spark):
     assert stream_checkpoint(spark, "n", "/given") == "/given"
     if spark.conf.get("spark.checkpoint.dir", None) is None:
