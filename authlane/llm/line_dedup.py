@@ -8,6 +8,9 @@ hold is summed up before the exchange and, in the join, split by adaptive execut
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +18,15 @@ from authlane.functions.plan import computed_once
 from authlane.llm.common import SPACE, lowered
 
 
-def line_key(line: Column) -> Column:
-    """A line without white space at its ends, A to Z in lower case."""
-    return lowered(F.btrim(line, F.lit(SPACE)))
+def bare_line(line: Column) -> Column:
+    """A line without white space at its ends. Only a line that has some there is read for it."""
+    blank = [test(line, F.lit(c)) for c in SPACE for test in (F.startswith, F.endswith)]
+    return F.when(reduce(or_, blank), F.btrim(line, F.lit(SPACE))).otherwise(line)
+
+
+def line_key(bare: Column) -> Column:
+    """A bare line with A to Z in lower case; ASCII alone takes Spark's own, faster lower case."""
+    return F.when(F.octet_length(bare) == F.char_length(bare), F.lower(bare)).otherwise(lowered(bare))
 
 
 def surplus_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> DataFrame:
@@ -26,13 +35,13 @@ def surplus_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> Da
     A key counts when it has at least ``min_chars`` code points and at least ``min_docs``
     different doc_ids hold it. The smallest of them keeps its lines.
     """
-    lines = docs.where("doc_id IS NOT NULL").select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")
-    )
-    keys = lines.select("doc_id", "text_hash", "pos", line_key(F.col("line")).alias("key")).where(
-        F.char_length("key") >= min_chars
-    )
-    keys = keys.select("doc_id", "text_hash", "pos", F.unhex(F.md5("key")).alias("hash"))
+    # The hash of a text is made before its lines, which would each carry the text for it.
+    hashed = computed_once(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), text_hash=F.xxhash64("text"))
+    lines = hashed.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    bare = computed_once(lines, bare=bare_line(F.col("line")))
+    # Lower case keeps the number of code points: short lines go before it.
+    long = bare.where(F.char_length("bare") >= min_chars)
+    keys = long.select("doc_id", "text_hash", "pos", F.unhex(F.md5(line_key(F.col("bare")))).alias("hash"))
     holders = F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")
     if min_docs == 2:  # two holders differ: no need to count them
         shared = keys.groupBy("hash").agg(*holders).where("last > keeper")

@@ -20,7 +20,7 @@ from authlane.llm.components import components
 from authlane.llm import fingerprints as prints
 from authlane.llm.fingerprints import fingerprints
 from authlane.llm.jaccard_join import Similarity, near_duplicates
-from authlane.llm.line_dedup import dedup_lines
+from authlane.llm.line_dedup import bare_line, dedup_lines, line_key, surplus_lines
 from authlane.llm.mixing import mixed_documents, source_targets
 from authlane.llm.packing import byte_bpe_50k, encode, shortest_pack_first
 from authlane.llm.sharding import ShardTree, shard_documents
@@ -72,6 +72,18 @@ def test_line_dedup_counts_lines_and_carries_a_text_once(docs_of):
     assert len(carried) == 1 and "text, " not in carried[0].split("AS row#")[0]
 
 
+def test_line_keys_lose_ascii_case_and_white_space_alone(spark, docs_of):
+    lines = [" \t Ab\x0b", "ÄB C\r", "\u00a0Ab ", "İI", "", " \x0c", "\x1fA", "Σ AZ[`"]
+    rows = spark.createDataFrame([(x,) for x in lines], "line string").select("line", line_key(bare_line(F.col("line"))).alias("key"))
+    want = {x: re.sub("[A-Z]", lambda c: c[0].lower(), x.strip(" \t\n\x0b\x0c\r")) for x in lines}
+    assert {r.line: r.key for r in rows.collect()} == want
+
+
+def test_line_dedup_trims_a_line_once(docs_of):
+    plan = surplus_lines(docs_of("shared line one"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") == 2  # once for the holders, and once for the positions
+
+
 def test_near_duplicates_looks_beyond_the_tokens_a_set_must_look_up():
     for percent in range(50, 100):
         assert Similarity(percent=percent).looked_at >= 1.04 - percent / 100
