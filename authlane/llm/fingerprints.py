@@ -207,9 +207,12 @@ def fingerprint(keys: Column, cells: Column) -> Column:
     return F.concat_ws(" ", F.size(keys).cast("string"), F.array_join(texts, " "))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(docs: DataFrame, added: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """(doc_id, text, next_text): each text and that of the next doc_id; the first after the last.
 
+    Columns that ``added`` makes of a text are made once a row, and the next row's follow as
+    next_ and their name.
+
     Rows are dealt to ranges of doc_id, whose bounds are ids that occur, and ordered inside
     them. The first row of a range also goes to the range before, where it comes last and
     gives its text to the one before it. A null text is an empty one. Rows without doc_id
@@ -244,8 +247,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     dealt = rows.select(
         "doc_id", "text", F.inline(F.when(F.col("first"), F.array(here, before)).otherwise(F.array(here)))
     )
+    # Dealt to their ranges first, so that what is added does not cross the exchange.
+    told = added(dealt.repartition("range"))
     order = Window.partitionBy("range").orderBy("extra", "doc_id", "text")
-    return dealt.withColumn("next_text", F.lead("text").over(order)).where("extra = 0").drop("range", "extra")
+    following = {f"next_{c}": F.lead(c).over(order) for c in told.columns if c not in ("doc_id", "range", "extra")}
+    return told.withColumns(following).where("extra = 0").drop("range", "extra")
 
 
 def first_id(docs: DataFrame) -> int | None:
@@ -262,21 +268,21 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     text is an empty one; two empty texts have likeness 1. A table of one row has itself as
     its next. An empty table gives no rows, and other columns do not matter.
     """
-    paired = with_next(docs).withColumn("n_chars", F.char_length("text"))
+
+    def sketched(rows: DataFrame, text: str, name: str = "") -> DataFrame:
+        keyed = computed_once(rows, **{f"{name}keys": digests(F.col(text))})
+        return computed_once(keyed, **{f"{name}cells": sketch(F.col(f"{name}keys"), SIZE)})
+
+    # A text's own sketch is also that of the next text of the row before.
+    paired = with_next(docs, lambda rows: sketched(rows, "text")).withColumn("n_chars", F.char_length("text"))
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars") - quarter), F.substring("next_text", F.lit(1), quarter))
-    with_edit = computed_once(paired, edited=edited)
-    keyed = computed_once(
-        with_edit, keys=digests(F.col("text")), new_keys=digests(F.col("edited")), nxt_keys=digests(F.col("next_text"))
-    )
-    sketched = computed_once(
-        keyed, cells=sketch(F.col("keys"), SIZE), new_cells=sketch(F.col("new_keys"), SIZE), nxt_cells=sketch(F.col("nxt_keys"), SIZE)
-    )
+    both = sketched(computed_once(paired, edited=edited), "edited", "new_")
 
     def apart_from(other: str) -> Column:
         return F.size(differing(F.col("keys"), F.col(f"{other}_keys"), F.col("cells"), F.col(f"{other}_cells")))
 
-    apart = computed_once(sketched, edited_apart=apart_from("new"), next_apart=apart_from("nxt"))
+    apart = computed_once(both, edited_apart=apart_from("new"), next_apart=apart_from("next"))
     return apart.select(
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
@@ -284,5 +290,5 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         fingerprint(F.col("keys"), F.col("cells")).alias("fingerprint"),
         fingerprint(F.col("new_keys"), F.col("new_cells")).alias("edited_fingerprint"),
         likeness(F.col("keys"), F.col("new_keys"), F.col("edited_apart")).alias("near_edited"),
-        likeness(F.col("keys"), F.col("nxt_keys"), F.col("next_apart")).alias("near_next"),
+        likeness(F.col("keys"), F.col("next_keys"), F.col("next_apart")).alias("near_next"),
     )

@@ -262,6 +262,21 @@ def test_query_rows_of_one_id_are_answered_each(docs_of):
     assert sorted((r.query_id, r["rank"], r.doc_id) for r in found) == [(20, 1, 2), (20, 1, 3), (20, 2, 1), (20, 2, 4)]
 
 
+def test_a_text_is_cut_and_sketched_once_for_itself_and_the_row_before(docs_of):
+    plan = fingerprints(docs_of("a b", "c d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 2  # the text, and the edited text
+
+
+def test_next_columns_are_those_of_the_next_text(docs_of):
+    rows = [(3, "c"), (1, None), (2, "bb"), (None, "n"), (2, "ba")]
+    added = lambda rows: rows.withColumn("twice", F.concat("text", "text"))
+    found = prints.with_next(docs_of(*rows), added).collect()
+    assert {(r.doc_id, r.text, r.twice, r.next_text, r.next_twice) for r in found} == {
+        (None, "n", "nn", "", ""), (1, "", "", "ba", "baba"), (2, "ba", "baba", "bb", "bbbb"),
+        (2, "bb", "bbbb", "c", "cc"), (3, "c", "cc", "", ""),
+    }
+
+
 def test_fingerprints_and_edited_texts(spark, texts):
     found = Q.op9_fingerprints(spark, SF).toPandas().set_index("doc_id")
     ids, seen = sorted(texts), {}
