@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from authlane.llm.common import scratch_dir, ship, written
+from authlane.llm.common import scratch_dir, ship, write_table, written
 from authlane.llm.components import components
 from authlane.llm.words import mixed, shingles, words_of
 
@@ -175,7 +175,7 @@ class Tried:
         self.spark, self.path, self.rounds = docs.sparkSession, f"{scratch_dir(docs.sparkSession)}/tried", 0
 
     def add(self, found: DataFrame) -> DataFrame:
-        found.write.parquet(f"{self.path}/round={self.rounds}")
+        write_table(found, f"{self.path}/round={self.rounds}")
         self.rounds += 1
         return self.rows().where(F.col("round") == self.rounds - 1).select("a", "b", "linked")
 

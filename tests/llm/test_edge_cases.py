@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from llm_rows import ODD
 from pyspark.sql import functions as F
 
+from authlane.llm.common import CLEANUP, write_table
 from authlane.llm.class_lm import score_documents
 from authlane.llm.fingerprints import fingerprints
 from authlane.llm.jaccard_join import near_duplicates
@@ -66,3 +68,12 @@ def test_odd_rows_are_found(clashing):
     found = search(clashing, clashing.where("doc_id >= 0")).toPandas()
     assert set(found.query_id) == {3, 4, 5, 6, 7, 8, 9}
     assert (found[found["rank"] == 1].set_index("query_id").doc_id.loc[[3, 4, 5, 6, 7, 9]].to_list()) == [3, 4, 5, 6, 7, 9]
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, monkeypatch):
+    """Files of exchanges would else stay until the driver collects garbage."""
+    seen = []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: seen.append(spark.conf.get(CLEANUP)))
+    before = spark.conf.get(CLEANUP, "false")
+    write_table(spark.range(3), "nowhere")
+    assert seen == ["true"] and spark.conf.get(CLEANUP) == before
