@@ -42,7 +42,7 @@ def test_against_sql(spark, name):
 
 
 def test_all_queries_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in Q.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in Q.QUERIES}
     assert set(Q.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
