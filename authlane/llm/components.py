@@ -16,28 +16,40 @@ def _towards_least(pairs: DataFrame) -> DataFrame:
     return pairs.join(least, "u")
 
 
+def _step(now: DataFrame) -> DataFrame:
+    """The pairs (u, v), u > v, after a large-star and a small-star step.
+
+    Pairs are doubled by a generator, as each branch of a union would run what is below it
+    again, and repeats go at the end alone: no minimum depends on them.
+    """
+    both = now.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+    large = _towards_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
+    down = F.struct("u", F.col("least").alias("v"))
+    star = _towards_least(large).select(F.inline(F.array(down, F.struct(F.col("v").alias("u"), F.col("least").alias("v")))))
+    return star.where("u <> v").distinct()
+
+
+def _settled(now: DataFrame) -> bool:
+    """Every node points at one other at most, and none at a node that points on."""
+    ends = now.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("out")), F.struct(F.col("v").alias("node"), F.lit(0).alias("out")))))
+    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.min("out").alias("least"))
+    return nodes.where("out > 1 OR (out = 1 AND least = 0)").count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b); the component is its least node.
 
     Every step halves distances or better, so the steps grow with the logarithm of the
-    longest path. A node's neighbours are never gathered: a minimum per node is joined back.
+    longest path, and end as soon as the pairs are stars. A node's neighbours are never
+    gathered: a minimum per node is joined back.
     """
     now = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
-    state = None
     for _ in range(MAX_STEPS):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _towards_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
-        down = large.where("u > v").distinct()
-        small = _towards_least(down)
-        star = small.where("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        star = star.unionByName(small.select("u", F.col("least").alias("v"))).distinct()
-        now = written(star, "edges")
-        seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (seen.n, seen.h) == state:
+        now = written(_step(now), "edges")
+        if _settled(now):
             break
-        state = (seen.n, seen.h)
     else:
         raise RuntimeError("components did not settle")
     own = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

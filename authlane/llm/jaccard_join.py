@@ -314,11 +314,11 @@ def near_duplicates(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
         if edges.isEmpty():
             break
         groups = _merged(groups, edges)
-    few, _ = _by_holders(cells, groups, sim)
+    few, many = _by_holders(cells, groups, sim)
     edges = tried.add(_last_pairs(few, groups, full, sim).withColumn("linked", F.lit(True)))
     if not edges.isEmpty():
         groups = _merged(groups, edges)
-    _, many = _by_holders(cells, groups, sim)
+    # Merging leaves no token with more groups; those with one by now are left out there.
     buckets = many.select(F.col("token").alias("key"), "cls", "n")
     items = full.withColumnRenamed("tokens", "items")
     groups = finer_groups(buckets, groups, items, MinHash(words=sim.words, percent=sim.percent), tried)

@@ -15,7 +15,9 @@ from compare import connect, mismatch
 from pyspark.sql import functions as F
 
 from authlane.llm import queries as Q
-from authlane.llm.common import table
+from authlane.llm import components as parts
+from authlane.llm import jaccard_join as joined
+from authlane.llm.common import table, written
 from authlane.llm.components import components
 from authlane.llm import fingerprints as prints
 from authlane.llm.fingerprints import fingerprints
@@ -182,6 +184,32 @@ def test_components_of_a_long_path(spark):
     assert {(r.node, r.component) for r in components(edges).collect()} == {(i, 0) for i in range(201)}
 
 
+def test_components_end_with_the_step_that_makes_stars(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(parts, "written", lambda df, name: made.append(name) or written(df, name))
+    star = spark.range(100).where("id <> 60").selectExpr("id AS a", "60L AS b")
+    assert {(r.node, r.component) for r in components(star).collect()} == {(i, 0) for i in range(100)}
+    assert made == ["edges", "edges"]
+    assert components(star.where("a < 0")).count() == 0
+
+
+def test_a_step_towards_components_runs_its_joins_once(spark):
+    now = spark.createDataFrame([(2, 1), (3, 2), (4, 2)], "u long, v long")
+    plan = parts._step(now)._jdf.queryExecution().optimizedPlan().toString()
+    # The first join stands below both sides of the second; nothing else repeats it.
+    assert len(re.findall(r"\bJoin\b", plan)) == 3 and "Union" not in plan
+
+
+def test_cells_are_opened_once_for_what_rounds_leave_over(docs_of, monkeypatch):
+    made = []
+    monkeypatch.setattr(joined, "written", lambda df, name: made.append(name) or written(df, name))
+    same = [f"a{i}" for i in range(60)]
+    texts = [" ".join([*same, f"b{i}", "of", "all"]) for i in range(4)]
+    found = near_duplicates(docs_of(*texts, "a text of other words"), Similarity(rounds=0, common=3)).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(0, 0), (1, 0), (2, 0), (3, 0), (4, 4)}
+    assert made.count("open") == 1
+
+
 def test_base_and_model_scores(spark, texts):
     found = Q.op6_class_lm(spark, SF).toPandas().set_index("doc_id")
     tokens = {i: [*WORDS.findall(t.encode().lower()), b"\n"] for i, t in texts.items()}
