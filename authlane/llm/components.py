@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from authlane.llm.common import written
+from authlane.llm.common import packed, written
 
 MAX_STEPS = 60
 
@@ -41,16 +41,19 @@ def components(edges: DataFrame) -> DataFrame:
 
     Every step halves distances or better, so the steps grow with the logarithm of the
     longest path, and end as soon as the pairs are stars. A node's neighbours are never
-    gathered: a minimum per node is joined back.
+    gathered: a minimum per node is joined back. Steps run in as many tasks as there are
+    pairs for, as the pairs do not grow in number.
     """
     now = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
     )
+    pairs = now.count()
+    now = packed(now, pairs)
     for _ in range(MAX_STEPS):
-        now = written(_step(now), "edges")
+        now = packed(written(_step(now), "edges"), pairs)
         if _settled(now):
             break
     else:
         raise RuntimeError("components did not settle")
-    own = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own)
+    ends = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")), F.struct(F.col("v").alias("node"), F.col("v").alias("component")))
+    return now.select(F.inline(ends)).distinct()

@@ -28,9 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from authlane.llm.common import ship, written
-from authlane.llm.components import components
-from authlane.llm.minhash import MinHash, Tried, finer_groups
+from authlane.llm.common import packed, repacked, ship, written
+from authlane.llm.minhash import MinHash, Tried, finer_groups, joined_groups
 from authlane.llm.words import shingles, words_of
 
 
@@ -202,16 +201,6 @@ def _can_reach(n: str, i: Column, m: str, j: Column, sim: Similarity) -> Column:
     return (F.col(n) - i >= least) & (F.col(m) - j >= least)
 
 
-def _merged(groups: DataFrame, edges: DataFrame) -> DataFrame:
-    """(cls, grp) after groups that an edge (a, b) of classes joins have become one."""
-    g = groups.select("cls", "grp")
-    ends = edges.join(g.select(F.col("cls").alias("a"), F.col("grp").alias("x")), "a")
-    ends = ends.join(g.select(F.col("cls").alias("b"), F.col("grp").alias("y")), "b")
-    found = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
-    moved = g.join(found.select(F.col("node").alias("grp"), "component"), "grp", "left")
-    return written(moved.select("cls", F.coalesce("component", "grp").alias("grp")), "groups")
-
-
 def _open_cells(cells: DataFrame, groups: DataFrame) -> DataFrame:
     """Cells of tokens that classes of different groups hold, with the group."""
     placed = cells.join(groups, "cls")
@@ -242,7 +231,7 @@ def _star_round(cells: DataFrame, groups: DataFrame, full: DataFrame, sim: Simil
     seen = seen.where(_near_size("n", "m", sim) & _can_reach("n", F.col("i"), "m", F.col("j"), sim))
     order = Window.partitionBy("cls").orderBy(F.desc("hits"), F.xxhash64("b", F.lit(nth)))
     best = seen.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sim.tests)
-    return _verified(written(best.select(F.col("cls").alias("a"), "b"), "tests"), full, sim)
+    return _verified(repacked(written(best.select(F.col("cls").alias("a"), "b"), "tests")), full, sim)
 
 
 def _by_holders(cells: DataFrame, groups: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
@@ -289,7 +278,7 @@ def _last_pairs(ready: DataFrame, groups: DataFrame, full: DataFrame, sim: Simil
         F.col("grp").alias("g"), "token", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("pos").alias("j")
     )
     near = _near_size("n", "m", sim) & _can_reach("n", F.col("pos"), "m", F.col("j"), sim)
-    pairs = written(mine.join(theirs, ["g", "token"]).where(near).select("a", "b").distinct(), "pairs")
+    pairs = repacked(written(mine.join(theirs, ["g", "token"]).where(near).select("a", "b").distinct(), "pairs"))
     return _verified(pairs, full, sim)
 
 
@@ -307,21 +296,22 @@ def near_duplicates(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     sets = written(token_sets(docs, sim, whole=False), "sets")
     classes = sets.groupBy("cls").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"))
     cells, full = first_tokens(sets, docs, classes, sim)
-    groups = written(cells.select("cls", F.col("cls").alias("grp")).distinct(), "groups")
+    groups = cells.select("cls", F.col("cls").alias("grp")).distinct()
+    groups = written(packed(groups, cells.count()), "groups")
     tried = Tried(docs)
     for nth in range(sim.rounds):
         edges = tried.add(_star_round(cells, groups, full, sim, nth).withColumn("linked", F.lit(True)))
         if edges.isEmpty():
             break
-        groups = _merged(groups, edges)
+        groups = joined_groups(groups, edges)
     few, many = _by_holders(cells, groups, sim)
     edges = tried.add(_last_pairs(few, groups, full, sim).withColumn("linked", F.lit(True)))
     if not edges.isEmpty():
-        groups = _merged(groups, edges)
+        groups = joined_groups(groups, edges)
     # Merging leaves no token with more groups; those with one by now are left out there.
     buckets = many.select(F.col("token").alias("key"), "cls", "n")
     items = full.withColumnRenamed("tokens", "items")
-    groups = finer_groups(buckets, groups, items, MinHash(words=sim.words, percent=sim.percent), tried)
+    groups = finer_groups(buckets, groups, items, MinHash(words=sim.words, percent=sim.percent, pairs=sim.common), tried)
 
     placed = classes.join(groups, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
     least = placed.groupBy("grp").agg(F.min("first").alias("component_id"))

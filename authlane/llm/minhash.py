@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from authlane.llm.common import scratch_dir, ship, write_table, written
+from authlane.llm.common import repacked, scratch_dir, ship, write_table, written
 from authlane.llm.components import components
 from authlane.llm.words import mixed, shingles, words_of
 
@@ -48,6 +48,8 @@ class MinHash:
     rounds: int = 6
     # Stars go on while one in so many of a round's comparisons is a link.
     worth: int = 50
+    # The last search goes without stars where its buckets have at most so many pairs a row; 0: never.
+    pairs: int = 0
 
     @property
     def bins(self) -> int:
@@ -134,6 +136,19 @@ def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
     return written(groups.select("cls").join(found, "cls", "left").select("cls", F.coalesce("component", "cls").alias("grp")), "groups")
 
 
+def joined_groups(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """(cls, grp) after groups that a link (a, b) of classes joins have become one.
+
+    ``groups`` and ``links`` are written tables, as both are counted and then read again.
+    """
+    g, links = repacked(groups.select("cls", "grp")), repacked(links.select("a", "b"))
+    ends = links.join(g.select(F.col("cls").alias("a"), F.col("grp").alias("x")), "a")
+    ends = ends.join(g.select(F.col("cls").alias("b"), F.col("grp").alias("y")), "b")
+    found = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    moved = g.join(found.select(F.col("node").alias("grp"), "component"), "grp", "left")
+    return written(moved.select("cls", F.coalesce("component", "grp").alias("grp")), "groups")
+
+
 def _drawn_in(groups: DataFrame, links: DataFrame) -> DataFrame:
     """(cls, grp) after the classes of a star have taken the least group among them.
 
@@ -260,6 +275,16 @@ def _apart(members: DataFrame, sim: MinHash) -> DataFrame:
     return found.select(key.alias("key"), F.col("a").alias("cls"), F.col("n_a").alias("n"), "f", "s.side", "s.rest")
 
 
+def _few_pairs(postings: DataFrame, groups: DataFrame, sim: MinHash) -> bool:
+    """The pairs that ``_left_pairs`` would look at are at most ``pairs`` for each row."""
+    of = lambda side: F.count_if(F.col("side") == side)
+    held = postings.join(groups, "cls").groupBy("key").agg(
+        F.count("*").alias("held"), F.min("grp").alias("g0"), F.max("grp").alias("g1"), (of(0) * (of(0) - 1) / 2 + of(1) * of(2)).alias("pairs")
+    )
+    seen = held.where("g0 < g1").agg(F.coalesce(F.sum("held"), F.lit(0)).alias("held"), F.coalesce(F.sum("pairs"), F.lit(0.0)).alias("pairs")).first()
+    return seen.pairs <= sim.pairs * seen.held
+
+
 def _left_pairs(postings: DataFrame, groups: DataFrame, tried: Tried, sim: MinHash) -> DataFrame:
     """The pairs (a, b) of a bucket that are in different groups and were not compared yet."""
     ready = postings.join(groups, "cls")
@@ -280,20 +305,23 @@ def _left_pairs(postings: DataFrame, groups: DataFrame, tried: Tried, sim: MinHa
 def finer_groups(postings: DataFrame, groups: DataFrame, full: DataFrame, sim: MinHash, tried: Tried) -> DataFrame:
     """The groups after all links between classes that share a bucket of ``postings`` (key, cls, n).
 
-    ``tried`` holds all links that ``groups`` come from, and gets those found here. Members
+    ``groups`` is a written table; ``tried`` holds all links that it comes from, and gets those found here. Members
     of a bucket are compared with its leader; the other links are found by what they share
-    beside the leader's set, so the work does not grow with the square of a bucket.
+    beside the leader's set. Stars go before, so the work does not grow with the square of a
+    bucket; they are left out where ``sim.pairs`` says that few pairs are to be looked at.
     """
     members = _members(postings, groups, full, tried, sim)
     done = tried.rows().select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
     new = (F.least("a", "b") == done["x"]) & (F.greatest("a", "b") == done["y"])
     found = tried.add(members.where("linked").join(done, new, "left_anti").select("a", "b", "linked"))
     if not found.isEmpty():
-        groups = _merged(groups, tried.links())
-    finer = written(_apart(members, sim), "finer")
-    groups = _starred(finer, groups, full, sim, tried)
-    last = tried.add(_confirmed(_left_pairs(finer, groups, tried, sim), full, sim))
-    return groups if last.where("linked").isEmpty() else _merged(groups, tried.links())
+        groups = joined_groups(groups, found)
+    finer = repacked(written(_apart(members, sim), "finer"))
+    groups = repacked(groups)
+    if not (sim.pairs and _few_pairs(finer, groups, sim)):
+        groups = _starred(finer, groups, full, sim, tried)
+    last = tried.add(_confirmed(_left_pairs(finer, groups, tried, sim), full, sim)).where("linked")
+    return groups if last.isEmpty() else joined_groups(groups, last)
 
 
 def minhash_duplicates(docs: DataFrame, sim: MinHash = MinHash()) -> DataFrame:

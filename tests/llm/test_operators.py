@@ -15,6 +15,7 @@ from compare import connect, mismatch
 from pyspark.sql import functions as F
 
 from authlane.llm import queries as Q
+from authlane.llm import common, minhash
 from authlane.llm import components as parts
 from authlane.llm import jaccard_join as joined
 from authlane.llm.common import table, written
@@ -200,6 +201,60 @@ def test_a_step_towards_components_runs_its_joins_once(spark):
     assert len(re.findall(r"\bJoin\b", plan)) == 3 and "Union" not in plan
 
 
+def test_components_do_not_depend_on_how_many_tasks_their_pairs_get(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2)) if a != b] + [(i, i + 1) for i in range(400, 440)]
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    few = {(r.node, r.component) for r in components(edges).collect()}
+    monkeypatch.setattr(common, "TASK_ROWS", 16)
+    assert {(r.node, r.component) for r in components(edges).collect()} == few
+    assert {c for n, c in few if n >= 400} == {400} and all(c <= n for n, c in few)
+    assert all((a, c) in few and (b, c) in few for a, b in pairs for c in [dict(few)[a]])
+
+
+def test_a_small_table_is_one_file_and_a_large_one_several(spark, monkeypatch):
+    """With many shuffle partitions, steps towards components read and write one file each."""
+    files = []
+    monkeypatch.setattr(parts, "written", lambda df, name: files.append(written(df, name)) or files[-1])
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        edges = spark.range(100).selectExpr("id AS a", "id + 1 AS b")
+        assert components(edges).where("component = 0").count() == 101
+        assert len(files) > 2 and {len(f.inputFiles()) for f in files[1:]} == {1}
+        del files[:]
+        monkeypatch.setattr(common, "TASK_ROWS", 10)
+        assert components(edges).where("component = 0").count() == 101
+        assert len(files[1].inputFiles()) > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_links_left_over_take_stars_only_where_pairs_are_many(docs_of, monkeypatch):
+    """A leader that all are like but no two of the rest: those are looked at in pairs, unless many share what sets them apart."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for base in range(3):
+        words = [f"w{base}x{i}" for i in range(100)]
+        for _ in range(40):
+            copy = list(words)
+            for at in rng.integers(0, len(words), rng.integers(0, 7)):
+                copy[at] = f"n{rng.integers(6)}"
+            rows.append(" ".join(copy))
+    starred = []
+    stars = minhash._starred
+    monkeypatch.setattr(minhash, "_starred", lambda *a: starred.append(1) or stars(*a))
+    docs, right = docs_of(*rows), _components(_sets(dict(enumerate(rows))))
+    for pairs in (32, -1):
+        monkeypatch.setattr(joined, "MinHash", lambda words, percent, pairs, use=pairs: minhash.MinHash(words=words, percent=percent, pairs=use))
+        found = near_duplicates(docs, Similarity(common=3, rounds=0))
+        assert {r.doc_id: r.component_id for r in found.collect()} == right
+        assert bool(starred) == (pairs < 0)
+
+
 def test_cells_are_opened_once_for_what_rounds_leave_over(docs_of, monkeypatch):
     made = []
     monkeypatch.setattr(joined, "written", lambda df, name: made.append(name) or written(df, name))
